@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding
+from . import decontamination, mixing, sharding, toxicity
 
 QUERIES = {
+    "op4_toxicity": toxicity.op4,
+    "op5_decontaminate": decontamination.op5,
     "op6_mix_sources": mixing.op6,
     "op7_shard_documents": sharding.op7,
 }

@@ -87,3 +87,52 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def first_rows(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
     """The first ``n`` rows of each key; Spark limits each task's groups before the shuffle."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_rn") <= n).drop("_rn")
+
+
+def sorted_groups(batches, key: str):
+    """From Arrow batches sorted by ``key``: yields (table, [start, end) bounds of whole groups), holding back the last group of each batch."""
+    import numpy as np
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = pa.Table.from_batches([batch])
+        held = part if held is None else pa.concat_tables([held, part]).combine_chunks()
+        keys = held.column(key).to_numpy()
+        edges = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        if len(edges):
+            bounds = np.r_[0, edges]
+            yield held.slice(0, int(edges[-1])), bounds
+            held = held.slice(int(edges[-1]))
+    if held is not None:
+        yield held, np.array([0, held.num_rows])
+
+
+def by_group(df: DataFrame, key: str, function, schema: str) -> DataFrame:
+    """Runs ``function(batches)`` over ``df`` with equal ``key`` together and in order, many small groups to a batch."""
+    return df.repartition(partitions(df.sparkSession), key).sortWithinPartitions(key).mapInArrow(function, schema)
+
+
+def fixed_lists(column, width: int):
+    """A list column whose lists all have ``width`` numbers, as a matrix."""
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def spanning(n: int, left, right) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the graph over 0..n-1 with the given edges."""
+    parent, out = list(range(n)), []
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in zip(left, right):
+        x, y = find(a), find(b)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((a, b))
+    return out

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontamination, mixing, sharding, toxicity
+from . import decontamination, jaccard, language, mixing, ppm, sharding, toxicity
 
 QUERIES = {
+    "op2_language_id": language.op2,
+    "op3_ppm_scores": ppm.op3,
     "op4_toxicity": toxicity.op4,
     "op5_decontaminate": decontamination.op5,
     "op6_mix_sources": mixing.op6,
     "op7_shard_documents": sharding.op7,
+    "op8_jaccard_join": jaccard.op8,
 }
 
 SQL = {

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontamination, jaccard, language, mixing, ppm, sharding, toxicity
+from . import decontamination, embeddings, jaccard, language, mixing, pii, ppm, secrets, sharding, toxicity
 
 QUERIES = {
+    "op1_pii_surrogates": pii.op1,
     "op2_language_id": language.op2,
     "op3_ppm_scores": ppm.op3,
     "op4_toxicity": toxicity.op4,
@@ -12,6 +13,8 @@ QUERIES = {
     "op6_mix_sources": mixing.op6,
     "op7_shard_documents": sharding.op7,
     "op8_jaccard_join": jaccard.op8,
+    "op9_secret_scan": secrets.op9,
+    "op10_embedding_dedup": embeddings.op10,
 }
 
 SQL = {

@@ -16,6 +16,8 @@ from .common import table
 K1, B = 1.2, 0.75
 #: Least share of an item's own BM25 score that retrieves it, and of its shingles that proves it.
 THETA, OVERLAP, SHINGLE = 0.6, 0.8, 5
+#: Share of an item's score in its essential terms: a passage that retrieves it holds THETA + ESSENTIAL - 1 of the score in them.
+ESSENTIAL = 0.8
 #: Postings in a block, and bytes of item text indexed at a time.
 BLOCK, ITEM_BYTES = 64, 16 << 20
 
@@ -54,7 +56,8 @@ class ItemIndex:
         mean = sum(sum(b.values()) for b in bags) / max(1, len(bags))
         df = Counter(t for b in bags for t in b)
         postings: dict[str, tuple[list[int], list[float]]] = defaultdict(lambda: ([], []))
-        self.selfs, self.essential = [], set()
+        self.selfs, self.needed = [], []
+        self.essential: dict[str, list[tuple[int, float]]] = defaultdict(list)
         for k, bag in enumerate(bags):
             n = sum(bag.values())
             impact = {t: math.log(1 + (len(bags) - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * n / mean)) for t, f in bag.items()}
@@ -62,11 +65,12 @@ class ItemIndex:
             self.selfs.append(whole)
             left = 1.0
             for t, v in sorted(impact.items(), key=lambda x: (-x[1], -len(x[0]), x[0])):
-                if left >= theta:  # without any of these heaviest terms, the rest cannot reach the threshold
-                    self.essential.add(t)
+                if left > 1 - ESSENTIAL:
+                    self.essential[t].append((k, v / whole))
                     left -= v / whole
                 postings[t][0].append(k)
                 postings[t][1].append(v / whole)
+            self.needed.append(theta - left - 1e-9)
         self.lists = {t: Postings(*p) for t, p in postings.items()}
 
     def search(self, terms) -> list[tuple[int, float]]:
@@ -117,22 +121,25 @@ class ItemIndex:
         """Items that ``text`` holds: (item id, BM25 of the passage, overlap, first word of the passage).
 
         Passages are windows of twice the longest item, half overlapping, so any stretch as long as an item lies
-        whole in one. A passage without an essential term of any item cannot reach the threshold and is not searched.
+        whole in one. A passage whose essential terms leave every item short of the threshold, whatever else it
+        holds, is not searched.
         """
         words = words_of(text)
-        if self.essential.isdisjoint(words):
-            return []
+        essential, needed = self.essential, self.needed
         step, size = self.longest, 2 * self.longest
         last = max(0, -(-(len(words) - size) // step))
-        starts: set[int] = set()
+        held: dict[int, set[str]] = defaultdict(set)
         for at, w in enumerate(words):
-            if w in self.essential:
-                k = at // step
-                starts.update(x for x in (k - 1, k) if 0 <= x <= last)
-                if k > last:
-                    starts.add(last)
+            if w in essential:
+                held[at // step].add(w)
         best: dict[int, tuple[float, float, int]] = {}
-        for s in sorted(starts):
+        for s in sorted({min(last, max(0, k - d)) for k in held for d in (0, 1)}):
+            sums: dict[int, float] = defaultdict(float)
+            for w in held.get(s, set()) | held.get(s + 1, set()):
+                for item, share in essential[w]:
+                    sums[item] += share
+            if all(v < needed[item] for item, v in sums.items()):
+                continue
             passage = words[s * step : s * step + size]
             hits = self.search(set(passage))
             if not hits:

@@ -129,8 +129,8 @@ def closest(found: dict[str, tuple[float, int]]) -> dict[str, float]:
     return {e: w for e, (w, a) in found.items() if e.endswith(" ") or not any(v > w + 0.2 and n >= 0.8 * a for v, n in longer[e])}
 
 
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_lexicon: int = MAX_LEXICON) -> Lexicon:
-    """Learns entries, weights and the scale from ``labelled(text, toxic)``, at most ``fit_rows`` rows.
+def fit(labelled: DataFrame, max_lexicon: int = MAX_LEXICON) -> Lexicon:
+    """Learns entries, weights and the scale from ``labelled(text, toxic)``, a bounded sample (see ``training_rows``).
 
     Presence of each word and word beginning is counted by class; one row stands for each group of near copies, so a
     text that was copied a thousand times does not make its words toxic. An entry needs a likelihood-ratio statistic of
@@ -141,7 +141,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_lexicon: int = MAX_LE
         for b in batches:
             yield b.append_column("sketch", pa.array([_sketch(t) for t in b.column("text").to_pylist()], pa.int64()))
 
-    rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null").limit(fit_rows)
+    rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null")
     rows = cut(rows.mapInArrow(sketched, "text string, toxic int, sketch long").dropDuplicates(["sketch", "toxic"]))
 
     def counted(batches):
@@ -187,7 +187,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_lexicon: int = MAX_LE
             found = [inputs(*features(fold(t), automaton)[:2]) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"x1": [f[0] for f in found], "x2": [f[1] for f in found], "toxic": b.column("toxic")}, schema=pa.schema([("x1", pa.float64()), ("x2", pa.float64()), ("toxic", pa.int32())]))
 
-    # at most fit_rows rows of three numbers come to the driver, for a regression with three coefficients
+    # FIT_ROWS rows of three numbers at most come to the driver, for a regression with three coefficients
     sample = rows.select("text", "toxic").mapInArrow(measured, "x1 double, x2 double, toxic int").toArrow()
     x = np.c_[sample["x1"].to_numpy(), sample["x2"].to_numpy()]
     # pseudo-rows keep the scale finite and the empty sum clean, however small the sample

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import heating, series
+from . import heating, labels, series
 
-MODULES = (series, heating)
+MODULES = (series, heating, labels)
 
 
 def queries() -> dict:

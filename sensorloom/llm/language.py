@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -12,53 +12,85 @@ from pyspark.sql import functions as F
 
 from .common import first_rows, table
 
-#: Letters in an n-gram, and n-grams in a profile; a place that a profile lacks counts as PROFILE places off.
-ORDERS, PROFILE = (1, 2, 3), 300
-#: Words held by a task before it hands on its counts, and words whose n-grams a task remembers.
-HELD, REMEMBERED = 400_000, 100_000
+#: Letters in an n-gram (1 to ORDER), and n-grams in a profile; one that a profile lacks counts as PROFILE places off.
+ORDER, PROFILE = 3, 300
+#: Characters worked on at once, and different n-grams that a task holds of all languages before it hands them on.
+CHUNK, HELD = 1 << 20, 400_000
 UNKNOWN = "und"
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: What stands between words, as one edge mark.
+EDGE = "_"
+_GAPS = re.compile(r"[\W\d_]+")
 
 
-def words_of(text: str | None) -> list[str]:
-    return _LETTERS.findall((text or "").lower())
+def ngrams(text: str | None) -> np.ndarray:
+    """All n-grams of a text's words with their edges marked, but for the mark alone; each n-gram is its letters in 21 bits each."""
+    spelled = EDGE + _GAPS.sub(EDGE, (text or "").lower()).strip(EDGE) + EDGE
+    if spelled == EDGE * 2:
+        return np.empty(0, np.int64)
+    a = np.frombuffer(spelled.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    letter = a != ord(EDGE)
+    pairs = a[:-1] << 21 | a[1:]
+    triples = (pairs[:-1] << 21 | a[2:])[letter[1:-1]]
+    return np.concatenate([a[letter], pairs, triples])
 
 
-def ngrams(word: str) -> tuple[str, ...]:
-    """All n-grams of a word with its edges marked, but for the mark alone."""
-    w = f"_{word}_"
-    return tuple(g for n in ORDERS for i in range(len(w) - n + 1) if (g := w[i : i + n]) != "_")
+def counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Different n-grams of a text in order, and how often each occurs. A very long text is counted in parts cut at white space."""
+    if text is None or len(text) <= CHUNK:
+        return np.unique(ngrams(text), return_counts=True)
+    parts, at = [], 0
+    while at < len(text):
+        end = at + CHUNK
+        while end < len(text) and not text[end].isspace() and end < at + 2 * CHUNK:
+            end += 1
+        parts.append(np.unique(ngrams(text[at:end]), return_counts=True))
+        at = end
+    return summed(parts)
 
 
-def learn(rows: DataFrame, profile: int = PROFILE) -> dict[str, list[str]]:
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+
+
+def spell(gram: int) -> str:
+    """The letters of an n-gram."""
+    return "".join(chr(gram >> s & 0x1FFFFF) for s in (42, 21, 0) if gram >> s)
+
+
+def learn(rows: DataFrame, profile: int = PROFILE) -> dict[str, list[int]]:
     """Language to its most frequent n-grams in order (ties by n-gram), from all of ``rows(text, lang)``.
 
-    Each task counts words first and n-grams of different words then; the sums are Spark's. Only ``profile`` n-grams of
-    each language come to the driver. Rows without a language or letters teach nothing.
+    Tasks count, Spark sums, and only ``profile`` n-grams of each language come to the driver. Rows without a language
+    or letters teach nothing.
     """
-    schema = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
+    schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
-    def counted(batches):
-        seen: dict[str, Counter] = defaultdict(Counter)
+    def run(batches):
+        seen: dict[str, list] = defaultdict(list)
 
         def flush():
-            for lang, words in seen.items():
-                grams: Counter = Counter()
-                for w, n in words.items():
-                    for g in ngrams(w):
-                        grams[g] += n
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(list(grams)), pa.array(list(grams.values()), pa.int64())], schema=schema)
+            for lang, parts in seen.items():
+                keys, n = summed(parts)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys), pa.array(n)], schema=schema)
             seen.clear()
 
+        size = 0
         for b in batches:
+            texts: dict[str, list[str]] = defaultdict(list)
             for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
-                seen[lang].update(words_of(text))
-                if sum(map(len, seen.values())) > HELD:
-                    yield from flush()
+                texts[lang].append(text)
+            for lang, some in texts.items():
+                seen[lang].append(counted("\n".join(some)))
+                if len(seen[lang]) > 8:
+                    seen[lang] = [summed(seen[lang])]
+            size = sum(len(p[0]) for parts in seen.values() for p in parts)
+            if size > HELD:
+                yield from flush()
         yield from flush()
 
-    counts = rows.where("lang is not null and text is not null").select("text", "lang").mapInArrow(counted, "lang string, gram string, n long")
+    counts = rows.where("lang is not null and text is not null").select("text", "lang").mapInArrow(run, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = first_rows(counts, ["lang"], [F.desc("n"), F.asc("gram")], profile).collect()
     found: dict[str, list] = defaultdict(list)
@@ -68,39 +100,25 @@ def learn(rows: DataFrame, profile: int = PROFILE) -> dict[str, list[str]]:
 
 
 class Classifier:
-    """Compares a text's most frequent n-grams (ties by first place in the text) with each profile."""
+    """Compares a text's most frequent n-grams (ties by n-gram) with each profile."""
 
-    def __init__(self, profiles: dict[str, list[str]], profile: int = PROFILE):
+    def __init__(self, profiles: dict[str, list[int]], profile: int = PROFILE):
         self.langs, self.size = list(profiles), profile
-        grams = sorted({g for p in profiles.values() for g in p})
-        self.row = {g: i for i, g in enumerate(grams)}
-        self.missing = len(grams)
-        self.places = np.full((len(grams) + 1, len(self.langs)), profile, np.int64)
+        self.grams = np.array(sorted({g for p in profiles.values() for g in p}), np.int64)
+        self.places = np.full((len(self.grams) + 1, len(self.langs)), profile, np.int64)
         for k, p in enumerate(profiles.values()):
-            for place, g in enumerate(p):
-                self.places[self.row[g], k] = place
-        self.known: dict[str, tuple[str, ...]] = {}
+            self.places[np.searchsorted(self.grams, p), k] = np.arange(len(p))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score): the least out-of-place distance, and how far the second best is behind it, 0 to 1."""
-        words = words_of(text)
-        if not words or not self.langs:
+        grams, n = counted(text)
+        if not len(grams) or not self.langs:
             return UNKNOWN, 0.0
-        counts: dict[str, int] = defaultdict(int)
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w, n in Counter(words).items():
-            found = known.get(w)
-            if found is None:
-                found = known[w] = ngrams(w)
-            for g in found:
-                counts[g] += n
-        order = np.argsort(-np.fromiter(counts.values(), np.int64, len(counts)), kind="stable")[: self.size]
-        grams = list(counts)
-        rows = np.array([self.row.get(grams[i], self.missing) for i in order])
-        places = self.places[rows]
-        off = np.where(places == self.size, self.size, np.abs(places - np.arange(len(rows))[:, None])).sum(axis=0)
+        top = grams[np.argsort(-n, kind="stable")[: self.size]]
+        at = np.searchsorted(self.grams, top)
+        at[self.grams[np.minimum(at, len(self.grams) - 1)] != top] = len(self.grams)
+        places = self.places[at]
+        off = np.where(places == self.size, self.size, np.abs(places - np.arange(len(top))[:, None])).sum(axis=0)
         best = int(off.argmin())
         if len(self.langs) == 1:
             return self.langs[0], 1.0
@@ -108,7 +126,7 @@ class Classifier:
         return self.langs[best], float((second - off[best]) / second) if second else 0.0
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[str]], text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "text") -> DataFrame:
     """Adds ``lang_pred`` and ``lang_score`` to each row, from the whole text and nothing else.
 
     Null texts and texts without letters are ``und`` with score 0, and so is every text where nothing was learned.

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import heating, labels, series
+from . import graph, heating, labels, profile, series
 
-MODULES = (series, heating, labels)
+MODULES = (series, heating, labels, profile, graph)
 
 
 def queries() -> dict:

@@ -43,7 +43,9 @@ def _running(df: DataFrame, keys: list[str], value: Column, chunk: Column, order
 def ordered_rows(points: DataFrame, chunk_rows: int = CHUNK) -> DataFrame:
     """Numeric rows with ``stray`` (its timestamp is below one that arrived before) and ``decrease`` (below the accepted value before)."""
     numeric = points.where("value is not null")
-    chunk = F.floor(F.col("arrival") / chunk_rows)
+    # arrival numbers are cut into runs; arrivals by file and split are so already
+    structured = points.schema["arrival"].dataType.typeName() == "struct"
+    chunk = F.struct("arrival.file", "arrival.block") if structured else F.floor(F.col("arrival") / chunk_rows)
     numeric = _running(numeric, ["raw_label"], F.col("ts_text"), chunk, "arrival", "max", "_top")
     numeric = numeric.withColumn("stray", F.coalesce(F.col("ts_text") < F.col("_top"), F.lit(False))).drop("_top")
     numeric = _running(numeric, ["raw_label"], F.when(~F.col("stray"), F.col("value")), chunk, "arrival", "last", "_prev")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import graph, heating, labels, profile, series
+from . import graph, heating, labels, more, profile, series
 
-MODULES = (series, heating, labels, profile, graph)
+MODULES = (series, heating, labels, profile, graph, more)
 
 
 def queries() -> dict:

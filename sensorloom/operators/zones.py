@@ -44,27 +44,29 @@ def _moments(x: str, name: str) -> list:
     return [F.count(x).alias(f"{name}_n"), F.min(x).alias(f"{name}_min"), F.max(x).alias(f"{name}_max"), F.avg(x).alias(f"{name}_mean"), F.when(F.count(x) > 0, F.coalesce(F.stddev_samp(x), F.lit(0.0))).alias(f"{name}_std")]
 
 
-def _changes(samples: DataFrame, column: str, out: str) -> DataFrame:
-    """Changes between consecutive non-null values of a zone."""
-    order = Window.partitionBy(*KEY).orderBy("grid_idx")
-    rows = samples.where(F.col(column).isNotNull()).withColumn("_p", F.lag(column).over(order))
-    return rows.groupBy(*KEY).agg(F.count_if(F.col(column) != F.col("_p")).alias(out))
-
-
-def _histogram(samples: DataFrame, column: str, top: int | None, cap: int, name: str) -> DataFrame:
-    """Distinct count (null beyond ``cap``) and the ``top`` most frequent values, from counts per value, never a whole list."""
-    counts = samples.where(F.col(column).isNotNull()).groupBy(*KEY, F.col(column).alias("value")).agg(F.count("*").alias("count"), F.min("grid_idx").alias("seen"))
-    n = counts.groupBy(*KEY).agg(F.count("*").alias("_n")).select(*KEY, F.when(F.col("_n") <= cap, F.col("_n")).alias(f"{name}_distinct"))
-    if top is None:
-        return n
-    best = counts.withColumn("_rn", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.desc("count"), "seen"))).where(F.col("_rn") <= top)
-    best = best.groupBy(*KEY).agg(F.transform(F.sort_array(F.collect_list(F.struct("_rn", "value", "count"))), lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count"))).alias(f"{name}_top"))
-    return n.join(best, KEY, "left")
+def _histograms(samples: DataFrame) -> DataFrame:
+    """Per zone and signal: distinct values (null beyond the cap) and the most frequent values of set point and gain.
+
+    From counts per value, never a whole list; the three signals share one shuffle.
+    """
+    pair = lambda name, column: F.struct(F.lit(name).alias("signal"), F.col(column).alias("value"))
+    cells = samples.select(*KEY, "grid_idx", F.explode(F.array(pair("t", "actual"), pair("sp", "setpoint"), pair("gain", "gain"))).alias("c"))
+    counts = cells.select(*KEY, "grid_idx", "c.*").where("value is not null").groupBy(*KEY, "signal", "value").agg(F.count("*").alias("count"), F.min("grid_idx").alias("seen"))
+    group = Window.partitionBy(*KEY, "signal")
+    ranked = counts.withColumn("_rn", F.row_number().over(group.orderBy(F.desc("count"), "seen"))).withColumn("_n", F.count("*").over(group))
+    top = F.when(F.col("signal") == "sp", SP_CAP).when(F.col("signal") == "gain", TOP_VALUES).otherwise(1)
+    ranked = ranked.where(F.col("_rn") <= top)
+    of = lambda name: F.col("signal") == name
+    distinct = lambda name, cap: F.max(F.when(of(name) & (F.col("_n") <= cap), F.col("_n"))).alias(f"{name}_distinct")
+    listed = lambda name: F.transform(F.sort_array(F.collect_list(F.when(of(name), F.struct("_rn", "value", "count")))), lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count")))
+    some = lambda name: F.when(F.count(F.when(of(name), 1)) > 0, listed(name)).alias(f"{name}_top")
+    return ranked.groupBy(*KEY).agg(distinct("t", T_CAP), distinct("sp", SP_CAP), distinct("gain", GAIN_CAP), some("sp"), some("gain"))
 
 
 def zone_stats(samples: DataFrame) -> DataFrame:
     """A row per zone: grid counts, moments of temperature, set point, gain and comfort, histograms, changes and quality flags."""
-    comfort = samples.withColumn("comfort", F.col("actual") - F.col("setpoint"))
+    before = Window.partitionBy(*KEY).orderBy("grid_idx").rowsBetween(Window.unboundedPreceding, -1)
+    comfort = samples.withColumns({"comfort": F.col("actual") - F.col("setpoint"), "_t": F.last("actual", ignorenulls=True).over(before), "_sp": F.last("setpoint", ignorenulls=True).over(before)})
     data = ~F.col("is_empty") & ~F.col("is_bad")
     facts = comfort.groupBy(*KEY).agg(
         F.count("*").alias("n_grid"),
@@ -81,9 +83,9 @@ def zone_stats(samples: DataFrame) -> DataFrame:
         F.count_if((F.col("gain") > 0) & (F.col("gain") < 100)).alias("gain_interior"),
         F.count_if(F.col("comfort") < -1).alias("cold"),
         F.count_if(F.col("comfort") > 1).alias("warm"),
-    )
-    for part in (_histogram(samples, "actual", None, T_CAP, "t"), _histogram(samples, "setpoint", SP_CAP, SP_CAP, "sp"), _histogram(samples, "gain", TOP_VALUES, GAIN_CAP, "gain"), _changes(samples, "actual", "t_changes"), _changes(samples, "setpoint", "sp_steps")):
-        facts = facts.join(part, KEY, "left")
+        F.when(F.count("actual") > 0, F.count_if(F.col("actual") != F.col("_t"))).alias("t_changes"),
+        F.when(F.count("setpoint") > 0, F.count_if(F.col("setpoint") != F.col("_sp"))).alias("sp_steps"),
+    ).join(_histograms(samples), KEY, "left")
     share = lambda c: F.when(F.col("gain_n") > 0, F.col(c) / F.col("gain_n"))
     facts = facts.withColumns({"pct_0": share("gain_0"), "pct_100": share("gain_100"), "pct_interior": share("gain_interior")})
     r = RULES

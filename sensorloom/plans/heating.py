@@ -10,9 +10,6 @@ from ..operators import zones as zo
 from .series import PEARSON_SQL, rounded
 from .views import WEATHER, ZONES, weather, zone_samples
 
-HOUR = F.date_format("hour", "yyyy-MM-dd HH:mm:ss")
-
-
 def agg08(spark, d):
     out = zo.zone_stats(zone_samples(spark, d))
     names = [f"{s}_{m}" for s in ("t", "sp", "gain", "comfort") for m in ("mean", "std", "min", "max")] + ["pct_0", "pct_100", "pct_interior"]
@@ -64,7 +61,7 @@ def agg14(spark, d):
 
 
 def agg10(spark, d):
-    return rounded(zo.hourly_proxy(zone_samples(spark, d)), "mean_gain").withColumn("hour", HOUR)
+    return rounded(zo.hourly_proxy(zone_samples(spark, d)), "mean_gain").withColumn("hour", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"))
 
 
 HOURLY = "hp AS (SELECT building, zone, date_trunc('hour', ts) AS hour, avg(gain) AS mean_gain, count(*) AS n FROM zs WHERE gain IS NOT NULL GROUP BY 1, 2, 3)"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from itertools import count
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -12,20 +12,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_group, cut, table
+from .common import by_group, cut, partitions, table
 
-#: Bytes of context, and the most (context, byte) entries that a model keeps of each order; see ``train``.
-ORDER, MAX_ENTRIES = 5, 1 << 20
+#: Bytes of context.
+ORDER = 5
 #: No UTF-8 text holds these bytes: what stands before a text, and its end.
 BEFORE, END = 0xFE, 0xFF
-#: Bytes worked on at once; tokens and texts in a block of token counts.
-CHUNK, BLOCK_TOKENS, BLOCK_TEXTS = 1 << 20, 1_500_000, 60_000
+#: Bytes worked on at once, and bytes of text in a block.
+CHUNK, BLOCK = 1 << 20, 32 << 20
 #: Different grams that a task holds before it sums them or hands them on.
-HELD_GRAMS = 2_000_000
+HELD_GRAMS = 4_000_000
+#: Parts that grams, and as many that tokens are dealt to.
+PARTS = 512
 #: A token no word can be: the end of a text.
 END_TOKEN = b"\n"
+#: Kinds of packed rows: counted grams, grams to score, tokens, texts.
+COUNTED, ASKED, TOKENS, TEXTS = range(4)
 
-META = np.dtype([("id", "<i8"), ("null", "u1"), ("held", "u1"), ("n", "<i8"), ("score", "<f8")])
+META = np.dtype([("id", "<i8"), ("null", "u1"), ("held", "u1"), ("size", "<i8")])
+#: ``part`` is a part of the grams or tokens, or the block in rows for a block; ``keys`` and ``vals`` are packed.
+PACKED = pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()), ("vals", pa.binary())])
+PACKED_DDL = "part long, kind int, block long, n long, keys binary, vals binary"
 
 
 def mask(order: int) -> np.uint64:
@@ -71,12 +78,50 @@ def as_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
+def pack(data: bytes | np.ndarray) -> bytes:
+    return pa.compress(data if isinstance(data, bytes) else data.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes, n: int, kind=np.int64) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, decompressed_size=n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted grams as differences, which pack to a byte or two each."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpack(data, n, np.uint64), dtype=np.uint64)
+
+
+def pack_tokens(tokens: list[bytes]) -> bytes:
+    """No token holds a space. The length stands before them."""
+    joined = b" ".join(tokens)
+    return len(joined).to_bytes(8, "little") + pack(joined)
+
+
+def unpack_tokens(data: bytes) -> list[bytes]:
+    return pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True).split(b" ")
+
+
+def packed_rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(PACKED)], schema=PACKED)
+
+
+def by_part(keys: np.ndarray):
+    """``(part, places)`` of sorted grams. A part has whole contexts of two bytes, so all longer contexts and their bytes."""
+    part = ((((keys >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(40503) & np.uint64(0xFFFF)) * np.uint64(PARTS) >> np.uint64(16)).astype(np.uint16)
+    order = np.argsort(part, kind="stable")
+    found, starts = np.unique(part[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, starts[1:]))
+
+
 def count_grams(texts: DataFrame) -> DataFrame:
-    """``(gram, n)`` over all of ``texts(text)``: counts within a task first, then Spark's sums."""
+    """Packed rows of the grams of ``texts(text)`` and their counts within a task; a gram can be in many rows."""
 
     def handed(keys, n):
-        for i in range(0, len(keys), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 50_000].view(np.int64)), pa.array(n[i : i + 50_000])], names=["gram", "n"])
+        yield packed_rows([(part, COUNTED, 0, len(at), pack_keys(keys[at]), pack(n[at])) for part, at in by_part(keys)])
 
     def run(batches):
         held, size = [], 0
@@ -87,13 +132,28 @@ def count_grams(texts: DataFrame) -> DataFrame:
                 if size > HELD_GRAMS:
                     held = [merged(held)]
                     size = len(held[0][0])
-                    if size > HELD_GRAMS // 2:
+                    if size > HELD_GRAMS * 3 // 4:
                         yield from handed(*held[0])
                         held, size = [], 0
         if held:
             yield from handed(*merged(held))
 
-    return texts.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(run, PACKED_DDL)
+
+
+def lowest(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of order 1 and their counts: pairs of bytes, so at most 65,536 whatever the input."""
+
+    def run(batches):
+        total = np.zeros(1 << 16, np.int64)
+        for b in batches:
+            for n, keys, vals in zip(*(b.column(c).to_pylist() for c in ("n", "keys", "vals"))):
+                total += np.bincount((unpack_keys(keys, n) & mask(1)).astype(np.int64), unpack(vals, n), 1 << 16).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
+
+    got = counts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow().sort_by("gram")
+    return got.column("gram").to_numpy().astype(np.uint64), got.column("n").to_numpy()
 
 
 class Trie:
@@ -115,6 +175,14 @@ class Trie:
                 low = self.n[k - 1][np.searchsorted(self.keys[k - 1], keys & mask(k - 1))] if len(keys) else n
                 self.shadow[k] = np.bincount(at, low, len(contexts)).astype(np.int64)
 
+    @classmethod
+    def of(cls, keys: np.ndarray, n: np.ndarray, low: tuple[np.ndarray, np.ndarray]) -> Trie:
+        """From sorted grams of whole contexts of two bytes, and all grams of order 1."""
+        tables = {ORDER: (keys, n)}
+        for k in range(ORDER - 1, 1, -1):
+            tables[k] = merged([(tables[k + 1][0] & mask(k), tables[k + 1][1])])
+        return cls(tables | {1: low, 0: merged([(low[0] & mask(0), low[1])])})
+
     @staticmethod
     def _find(where: np.ndarray, what: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(where):
@@ -144,100 +212,173 @@ class Trie:
         out[live] -= np.log10(256 - kinds[live])
         return out
 
-    def scores(self, texts: list[bytes]) -> list[float]:
-        """log10 probability of each text with its end."""
-        found: list[float] = []
-        for part in chunks(texts):
-            full, starts = grams(part)
-            keys, at = np.unique(full, return_inverse=True)
-            found += np.add.reduceat(self.log10(keys)[at], starts).tolist()
-        return found
-
-
-def train(texts: DataFrame, max_entries: int = MAX_ENTRIES) -> Trie:
-    """The trie of all of ``texts(text)``: every text is counted, and shorter orders are sums over longer ones.
-
-    Where an order has more than ``max_entries`` entries, it keeps the contexts seen most often, each with all its
-    bytes (the least power of two of sightings at which they fit, and no less than the order below, so that a kept
-    context's shorter one is kept). So what the driver gets is bounded, and what is kept has exact counts.
-    """
-    counts, found = cut(count_grams(texts)), {}
-    for k in range(ORDER, -1, -1):
-        if k < ORDER:
-            counts = cut(counts.groupBy(F.col("gram").bitwiseAND(int(mask(k))).alias("gram")).agg(F.sum("n").alias("n")))
-        contexts = counts.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-        sums = contexts.agg(*[F.coalesce(F.sum(F.when(F.col("total") >= 2**j, F.col("kinds"))), F.lit(0)) for j in range(48)]).first()
-        found[k] = (counts, contexts, next(j for j in range(48) if sums[j] <= max_entries))
-    tables, step = {}, 0
-    for k in range(ORDER + 1):
-        counts, contexts, own = found[k]
-        step = max(step, own)
-        if step:
-            counts = counts.join(contexts.where(F.col("total") >= 2**step).select("context"), F.shiftright("gram", 8) == F.col("context"), "left_semi")
-        got = counts.toArrow()
-        keys, n = got.column("gram").to_numpy().view(np.uint64), got.column("n").to_numpy()
-        order = np.argsort(keys)
-        tables[k] = keys[order], n[order]
-    return Trie(tables)
-
 
 def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
-def token_rows(docs: DataFrame, trie: Trie) -> DataFrame:
-    """``(block, token, c, posts)``: by block of texts, each token's count in training texts and the texts that hold it.
-
-    ``posts`` packs (text's place in the block, count) in 32 bits; the row of a block without token packs the texts
-    themselves (``META``). A block is bounded, so its rows can meet in one task later; no text travels.
-    """
-    schema = pa.schema([("block", pa.int64()), ("token", pa.binary()), ("c", pa.int64()), ("posts", pa.binary())])
+def blocks(docs: DataFrame) -> DataFrame:
+    """A packed row per block of about BLOCK bytes of texts: the texts' ``META``, and the texts."""
 
     def run(batches):
         base, number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32, count()
-        ids: dict[bytes, int] = defaultdict(count().__next__)
         rows, texts, size = [], [], 0
 
         def flush():
-            nonlocal rows, texts, size, ids
             block = base + next(number)
-            meta = np.array(rows, META)
-            lengths = meta["n"]
-            place = np.repeat(np.arange(len(rows), dtype=np.int64), lengths)
-            token = np.concatenate(texts).astype(np.int64)
-            train_ = np.bincount(token, np.repeat(1 - meta["held"].astype(np.int64), lengths), len(ids)).astype(np.int64)
-            both, n = np.unique(token * len(rows) + place, return_counts=True)
-            while (n > 0xFFFF).any():  # counts beyond 16 bits go in parts
-                big = n > 0xFFFF
-                both, n = np.r_[both, both[big]], np.r_[np.minimum(n, 0xFFFF), n[big] - 0xFFFF]
-            order = np.argsort(both, kind="stable")
-            both, n = both[order], n[order]
-            owner = both // len(rows)
-            posts = ((both % len(rows)).astype(np.uint32) << np.uint32(16)) | n.astype(np.uint32)
-            ends = np.cumsum(np.bincount(owner, minlength=len(ids))) * 4
-            offsets = np.r_[0, ends].astype(np.int32)
-            packed = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(posts)])
-            out = pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), block)), pa.array(list(ids), pa.binary()), pa.array(train_), packed], schema=schema)
-            ids, rows, texts, size = defaultdict(count().__next__), [], [], 0
-            for i in range(0, out.num_rows, 50_000):
-                yield out.slice(i, 50_000)
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([None], pa.binary()), pa.array([0], pa.int64()), pa.array([meta.tobytes()], pa.binary())], schema=schema)
+            return packed_rows([(block, TEXTS, block, len(rows), np.array(rows, META).tobytes(), pack(b"".join(texts)))])
 
         for b in batches:
-            given = [as_bytes(t) for t in b.column("text").to_pylist()]
-            scores = trie.scores(given)
-            for doc_id, text, score in zip(b.column("doc_id").to_pylist(), given, scores):
-                words = text.split()
-                words.append(END_TOKEN)
-                texts.append(np.fromiter(map(ids.__getitem__, words), np.int32, len(words)))
-                rows.append((doc_id or 0, doc_id is None, held_out(doc_id), len(words), score))
-                size += len(words)
-                if size >= BLOCK_TOKENS or len(rows) >= BLOCK_TEXTS:
-                    yield from flush()
+            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                texts.append(as_bytes(text))
+                rows.append((doc_id or 0, doc_id is None, held_out(doc_id), len(texts[-1])))
+                size += len(texts[-1]) + ORDER + 1
+                if size >= BLOCK:
+                    yield flush()
+                    rows, texts, size = [], [], 0
         if rows:
-            yield from flush()
+            yield flush()
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PACKED_DDL)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "block long, token binary, c long, posts binary")
+
+def texts_of(meta: np.ndarray, data: bytes) -> list[bytes]:
+    whole = pa.decompress(data, decompressed_size=int(meta["size"].sum()), codec="zstd", asbytes=True)
+    ends = np.cumsum(meta["size"])
+    return [whole[lo:hi] for lo, hi in zip((ends - meta["size"]).tolist(), ends.tolist())]
+
+
+def token_ids(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The different tokens of a block, each text's tokens as places among them, and the number of tokens of each text."""
+    ids: dict[bytes, int] = defaultdict(count().__next__)
+    found, lengths = [], []
+    for t in texts:
+        words = t.split()
+        words.append(END_TOKEN)
+        found.append(np.fromiter(map(ids.__getitem__, words), np.int32, len(words)))
+        lengths.append(len(words))
+    return list(ids), np.concatenate(found), np.array(lengths, np.int64)
+
+
+def token_rows(texts: DataFrame) -> DataFrame:
+    """Packed rows of each block's tokens by part: the tokens, then their counts in training texts and places in the block."""
+
+    def run(batches):
+        for b in batches:
+            for block, meta, data in zip(*(b.column(c).to_pylist() for c in ("block", "keys", "vals"))):
+                meta = np.frombuffer(meta, META)
+                tokens, at, lengths = token_ids(texts_of(meta, data))
+                train_ = np.bincount(at, np.repeat(1 - meta["held"].astype(np.int64), lengths), len(tokens)).astype(np.int64)
+                part = np.fromiter((zlib.crc32(t) % PARTS for t in tokens), np.int64, len(tokens))
+                order = np.argsort(part, kind="stable")
+                kinds, starts = np.unique(part[order], return_index=True)
+                yield packed_rows([(PARTS + p, TOKENS, block, len(i), pack_tokens([tokens[k] for k in i]), pack(np.r_[train_[i], i])) for p, i in zip(kinds.tolist(), np.split(order, starts[1:]))])
+
+    return texts.mapInArrow(run, PACKED_DDL)
+
+
+def asked_rows(texts: DataFrame) -> DataFrame:
+    """Packed rows of each block's different grams by part."""
+
+    def run(batches):
+        for b in batches:
+            for block, meta, data in zip(*(b.column(c).to_pylist() for c in ("block", "keys", "vals"))):
+                held, size = [], 0
+                for part in chunks(texts_of(np.frombuffer(meta, META), data)):
+                    held.append(np.unique(grams(part)[0]))
+                    size += len(held[-1])
+                    if size > HELD_GRAMS:
+                        held = [np.unique(np.concatenate(held))]
+                        size = len(held[0])
+                keys = np.unique(np.concatenate(held))
+                yield packed_rows([(part, ASKED, block, len(at), pack_keys(keys[at]), b"") for part, at in by_part(keys)])
+
+    return texts.mapInArrow(run, PACKED_DDL)
+
+
+def summed_tokens(rows: list[tuple]) -> dict[bytes, int]:
+    """Counts over the corpus of the tokens of one part, from its rows."""
+    total: dict[bytes, int] = defaultdict(int)
+    for _, n, keys, vals in rows:
+        for t, c in zip(unpack_tokens(keys), unpack(vals, 2 * n)[:n].tolist()):
+            total[t] += c
+    return total
+
+
+def token_totals(batches):
+    """``(total, kinds)`` of the tokens of each part."""
+    for _, rows in parts_of(batches):
+        c = summed_tokens([r[1:] for r in rows]).values()
+        yield pa.RecordBatch.from_arrays([pa.array([sum(c)]), pa.array([sum(x > 0 for x in c)])], names=["total", "kinds"])
+
+
+def parts_of(batches):
+    """``(part, rows)`` of packed rows sorted by part, where ``rows`` runs through ``(kind, block, n, keys, vals)``."""
+
+    def each():
+        for b in batches:
+            yield from zip(*(b.column(c).to_pylist() for c in PACKED.names))
+
+    for part, rows in groupby(each(), key=lambda r: r[0]):
+        yield part, (r[1:] for r in rows)
+
+
+def answers(batches, low: tuple[np.ndarray, np.ndarray]):
+    """Of packed rows sorted by part and kind: for each block, log10 probabilities of its grams and counts of its tokens."""
+    for part, rows in parts_of(batches):
+        if part >= PARTS:
+            rows = [r[1:] for r in rows]
+            total = summed_tokens(rows)
+            for block, n, keys, vals in rows:
+                c = np.fromiter(map(total.__getitem__, unpack_tokens(keys)), np.int64, n)
+                yield packed_rows([(block, TOKENS, block, n, pack(unpack(vals, 2 * n)[n:]), pack(c))])
+            continue
+        held, size, trie = [(np.empty(0, np.uint64), np.empty(0, np.int64))], 0, None
+        for kind, block, n, keys, vals in rows:
+            if kind == COUNTED:
+                held.append((unpack_keys(keys, n), unpack(vals, n)))
+                size += n
+                if size > HELD_GRAMS:
+                    held = [merged(held)]
+                    size = 0
+                continue
+            trie = trie or Trie.of(*merged(held), low)
+            held = []
+            yield packed_rows([(block, ASKED, block, n, keys, pack(trie.log10(unpack_keys(keys, n))))])
+
+
+def scored(batches, total: int, floor: float):
+    """Of packed rows sorted by block, its texts and its answers: the rows of the result."""
+    for _, rows in parts_of(batches):
+        keys, logs, tokens, counts = [], [], [], []
+        for kind, _, n, a, b in rows:
+            if kind == TEXTS:
+                meta = np.frombuffer(a, META)
+                texts = texts_of(meta, b)
+            elif kind == ASKED:
+                keys.append(unpack_keys(a, n))
+                logs.append(unpack(b, n, np.float64))
+            else:
+                tokens.append(unpack(a, n))
+                counts.append(unpack(b, n))
+        every = np.concatenate(keys)
+        order = np.argsort(every)
+        every, log = every[order], np.concatenate(logs)[order]
+        found = []
+        for part in chunks(texts):
+            full, starts = grams(part)
+            order = np.argsort(full)
+            own = np.empty(len(full))
+            own[order] = log[np.searchsorted(every, full[order])]
+            found.append(np.add.reduceat(own, starts))
+        _, at, lengths = token_ids(texts)
+        c = np.empty(sum(map(len, counts)), np.int64)
+        c[np.concatenate(tokens)] = np.concatenate(counts)
+        starts = np.r_[0, np.cumsum(lengths)[:-1]]
+        base = np.add.reduceat(np.log10(c + 0.1)[at], starts) - lengths * floor
+        known = np.add.reduceat((c > 0).astype(np.int64)[at], starts)
+        out = [pa.array(meta["id"], mask=meta["null"].astype(bool)), pa.array(meta["held"].astype(bool)), pa.array(lengths), pa.array(known), pa.array(np.full(len(meta), total)), pa.array(base), pa.array(np.concatenate(found))]
+        yield pa.RecordBatch.from_arrays(out, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
 def score(docs: DataFrame, training: DataFrame) -> DataFrame:
@@ -245,56 +386,21 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
 
     ``score``: log10 probability of the text's bytes (A-Z in lower case) and its end by a trie of all training texts.
     ``base_score``: that of its tokens by training counts plus 0.1, where the training rows are those of ``docs`` whose
-    id is not held out. Token counts are summed over the corpus and come back to each block of texts by one join.
+    id is not held out. Neither the trie nor the vocabulary is ever in one place: grams are dealt by the two bytes
+    before their last one, so that a part has all longer contexts of its grams and scores what blocks of texts ask it
+    for; tokens are dealt by checksum. Only the grams of two bytes, a bounded number, come to the driver.
     Null text: empty, which still has its end. Null id: held out, as the checksum of an empty id is 0. An empty table
     gives an empty result; with no training texts every byte has probability 1/256 and every token is new.
     """
-    trie = train(training)
-    rows = cut(token_rows(docs, trie))
-    tokens = rows.where("token is not null")
-    vocabulary = cut(tokens.groupBy("token").agg(F.sum("c").alias("all")))
-    total, kinds = vocabulary.agg(F.coalesce(F.sum("all"), F.lit(0)), F.count_if(F.col("all") > 0)).first()
-    known = tokens.select("block", "token", "posts").join(vocabulary, "token").select("block", F.col("all").alias("c"), "posts")
-    every = known.unionByName(rows.where("token is null").select("block", F.lit(None).cast("long").alias("c"), "posts"))
+    counts = cut(count_grams(training))
+    low = lowest(counts)
+    texts = cut(blocks(docs))
+    tokens = cut(token_rows(texts))
+    total, kinds = by_group(tokens, "part", token_totals, "total long, kinds long").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     floor = float(np.log10(total + 0.1 * (kinds + 1)))
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-
-    def summed(batches):
-        block, sums, seen, meta = None, np.zeros(1 << 16), np.zeros(1 << 16, np.int64), None
-
-        def finish():
-            m = np.frombuffer(meta, META)
-            base = sums[: len(m)] - m["n"] * floor
-            return pa.RecordBatch.from_arrays([pa.array(m["id"], mask=m["null"].astype(bool)), pa.array(m["held"].astype(bool)), pa.array(m["n"]), pa.array(seen[: len(m)]), pa.array(np.full(len(m), total)), pa.array(base), pa.array(m["score"])], schema=schema)
-
-        for b in batches:
-            blocks = b.column("block").to_numpy()
-            bounds = np.r_[0, np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, len(blocks)] if len(blocks) else [0]
-            for lo, hi in zip(bounds[:-1], bounds[1:]):
-                if blocks[lo] != block:
-                    if block is not None:
-                        yield finish()
-                    block, meta = blocks[lo], None
-                    sums[:], seen[:] = 0, 0
-                c, posts = b.column("c").slice(lo, hi - lo), b.column("posts").slice(lo, hi - lo)
-                own = np.flatnonzero(c.is_null().to_numpy(zero_copy_only=False))
-                for k in own:
-                    meta = posts[int(k)].as_py()
-                if len(own):
-                    keep = pa.array(np.delete(np.arange(hi - lo), own))
-                    c, posts = c.take(keep), posts.take(keep)
-                if not len(c):
-                    continue
-                values = c.to_numpy()
-                sizes = np.array([len(x) // 4 for x in posts.to_pylist()])
-                at = np.frombuffer(b"".join(posts.to_pylist()), np.uint32)
-                place, n = (at >> np.uint32(16)).astype(np.int64), (at & np.uint32(0xFFFF)).astype(np.int64)
-                sums += np.bincount(place, np.repeat(np.log10(values + 0.1), sizes) * n, 1 << 16)
-                seen += np.bincount(place, np.repeat(values > 0, sizes) * n, 1 << 16).astype(np.int64)
-        if block is not None:
-            yield finish()
-
-    return by_group(every, "block", summed, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    dealt = counts.unionByName(tokens).unionByName(asked_rows(texts)).repartition(partitions(docs.sparkSession), "part").sortWithinPartitions("part", "kind")
+    every = dealt.mapInArrow(lambda batches: answers(batches, low), PACKED_DDL).unionByName(texts)
+    return by_group(every, "part", lambda batches: scored(batches, total, floor), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,6 +153,20 @@ def test_ppm_probabilities_sum_to_one():
         assert abs(p.sum() - 1) < 1e-9
 
 
+def test_ppm_keeps_every_context(spark):
+    """More contexts than 2^20, each seen about once: none may be dropped."""
+    letters = np.random.default_rng(8).integers(97, 123, 1_500_000).astype(np.uint8).tobytes()
+    texts = [letters[i : i + 5000].decode() for i in range(0, len(letters), 5000)]
+    keys, n = ppm.merged([np.unique(ppm.grams([t.encode()])[0], return_counts=True) for t in texts])
+    tables = {k: ppm.merged([(keys & ppm.mask(k), n)]) for k in range(ppm.ORDER + 1)}
+    assert len(tables[ppm.ORDER][0]) > 1 << 20
+    trie = ppm.Trie(tables)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:20])], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in ppm.score(df, spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    for i, t in enumerate(texts[:20]):
+        assert abs(got[i] - trie.log10(ppm.grams([t.encode()])[0]).sum()) < 1e-6
+
+
 # --- 4: toxicity
 
 

@@ -153,6 +153,15 @@ def test_ppm_probabilities_sum_to_one():
         assert abs(p.sum() - 1) < 1e-9
 
 
+def test_ppm_sees_six_bytes(spark):
+    """What follows "bcdef" depends on the byte before it."""
+    df = spark.createDataFrame([(1, "abcdefg"), (2, "zbcdefh")], "doc_id long, text string")
+    train = spark.createDataFrame([("abcdefg" * 40,), ("zbcdefh" * 40,)], "text string")
+    got = {r.doc_id: r.score for r in ppm.score(df, train).collect()}
+    wrong = ppm.score(spark.createDataFrame([(1, "abcdefh")], "doc_id long, text string"), train).first().score
+    assert min(got.values()) > wrong + 1
+
+
 def test_ppm_keeps_every_context(spark):
     """More contexts than 2^20, each seen about once: none may be dropped."""
     letters = np.random.default_rng(8).integers(97, 123, 1_500_000).astype(np.uint8).tobytes()

@@ -13,8 +13,8 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS, HEX = r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}"
 ASSIGN_LEAST = 12
 
-#: What may be a bare key: at least 16 characters of a key alphabet, with a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])"
+#: What may be a key: at least 16 characters of a key alphabet, bare or after an equals sign; padding stands at the end only.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?(?![A-Za-z0-9+/_-])"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Alphabets a key may be written in, in the order tried. Plain numbers are none: they are dates, cards and counters.
 ENCODINGS = (

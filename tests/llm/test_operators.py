@@ -394,6 +394,15 @@ def test_secret_spans_by_brute_force(spark):
     assert secrets.scan(df.limit(0), ["doc_id"]).count() == 0
 
 
+def test_secrets_after_equals_signs_and_without_digits(spark):
+    """Query strings, env files and logs; keys in letters alone; padding at the end; a long name before a key."""
+    keys = ["Zq8vN3xT7mLp2Kd9RwYb4Hs6Jc1Fg5", "qZvNxTmLpKdRwYbHsJcFgUaEoXiBt", "hT4kQ9wZ2rX7mV1cN8bL3jS6dF5gPw=="]
+    texts = [f"https://x.example/?a=1&sig={keys[0]}&b=2", f"AWS_KEY={keys[0]}", f"auth {keys[1]} end", f"v={keys[2]}, w", f"some_long_name_of_it={keys[0]}", "internationalization=characteristically"]
+    rows = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ["doc_id", "text"]).collect()
+    got = {r.doc_id: [r.text[x.start : x.end] for x in r.added] for r in rows}
+    assert got == {0: keys[:1], 1: keys[:1], 2: keys[1:2], 3: keys[2:], 4: keys[:1], 5: []}
+
+
 # --- 10: embeddings
 
 

@@ -14,8 +14,8 @@ from .common import by_group, components, cut, fixed_lists, sorted_groups, spann
 SHINGLE, THRESHOLD = 5, 0.8
 #: Minwise tokens of a set; paths end at DEPTH tokens or in a bucket of at most LEAF sets.
 TOKENS, DEPTH, LEAF = 128, 4, 1000
-#: Runs for a recall of 0.9999 at the threshold when paths take two tokens: 1 - (1 - 0.8**2)**RUNS.
-RUNS = 10
+#: Runs for a recall of 0.9999 at the threshold when paths take all DEPTH tokens: 1 - (1 - 0.8**4)**RUNS.
+RUNS = 18
 #: Least equal bits of two sketches: six deviations under what the threshold gives.
 BITS = 95
 
@@ -239,7 +239,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ``THRESHOLD`` or more. ``n_links`` counts the other documents linked directly, ``class_id`` is the smallest id
     reachable over links. Documents with equal sets are one set with a number of copies; sets are found by chosen
     paths and proved on their whole shingles. The paths of ``RUNS`` runs miss a pair at the threshold with a chance
-    under 0.0001 when they take two tokens; a pair is looked at in the first run that brings it together.
+    under 0.0001 even when they take all ``DEPTH`` tokens; a pair is looked at in the first run that brings it together.
 
     Null or empty texts link with nothing and are classes of their own. Rows with a null id link with nothing and
     return null class and 0 links. Rows that repeat an id count as documents. An empty table gives an empty result.

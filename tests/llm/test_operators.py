@@ -359,6 +359,10 @@ def test_near_copies_by_brute_force(spark, monkeypatch):
     assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_copies(df).collect()} == got
 
 
+def test_near_copies_recall_at_every_depth():
+    assert all(1 - (1 - jaccard.THRESHOLD**d) ** jaccard.RUNS >= 0.9999 for d in range(1, jaccard.DEPTH + 1))
+
+
 def test_near_copies_edges(spark):
     t = words(random.Random(1), 50)
     df = spark.createDataFrame([(1, t, "a"), (1, t, "a"), (2, t.upper(), "b"), (None, t, "c"), (3, None, "d"), (4, "", "e"), (5, "  ", "f")], "doc_id long, text string, rep string")

@@ -19,10 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (a local session, as in tests) is a folder of this machine taken instead.
+    Only where that is unset on a local master (as in tests) is a folder of this machine taken instead: elsewhere other
+    executors could not read it, so that is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         where = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -31,7 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame, partitions_by: str | None = None) -> DataFrame:
     """Writes ``df`` as a table in the shared folder and reads it back.
 
-    The lineage ends there, so work survives lost executors and is done once however often it is read.
+    The lineage ends there, so work survives lost executors and is done once however often it is read. The table goes
+    when the session ends, or by ``discard`` once nothing reads it any more.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
@@ -39,7 +44,32 @@ def cut(df: DataFrame, partitions_by: str | None = None) -> DataFrame:
     if partitions_by:
         writer = writer.partitionBy(partitions_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    fs, where = _file_system(spark, path)
+    fs.deleteOnExit(where)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._cut_path = path
+    return found
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by ``cut`` that no unfinished result reads."""
+    for t in tables:
+        fs, where = _file_system(t.sparkSession, t._cut_path)
+        fs.delete(where, True)
+
+
+def salted_join(rows: DataFrame, small: DataFrame, key: str, by: str, salts: int = 16) -> DataFrame:
+    """Inner join on ``key`` where many ``rows`` may share one key: they are dealt over ``salts`` tasks by ``by``.
+
+    ``small`` has one row per key and is repeated ``salts`` times.
+    """
+    dealt = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).join(dealt, [key, "_salt"]).drop("_salt")
 
 
 def partitions(spark: SparkSession) -> int:
@@ -72,7 +102,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     before = None
     for _ in range(max_rounds):
-        pairs = cut(star(star(pairs, True), False))
+        last, pairs = pairs, cut(star(star(pairs, True), False))
+        discard(last)
         now = digest(pairs)
         if now == before:
             break

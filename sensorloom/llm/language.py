@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import first_rows, table
 
@@ -20,7 +22,8 @@ UNKNOWN = "und"
 
 #: What stands between words, as one edge mark.
 EDGE = "_"
-_GAPS = re.compile(r"[\W\d_]+")
+#: Anything but a letter: numbers such as fractions and circled digits count as word characters to ``re`` and are named here.
+_GAPS = re.compile("[\\W\\d_" + "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha()) + "]+")
 
 
 def ngrams(text: str | None) -> np.ndarray:
@@ -129,8 +132,10 @@ class Classifier:
 def identify(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "text") -> DataFrame:
     """Adds ``lang_pred`` and ``lang_score`` to each row, from the whole text and nothing else.
 
-    Null texts and texts without letters are ``und`` with score 0, and so is every text where nothing was learned.
-    Columns named like the added ones are replaced, all others kept.
+    Null texts and texts without letters (signs, digits, fractions, numerals) are ``und`` with score 0, and so is every
+    text where nothing was learned. Equal distances: the first language by name, with score 0. Very long texts are
+    counted in parts. Repeated rows are predicted each. An empty table gives an empty result. Columns named like the
+    added ones are replaced, all others kept.
     """
     docs = docs.select(*[c for c in docs.columns if c not in ("lang_pred", "lang_score")])
 
@@ -140,11 +145,12 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], text_col: str = "t
             found = [classifier.predict(t) for t in b.column(text_col).to_pylist()]
             yield b.append_column("lang_pred", pa.array([f[0] for f in found], pa.string())).append_column("lang_score", pa.array([f[1] for f in found], pa.float64()))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{kinds}, lang_pred string, lang_score double")
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all ``documents`` by profiles of those outside the held-out quarter; edge cases as in ``identify``."""
     docs = table(spark, sf_dir, "documents")
     out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
     profiles = learn(docs.where(~out).select("text", "lang"))

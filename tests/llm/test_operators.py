@@ -82,6 +82,38 @@ def test_language_ngrams_by_brute_force():
     assert dict(zip(map(language.spell, keys.tolist()), n.tolist()))["wor"] == 400_000
 
 
+def test_language_of_texts_without_letters(spark):
+    profiles = {"en": [1, 2], "de": [2, 1]}
+    texts = ["½ ²", "①②", "Ⅷ", "١٢", "12 -", "_", "\u0301", "\n", "(3½) №"[:4]]
+    df = spark.createDataFrame([(t,) for t in [*texts, "½ a", "ªx", None]], "text string")
+    got = {r.text: (r.lang_pred, r.lang_score) for r in language.identify(df, profiles).collect()}
+    assert all(got[t] == ("und", 0.0) for t in [*texts, None]) and got["½ a"][0] == got["ªx"][0] == "en"  # a tie: the first language given
+
+
+def test_language_distance_by_brute_force():
+    """Out-of-place distances by dictionaries over n-grams as strings; ties of counts go by n-gram, ties of distances by language."""
+    rng = random.Random(6)
+    texts = {lang: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) for _ in range(400)) for lang, letters in (("aa", "abcde"), ("bb", "cdefg"), ("cc", "éèabc"))}
+
+    def ranked(text):
+        grams = collections.Counter()
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            p = f"_{w}_"
+            for n in (1, 2, 3):
+                grams.update(p[i : i + n] for i in range(len(p) - n + 1) if p[i : i + n] != "_")
+        number = lambda g: sum(ord(c) << 21 * k for k, c in enumerate(reversed(g)))
+        return [g for g, _ in sorted(grams.items(), key=lambda x: (-x[1], number(x[0])))][:40], number
+
+    profiles = {lang: list(map(ranked(t)[1], ranked(t)[0])) for lang, t in texts.items()}
+    classifier = language.Classifier(profiles, 40)
+    for _ in range(60):
+        text = " ".join("".join(rng.choice("abcdefgéè") for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(1, 40)))
+        own = ranked(text)[0]
+        off = {lang: sum(abs(i - ranked(t)[0].index(g)) if g in ranked(t)[0] else 40 for i, g in enumerate(own)) for lang, t in texts.items()}
+        first, second = sorted(off.values())[:2]
+        assert classifier.predict(text) == (min(off, key=lambda k: (off[k], k)), pytest.approx((second - first) / second if second else 0.0))
+
+
 def test_language_held_out_accuracy(spark):
     got = language.learn  # the query below learns from the other three quarters
     assert got
@@ -356,11 +388,56 @@ def test_near_copies_by_brute_force(spark, monkeypatch):
     got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_copies(df).collect()}
     assert got == brute_classes(rows)
     monkeypatch.setattr(jaccard, "LEAF", 7)  # deep paths and tiles
+    monkeypatch.setattr(jaccard, "TILE", 9)
     assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_copies(df).collect()} == got
 
 
-def test_near_copies_recall_at_every_depth():
-    assert all(1 - (1 - jaccard.THRESHOLD**d) ** jaccard.RUNS >= 0.9999 for d in range(1, jaccard.DEPTH + 1))
+def test_near_copies_recall_does_not_fall_with_depth():
+    """A pair at the threshold shares each sampled token with chance 0.8: simulated over paths of eight levels."""
+    rng = np.random.default_rng(1)
+    alive = np.ones((20_000, jaccard.RUNS, 1), bool)
+    for _ in range(8):
+        alive = (alive[..., None] & (rng.random((*alive.shape, jaccard.BRANCH)) < jaccard.THRESHOLD)).reshape(20_000, jaccard.RUNS, -1)
+    assert abs(alive.any(axis=2).mean() - jaccard.recall_of_run()) < 0.01
+    assert 1 - (1 - jaccard.recall_of_run()) ** jaccard.RUNS >= jaccard.TARGET
+
+
+def test_near_copies_where_paths_go_deep(spark, monkeypatch):
+    """Texts share a long passage, so first buckets are large and split by what differs; a group that no token divides goes in tiles."""
+    rng = random.Random(11)
+    common = words(rng, 60)
+    rows = []
+    for i in range(500):
+        if i % 5 == 0:
+            rows.append((i, f"{common} {words(rng, 60)}"))
+        elif i % 5 < 4:
+            t = rows[i - i % 5][1].split()
+            t[70 + rng.randrange(40)] = f"new{i}"
+            rows.append((i, " ".join(t)))
+        else:
+            rows.append((i, f"{common} tail{i} of{i}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "LEAF", 20)
+    monkeypatch.setattr(jaccard, "TILE", 30)
+    levels = []
+    real = jaccard.buckets_of
+
+    def seen(sets):
+        ends = real(sets)
+        levels.append(ends.agg(F.max("level")).first()[0])
+        return ends
+
+    monkeypatch.setattr(jaccard, "buckets_of", seen)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_copies(df).collect()}
+    assert got == brute_classes(rows) and levels[0] >= 3
+
+
+def test_near_copies_keep_the_type_of_ids(spark):
+    t = words(random.Random(1), 50)
+    long = " ".join(f"w{i}" for i in range(60_000))
+    df = spark.createDataFrame([("b", t), ("a", t.title()), ("c", long), ("d", long + " end"), ("e", None)], "doc_id string, text string")
+    assert sorted(map(tuple, jaccard.near_copies(df).collect())) == [("a", "a", 1), ("b", "a", 1), ("c", "c", 1), ("d", "c", 1), ("e", "e", 0)]
+    assert sorted(r.doc_id for r in jaccard.drop_near_copies(df).collect()) == ["a", "c", "e"]
 
 
 def test_near_copies_edges(spark):

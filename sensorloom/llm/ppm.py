@@ -111,6 +111,20 @@ def unpack_tokens(data: bytes) -> list[bytes]:
     return pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True).split(b" ")
 
 
+def pack_logs(logs: np.ndarray) -> bytes:
+    """Many grams share a probability, so the different ones and the place of each; their number stands before them."""
+    kinds, at = np.unique(logs, return_inverse=True)
+    width = np.uint16 if len(kinds) <= 1 << 16 else np.uint32
+    return len(kinds).to_bytes(8, "little") + pack(kinds.tobytes() + at.astype(width).tobytes())
+
+
+def unpack_logs(data: bytes, n: int) -> np.ndarray:
+    kinds = int.from_bytes(data[:8], "little")
+    width = np.dtype(np.uint16 if kinds <= 1 << 16 else np.uint32)
+    raw = pa.decompress(data[8:], decompressed_size=8 * kinds + width.itemsize * n, codec="zstd", asbytes=True)
+    return np.frombuffer(raw, np.float64, kinds)[np.frombuffer(raw, width, n, 8 * kinds)]
+
+
 def packed_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(PACKED)], schema=PACKED)
 
@@ -283,20 +297,25 @@ def token_rows(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, PACKED_DDL)
 
 
+def grams_of_block(texts: list[bytes]) -> np.ndarray:
+    """The different grams of a block, sorted: what it asks for, and the order of the answers."""
+    held, size = [], 0
+    for part in chunks(texts):
+        held.append(distinct(grams(part)[0]))
+        size += len(held[-1])
+        if size > HELD_GRAMS:
+            held = [distinct(np.concatenate(held))]
+            size = len(held[0])
+    return distinct(np.concatenate(held))
+
+
 def asked_rows(texts: DataFrame) -> DataFrame:
     """Packed rows of each block's different grams by part."""
 
     def run(batches):
         for b in batches:
             for block, meta, data in zip(*(b.column(c).to_pylist() for c in ("block", "keys", "vals"))):
-                held, size = [], 0
-                for part in chunks(texts_of(np.frombuffer(meta, META), data)):
-                    held.append(distinct(grams(part)[0]))
-                    size += len(held[-1])
-                    if size > HELD_GRAMS:
-                        held = [distinct(np.concatenate(held))]
-                        size = len(held[0])
-                keys = distinct(np.concatenate(held))
+                keys = grams_of_block(texts_of(np.frombuffer(meta, META), data))
                 yield packed_rows([(part, ASKED, block, len(at), pack_keys(keys[at]), b"") for part, at in by_part(keys)])
 
     return texts.mapInArrow(run, PACKED_DDL)
@@ -323,14 +342,19 @@ def parts_of(batches):
 
     def each():
         for b in batches:
-            yield from zip(*(b.column(c).to_pylist() for c in PACKED.names))
+            for lo in range(0, b.num_rows, 64):  # a batch may hold much: few rows at a time are copied
+                some = b.slice(lo, 64)
+                yield from zip(*(some.column(c).to_pylist() for c in PACKED.names))
 
     for part, rows in groupby(each(), key=lambda r: r[0]):
         yield part, (r[1:] for r in rows)
 
 
 def answers(batches, low: tuple[np.ndarray, np.ndarray]):
-    """Of packed rows sorted by part and kind: for each block, log10 probabilities of its grams and counts of its tokens."""
+    """Of packed rows sorted by part and kind: for each block, log10 probabilities of its grams and counts of its tokens.
+
+    A block knows which grams it asked of a part and in which order, so the answer names the part alone (in ``block``).
+    """
     for part, rows in parts_of(batches):
         if part >= PARTS:
             rows = [r[1:] for r in rows]
@@ -350,26 +374,26 @@ def answers(batches, low: tuple[np.ndarray, np.ndarray]):
                 continue
             trie = trie or Trie.of(*merged(held), low)
             held = []
-            yield packed_rows([(block, ASKED, block, n, keys, pack(trie.log10(unpack_keys(keys, n))))])
+            yield packed_rows([(block, ASKED, part, n, b"", pack_logs(trie.log10(unpack_keys(keys, n))))])
 
 
 def scored(batches, total: int, floor: float):
     """Of packed rows sorted by block, its texts and its answers: the rows of the result."""
     for _, rows in parts_of(batches):
-        keys, logs, tokens, counts = [], [], [], []
-        for kind, _, n, a, b in rows:
+        answered, tokens, counts = {}, [], []
+        for kind, part, n, a, b in rows:
             if kind == TEXTS:
                 meta = np.frombuffer(a, META)
                 texts = texts_of(meta, b)
             elif kind == ASKED:
-                keys.append(unpack_keys(a, n))
-                logs.append(unpack(b, n, np.float64))
+                answered[part] = n, b
             else:
                 tokens.append(unpack(a, n))
                 counts.append(unpack(b, n))
-        every = np.concatenate(keys)
-        order = np.argsort(every)
-        every, log = every[order], np.concatenate(logs)[order]
+        every = grams_of_block(texts)
+        log = np.empty(len(every))
+        for part, at in by_part(every):
+            log[at] = unpack_logs(answered[part][1], answered[part][0])
         found = []
         for part in chunks(texts):
             full, starts = grams(part)
@@ -396,7 +420,9 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     before their last one, so that a part has all longer contexts of its grams and scores what blocks of texts ask it
     for; tokens are dealt by checksum. Only the grams of two bytes, a bounded number, come to the driver.
     Null text: empty, which still has its end. Null id: held out, as the checksum of an empty id is 0. An empty table
-    gives an empty result; with no training texts every byte has probability 1/256 and every token is new.
+    gives an empty result; with no training texts every byte has probability 1/256 and every token is new. A very long
+    text is worked on whole, in a block of its own. Repeated rows are scored each and count each in training. Columns of
+    ``docs`` but these two are not read, whatever their names.
     """
     counts = cut(count_grams(training))
     low = lowest(counts)
@@ -410,6 +436,7 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all ``documents``, learning from those outside the held-out tenth; edge cases as in ``score``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     training = docs.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 != 0)
     return score(docs, training)

@@ -487,24 +487,63 @@ def test_secrets_after_equals_signs_and_without_digits(spark):
 # --- 10: embeddings
 
 
+def brute_vectors(rows):
+    """Links and components of (id, vector, label) rows that are all sound."""
+    x = np.array([r[1] for r in rows], float)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lab = np.array([r[2] for r in rows])
+    near = (x @ x.T >= 0.93) & (lab[:, None] == lab[None, :])
+    np.fill_diagonal(near, False)
+    comp = np.array([r[0] for r in rows])
+    ids = comp.copy()
+    while True:
+        new = np.minimum(comp, np.where(near, comp[None, :], 10**9).min(axis=1))
+        if (new == comp).all():
+            return {int(i): (int(n), int(c), bool(c == i)) for i, n, c in zip(ids, near.sum(axis=1), comp)}
+        comp = new
+
+
+def vectors_of(spark, df):
+    return {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_vectors(df).collect()}
+
+
 def test_near_vectors_by_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((40, 16))
     rows = [(i, (base[i % 40] + rng.standard_normal(16) * 0.06).astype(float).tolist(), int(i % 40 % 3)) for i in range(300)]
-    rows += [(300, rows[0][1], rows[0][2]), (301, None, 1), (302, [0.0] * 16, 1), (303, rows[1][1], None), (304, [float("nan")] * 16, 1), (305, [None] * 16, 1), (306, [], 1), (307, rows[2][1][:8], rows[2][2])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    fine = [r for r in rows if r[0] <= 300]
-    x = np.array([r[1] for r in fine])
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    lab = np.array([r[2] for r in fine])
-    near = (x @ x.T >= 0.93) & (lab[:, None] == lab[None, :])
-    np.fill_diagonal(near, False)
-    comp = np.arange(len(fine))
-    for _ in range(len(fine)):
-        comp = np.minimum(comp, np.where(near, comp[None, :], 10**6).min(axis=1))
-    want = {i: (int(near[i].sum()), int(comp[i]), bool(comp[i] == i)) for i in range(len(fine))} | {i: (0, i, True) for i in range(301, 308)}
-    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_vectors(df).collect()} == want
+    rows += [(300, rows[0][1], rows[0][2])]
+    want = brute_vectors(rows)
+    odd = [(301, None, 1), (302, [0.0] * 16, 1), (303, rows[1][1], None), (304, [float("nan")] * 16, 1), (305, [None] * 16, 1), (306, [], 1), (307, rows[2][1][:8], rows[2][2])]
+    want |= {i: (0, i, True) for i in range(301, 308)}
+    df = spark.createDataFrame([*rows, *odd], "vec_id long, embedding array<double>, label int")
+    assert vectors_of(spark, df) == want
     monkeypatch.setattr(embeddings, "LEAF", 3)
     monkeypatch.setattr(embeddings, "WINDOW", 2)
-    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_vectors(df).collect()} == want
+    monkeypatch.setattr(embeddings, "BLOCK", 7)
+    assert vectors_of(spark, df) == want
     assert embeddings.near_vectors(df.limit(0)).count() == 0
+
+
+def test_near_vectors_edges(spark):
+    """Null and repeated ids, text ids and labels, clashing names, and components whose squares leave the range of doubles."""
+    rows = [("b", [1e200, 1e200], "x", 1), ("a", [3e-200, 3e-200], "x", 2), ("a", [1.0, 1.0], "x", 3), (None, [1.0, 1.0], "x", 4), ("c", [1.0, -1.0], "x", 5), ("d", [5e-324, 0.0], "y", 6), ("e", [1.7e308, 0.0], "y", 7)]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<double>, label string, rep int").withColumn("component", F.lit(1))
+    got = sorted(map(tuple, embeddings.near_vectors(df).collect()), key=str)
+    assert got == sorted([("b", 2, "a", False), ("a", 2, "a", True), ("a", 2, "a", True), (None, 0, None, False), ("c", 0, "c", True), ("d", 1, "d", True), ("e", 1, "d", False)], key=str)
+
+
+def test_near_vectors_recall_in_a_large_label(spark):
+    """Pairs at the threshold, each alone among 12,000 vectors of one label: found at the rate that ``passes_for`` promises."""
+    rng = np.random.default_rng(5)
+    a = rng.standard_normal((6000, 32))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((6000, 32))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b = 0.931 * a + math.sqrt(1 - 0.931**2) * b
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(np.r_[a, b])], "vec_id long, embedding array<double>, label int")
+    got = vectors_of(spark, df)
+    found = sum(got[i][0] > 0 and got[i][1] == got[i + 6000][1] for i in range(6000)) / 6000
+    assert found >= embeddings.TARGET - 0.01
+    assert embeddings.passes_for(3_000_000) > 2 * embeddings.passes_for(20_000) > embeddings.passes_for(64)

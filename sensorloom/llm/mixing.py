@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from .common import WORD, cut, table
 
-#: Slices of the rank key, for finding the last document taken without sorting a whole source in one task.
+#: Slices of the rank key in each of two rounds, for finding the last document taken without sorting a whole source in one task.
 SLICES = 4096
+#: Merit by size in words, as (below, merit): the odds of being taken grow with it. Stubs and scraps repeat least.
+MERITS = ((16, 0.5), (64, 0.75), (1024, 1.0), (None, 1.25))
 
 
 def word_count(text: str | Column) -> Column:
@@ -43,81 +45,126 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], cap: float) ->
     return ranked.select("skey", "source_size", goal.alias("target"))
 
 
+def merit_by_size(size: Column) -> Column:
+    out = F.lit(MERITS[-1][1])
+    for below, merit in reversed(MERITS[:-1]):
+        out = F.when(size < below, merit).otherwise(out)
+    return out
+
+
+def copies_of(classes: DataFrame, cap: float) -> DataFrame:
+    """``classes(skey, merit, words, target)``: adds ``copies``, the expected copies of a document of a source and merit.
+
+    They are in proportion to merit but for ``cap``, and their words sum to the target: classes of high merit reach
+    the cap first, and the others share what is left. The table has at most a row per source and merit.
+    """
+    order = Window.partitionBy("skey").orderBy(F.desc("merit"))
+    before, rest = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
+    every = Window.partitionBy("skey")
+    free = F.col("target") - F.lit(float(cap)) * F.coalesce(F.sum("words").over(before), F.lit(0))
+    weight = F.sum(F.col("words") * F.col("merit")).over(rest)
+    rows = classes.withColumn("_rate", F.when(weight > 0, free / weight).otherwise(F.lit(0.0)))
+    # the first class that the rate leaves below the cap ends the capped ones
+    rows = rows.withColumn("_level", F.max(F.when(F.col("_rate") * F.col("merit") <= F.lit(float(cap)), F.struct("merit", "_rate"))).over(every)["_rate"])
+    return rows.withColumn("copies", F.coalesce(F.least(F.lit(float(cap)), F.col("_level") * F.col("merit")), F.lit(float(cap)))).drop("_rate", "_level")
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", merit_col: str | None = None) -> DataFrame:
     """Adds ``_size``, ``_source_size``, ``_target`` and ``_copies`` to each row of ``docs``.
 
-    Every source gets a target in words (``source_targets``). A document is certainly taken ``floor(target /
-    source_size)`` times; the rest of the target is a fixed-size sample of the source in Pareto order: documents
-    are ranked by the odds of a fixed uniform draw over the odds of their inclusion probability, which is the
-    rest's share of the source, scaled by ``merit_col`` where that is given. Documents are taken in that order
-    until the words come as near to the target as whole documents can.
+    Every source gets a target in words (``source_targets``). A document's expected copies are in proportion to its
+    merit, at most ``cap`` (``copies_of``). It is certainly taken the whole number of times; the fractions are the
+    inclusion probabilities of a fixed-size sample in Pareto order: documents are ranked by the odds of a fixed uniform
+    draw over the odds of inclusion, and taken in that order until the words come as near to the target as whole
+    documents can. Merit is ``merit_col`` to hundredths, between 0.01 and 100 (null: 0.01), or by size (``MERITS``).
 
-    The last document taken is found without sorting a source: words are summed in slices of the rank key, and only
-    the slice that holds the boundary is sorted. So a source with a third of all rows makes no large task.
+    The last document taken is found without sorting a source: words are summed in slices of the rank key, then in
+    slices of the slice that holds the boundary, and only the last of them is sorted. So a source with a third of all
+    rows makes no large task.
 
-    Null source: a source of its own, last in order. Null text: size 0. Null id: the draw comes from the text.
-    Rows that repeat an id within a source share one draw and so are taken or left together. A source without
-    words has target 0. Empty input gives an empty result. Extra columns are kept; names starting with ``_`` that
-    this function adds replace columns of the same name.
+    Null source: a source of its own, last in order. Null or empty text: size 0. Very long texts count whole. Null id:
+    the draw comes from the text. Rows that repeat an id within a source share one draw and so are taken or left
+    together; ties of the rank go by id. A source without words has target 0. Empty input gives an empty result. Extra
+    columns are kept; names starting with ``_`` that this function adds replace columns of the same name.
     """
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce(text_col, F.lit("")))))
-    merit = F.greatest(F.coalesce(F.col(merit_col).cast("double"), F.lit(0.0)), F.lit(0.0)) if merit_col else F.lit(1.0)
-    rows = docs.withColumns({"_skey": F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string"))), "_size": word_count(text_col), "_key": key, "_u": uniform(key, seed), "_merit": merit})
+    merit = F.greatest(F.lit(0.01), F.least(F.lit(100.0), F.coalesce(F.round(F.col(merit_col).cast("double"), 2), F.lit(0.01)))) if merit_col else merit_by_size(F.col("_size"))
+    kept = [c for c in docs.columns if c not in ("_size", "_source_size", "_target", "_copies")]
+    names = {c: f"_in{i}" for i, c in enumerate(kept)}  # no name of ``docs`` can clash while it is worked on
+    rows = docs.select(*[F.col(c).alias(n) for c, n in names.items()], F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string"))).alias("_skey"), word_count(text_col).alias("_size"), key.alias("_key"), uniform(key, seed).alias("_u"), *([merit.alias("_merit")] if merit_col else []))
+    rows = rows if merit_col else rows.withColumn("_merit", merit)
     slim = cut(rows.select("_skey", "_size", "_key", "_u", "_merit"))
-    sums = slim.groupBy(F.col("_skey").alias("skey")).agg(F.sum("_size").alias("source_size"), (F.sum(F.col("_size") * F.col("_merit")) / F.sum("_size")).alias("mean_merit"))
-    goals = source_targets(sums.select("skey", "source_size"), weights, cap).join(sums.select("skey", "mean_merit"), "skey")
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    goals = goals.withColumn("whole", F.floor(ratio)).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    goals = cut(goals.withColumn("share", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0)))
+    sums = cut(slim.groupBy(F.col("_skey").alias("skey"), F.col("_merit").alias("merit")).agg(F.sum("_size").alias("words")))
+    goals = source_targets(sums.groupBy("skey").agg(F.sum("words").alias("source_size")), weights, cap)
+    goals = copies_of(sums.join(goals, "skey"), cap)
+    goals = goals.withColumn("whole", F.floor("copies")).withColumn("p", F.col("copies") - F.floor("copies"))
+    goals = cut(goals.withColumn("rest", F.col("target") - F.sum(F.col("whole") * F.col("words")).over(Window.partitionBy("skey"))).drop("words"))
 
     def rank(df: DataFrame) -> DataFrame:
-        """Adds the rank key and its slice; expects a document's draw beside its source's goal."""
-        p = F.least(F.lit(1 - 1e-9), F.col("share") * F.col("_merit") / F.when(F.col("mean_merit") > 0, F.col("mean_merit")).otherwise(1.0))
-        q = F.when(p > 0, (F.col("_u") / (1 - F.col("_u"))) / (p / (1 - p)))
-        return df.withColumn("_q", q).withColumn("_slice", F.when(q.isNotNull(), F.least(F.lit(SLICES - 1), F.floor(F.col("_q") / (1 + F.col("_q")) * SLICES))))
-
-    ranked = rank(slim.join(goals, F.col("_skey") == F.col("skey"))).where("_q is not null")
-    slices = ranked.groupBy("skey", "_slice", "rest").agg(F.sum("_size").alias("words"))
-    running = F.sum("words").over(Window.partitionBy("skey").orderBy("_slice"))
-    slices = slices.withColumn("start", running - F.col("words")).where("start <= rest and start + words > rest").select("skey", "_slice", "start", "rest")
-    edge = cut(slices)
-    tied = ranked.drop("rest").join(edge, ["skey", "_slice"]).groupBy("skey", "_slice", "start", "rest", "_q", "_key").agg(F.sum("_size").alias("words"))
-    upto = F.col("start") + F.sum("words").over(Window.partitionBy("skey").orderBy("_q", "_key"))
+        """Adds the rank key and its slices; expects a document's draw beside its source's goal."""
+        q = F.when(F.col("p") > 0, (F.col("_u") / (1 - F.col("_u"))) / (F.col("p") / (1 - F.col("p"))))
+        place = F.col("_q") / (1 + F.col("_q")) * SLICES
+        df = df.withColumn("_q", q).withColumn("_slice", F.least(F.lit(SLICES - 1), F.floor(place)))
+        return df.withColumn("_part", F.least(F.lit(SLICES - 1), F.floor((place - F.col("_slice")) * SLICES)))
+
+    def boundary(df: DataFrame, by: str) -> DataFrame:
+        """The slice that holds the last document taken, and the words before it."""
+        sums = df.groupBy("skey", by, "start", "rest").agg(F.sum("_size").alias("words"))
+        upto = F.col("start") + F.sum("words").over(Window.partitionBy("skey").orderBy(by))
+        sums = sums.withColumn("end", upto).withColumn("start", F.col("end") - F.col("words"))
+        return cut(sums.where("start <= rest and end > rest").select("skey", by, "start"))
+
+    ranked = rank(slim.join(goals, (F.col("_skey") == F.col("skey")) & (F.col("_merit") == F.col("merit")))).where("_q is not null").withColumn("start", F.lit(0).cast("long"))
+    edge = boundary(ranked, "_slice")
+    inside = ranked.drop("start").join(edge, ["skey", "_slice"])
+    part = boundary(inside, "_part").withColumnRenamed("start", "begin")
+    tied = inside.join(part, ["skey", "_part"]).groupBy("skey", "_part", "begin", "rest", "_q", "_key").agg(F.sum("_size").alias("words"))
+    upto = F.col("begin") + F.sum("words").over(Window.partitionBy("skey").orderBy("_q", "_key"))
     last = tied.withColumn("upto", upto).where("upto - words / 2.0D <= rest").groupBy("skey").agg(F.max(F.struct("_q", "_key")).alias("last"))
-    edges = edge.select("skey", F.col("_slice").alias("edge")).join(last, "skey", "left")
+    edges = edge.select("skey", F.col("_slice").alias("edge")).join(part.select("skey", F.col("_part").alias("inner")), "skey").join(last, "skey", "left")
     goals = cut(goals.join(edges, "skey", "left"))
 
-    found = rank(rows.join(goals, F.col("_skey") == F.col("skey")))
-    taken = F.coalesce(F.when(F.col("edge").isNull(), F.col("rest") > 0).otherwise((F.col("_slice") < F.col("edge")) | ((F.col("_slice") == F.col("edge")) & (F.struct("_q", "_key") <= F.col("last")))), F.lit(False))
-    taken = taken & F.col("_q").isNotNull()
-    kept = [c for c in docs.columns if c not in ("_size", "_source_size", "_target", "_copies")]
-    return found.select(*kept, "_size", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), (F.col("whole") + taken.cast("int")).cast("long").alias("_copies"))
+    found = rank(rows.join(goals, (F.col("_skey") == F.col("skey")) & (F.col("_merit") == F.col("merit"))))
+    at, to = F.struct("_slice", "_part"), F.struct(F.col("edge").alias("_slice"), F.col("inner").alias("_part"))
+    taken = F.when(F.col("edge").isNull(), F.col("rest") > 0).otherwise((at < to) | ((at == to) & (F.struct("_q", "_key") <= F.col("last"))))
+    taken = F.coalesce(taken, F.lit(False)) & F.col("_q").isNotNull()
+    return found.select(*[F.col(n).alias(c) for c, n in names.items()], "_size", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), (F.col("whole") + taken.cast("int")).cast("long").alias("_copies"))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all ``documents``; edge cases as in ``mix``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = mix(docs)
     return out.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.round("_target", 6).alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
 
 OP6_SQL = r"""
-WITH d AS (
+WITH d0 AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS skey,
          CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size,
          (('0x' || substr(md5('17:' || CAST(doc_id AS VARCHAR)), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
   FROM documents),
+d AS (SELECT *, CASE WHEN size < 16 THEN 0.5::DOUBLE WHEN size < 64 THEN 0.75::DOUBLE WHEN size < 1024 THEN 1.0::DOUBLE ELSE 1.25::DOUBLE END AS merit FROM d0),
 s AS (SELECT skey, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY skey),
 r AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][(row_number() OVER (ORDER BY skey) - 1) % 3 + 1] AS w, 3.0::DOUBLE * source_size AS c FROM s),
 l AS (SELECT *, row_number() OVER (ORDER BY c / w, skey) AS rn,
              ((SELECT sum(source_size) FROM s)::DOUBLE - coalesce(sum(c) OVER (ORDER BY c / w, skey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
                / sum(w) OVER (ORDER BY c / w, skey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM r),
 t AS (SELECT skey, source_size, coalesce(least(c, w * (SELECT min_by(lev, rn) FROM l WHERE c / w >= lev)), c) AS target FROM l),
-g AS (SELECT d.doc_id, d.size, d.u, t.skey, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole
-      FROM d JOIN t USING (skey)),
-k AS (SELECT *, target - whole * source_size AS rest, CASE WHEN source_size > 0 THEN (target - whole * source_size) / source_size ELSE 0 END AS p FROM g),
-q AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (least(1 - 1e-9, p) / (1 - least(1 - 1e-9, p))) END AS q FROM k),
-m AS (SELECT *, sum(size) OVER (PARTITION BY skey ORDER BY q, CAST(doc_id AS VARCHAR) ROWS UNBOUNDED PRECEDING) - size / 2.0 AS mid FROM q)
+m AS (SELECT skey, merit, CAST(sum(size) AS BIGINT) AS words FROM d GROUP BY skey, merit),
+-- expected copies in proportion to merit: each way of capping the k classes of highest merit, and the first that leaves the others below the cap
+v AS (SELECT a.skey, a.merit, t.target, a.words,
+             t.target - 3.0::DOUBLE * coalesce((SELECT sum(b.words) FROM m b WHERE b.skey = a.skey AND b.merit > a.merit), 0)::DOUBLE AS free,
+             (SELECT sum(b.words * b.merit) FROM m b WHERE b.skey = a.skey AND b.merit <= a.merit) AS weight
+      FROM m a JOIN t USING (skey)),
+x AS (SELECT *, CASE WHEN weight > 0 THEN free / weight ELSE 0.0 END AS rate FROM v),
+y AS (SELECT skey, max_by(rate, merit) AS lvl FROM x WHERE rate * merit <= 3.0 GROUP BY skey),
+e AS (SELECT x.skey, x.merit, x.words, x.target, CASE WHEN y.lvl IS NULL THEN 3.0::DOUBLE ELSE least(3.0::DOUBLE, y.lvl * x.merit) END AS copies FROM x LEFT JOIN y USING (skey)),
+g AS (SELECT *, floor(copies) AS whole, copies - floor(copies) AS p, target - sum(floor(copies) * words) OVER (PARTITION BY skey) AS rest FROM e),
+q AS (SELECT d.*, g.whole, g.rest, t.source_size, t.target, CASE WHEN g.p > 0 THEN (d.u / (1 - d.u)) / (g.p / (1 - g.p)) END AS q
+      FROM d JOIN g ON g.skey = d.skey AND g.merit = d.merit JOIN t ON t.skey = d.skey),
+n AS (SELECT *, CASE WHEN q IS NOT NULL THEN sum(size) OVER (PARTITION BY skey, q IS NULL ORDER BY q, CAST(doc_id AS VARCHAR) ROWS UNBOUNDED PRECEDING) - size / 2.0 END AS mid FROM q)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, round(target, 6) AS target,
        CAST(size * (whole + CASE WHEN q IS NOT NULL AND mid <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM m
+FROM n
 """

@@ -306,6 +306,42 @@ def test_mixing_by_merit(spark):
     assert taken(3.0) > 1.5 * taken(1.0) and abs(sum(r._copies for r in got) * 10 - got[0]._target) <= 10
 
 
+@pytest.mark.parametrize("slices", [4096, 3])
+def test_mixing_by_brute_force(spark, monkeypatch, slices):
+    """Pareto order by plain sorting, with unequal odds, capped classes and documents that share a draw."""
+    monkeypatch.setattr(mixing, "SLICES", slices)
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.choice([0, 1, 7, 20, 100, 1500]), rng.choice("aaaaabc")) for i in range(600)] + [(600 + i, "w " * 30, "tiny") for i in range(2)]
+    got = {r.doc_id: r._copies for r in mixing.mix(frame(spark, rows)).collect()}
+    size = {i: len(t.split()) for i, t, _ in rows}
+    merit = {i: next(m for below, m in mixing.MERITS if below is None or size[i] < below) for i in size}
+    total = {s: sum(size[i] for i, _, x in rows if x == s) for s in ("a", "b", "c", "tiny")}
+    targets = {r.skey[1:]: r.target for r in mixing.source_targets(spark.createDataFrame([("0" + s, n) for s, n in total.items()], "skey string, source_size long"), (5, 2, 1), 3.0).collect()}
+    for s in total:
+        own = [i for i, _, x in rows if x == s]
+        low, high = 0.0, 1e6  # the rate at which expected copies, capped at three, give the target
+        for _ in range(200):
+            rate = (low + high) / 2
+            low, high = (rate, high) if sum(size[i] * min(3, rate * merit[i]) for i in own) < targets[s] else (low, rate)
+        copies = {i: min(3.0, round(rate * merit[i], 9)) for i in own}
+        whole = {i: math.floor(c) for i, c in copies.items()}
+        rest = targets[s] - sum(whole[i] * size[i] for i in own)
+        u = {i: (int(hashlib.md5(f"17:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52 for i in own}
+        odds = lambda p: p / (1 - p)
+        order = sorted((odds(u[i]) / odds(copies[i] - whole[i]), str(i), i) for i in own if copies[i] > whole[i])
+        words = 0
+        for _, _, i in order:
+            words += size[i]
+            whole[i] += words - size[i] / 2 <= rest
+        assert {i: got[i] for i in own} == whole
+
+
+def test_mixing_of_odd_rows(spark):
+    df = spark.createDataFrame([("x", "a b", "s", 1, "k"), ("x", "a b", "s", 1, "k"), (None, None, None, 2, "k"), ("y", "w " * 60_000, "s", 3, "k")], "doc_id string, text string, source string, skey int, p string")
+    got = mixing.mix(df).collect()
+    assert len(got) == 4 and got[0].__fields__[:5] == df.columns and sorted(r._size for r in got) == [0, 2, 2, 60_000]
+
+
 # --- 7: sharding
 
 

@@ -28,8 +28,8 @@ SEED_WEIGHT = 3.0
 #: Phrases in which a lexicon word says nothing bad.
 EXCEPTIONS = ("trash can", "trash bin", "taking out the trash", "class clown", "clown fish", "circus clown")
 
-#: Bounds of a fit: labelled rows read, and lexicon entries kept (the strongest).
-FIT_ROWS, MAX_LEXICON = 40_000, 20_000
+#: Bound of a fit: labelled rows read. Its entries are as many as their words at most.
+FIT_ROWS = 40_000
 #: Least likelihood-ratio statistic of an entry (chance level about 1e-6) and least log odds, and prefix lengths tried beside whole words.
 MIN_G, MIN_WEIGHT, PREFIXES = 24.0, 2.0, range(4, 8)
 
@@ -114,10 +114,36 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50
     return w
 
 
-def _sketch(text: str | None) -> int:
-    """Least hash of the five-word shingles: near copies share it mostly, unrelated texts never."""
+def _shingles(text: str | None) -> set[int]:
     words = (text or "").lower().split()
-    return min((zlib.crc32(" ".join(words[i : i + 5]).encode()) for i in range(max(1, len(words) - 4))), default=0)
+    return {zlib.crc32(" ".join(words[i : i + 5]).encode()) for i in range(max(1, len(words) - 4))}
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """``rows(text, toxic)`` of a fit's sample without near copies of the same label.
+
+    Rows that share the least hash of their five-word shingles are held against the first of them by text digest, and
+    go only where their shingles have a Jaccard similarity of 0.8 or more. The order of rows does not matter.
+    """
+
+    def sketched(batches):
+        for b in batches:
+            yield b.append_column("sketch", pa.array([min(_shingles(t)) for t in b.column("text").to_pylist()], pa.int64()))
+
+    known = cut(rows.select("text", "toxic").mapInArrow(sketched, "text string, toxic int, sketch long").withColumn("digest", F.md5(F.coalesce("text", F.lit("")))))
+    first = known.groupBy("sketch", "toxic").agg(F.min(F.struct("digest", "text")).alias("first"))
+    known = known.dropDuplicates(["sketch", "toxic", "digest"]).join(first, ["sketch", "toxic"])
+    known = known.select("text", "toxic", F.when(F.col("digest") != F.col("first.digest"), F.col("first.text")).alias("other"))
+
+    def kept(batches):
+        for b in batches:
+            keep = []
+            for t, other in zip(b.column("text").to_pylist(), b.column("other").to_pylist()):
+                s, o = (_shingles(t), _shingles(other)) if other is not None else ({0}, set())
+                keep.append(len(s & o) < 0.8 * len(s | o))
+            yield b.select(["text", "toxic"]).filter(pa.array(keep, pa.bool_()))
+
+    return known.mapInArrow(kept, "text string, toxic int")
 
 
 def closest(found: dict[str, tuple[float, int]]) -> dict[str, float]:
@@ -129,20 +155,16 @@ def closest(found: dict[str, tuple[float, int]]) -> dict[str, float]:
     return {e: w for e, (w, a) in found.items() if e.endswith(" ") or not any(v > w + 0.2 and n >= 0.8 * a for v, n in longer[e])}
 
 
-def fit(labelled: DataFrame, max_lexicon: int = MAX_LEXICON) -> Lexicon:
+def fit(labelled: DataFrame) -> Lexicon:
     """Learns entries, weights and the scale from ``labelled(text, toxic)``, a bounded sample (see ``training_rows``).
 
     Presence of each word and word beginning is counted by class; one row stands for each group of near copies, so a
-    text that was copied a thousand times does not make its words toxic. An entry needs a likelihood-ratio statistic of
-    ``MIN_G`` toward toxic. Where one class is missing, the seed lexicon and its scale stay.
+    text that was copied a thousand times does not make its words toxic. Every entry with a likelihood-ratio statistic of
+    ``MIN_G`` toward toxic is taken. Where one class is missing, the seed lexicon and its scale stay. The result does not
+    depend on the order of rows. Rows without a label teach nothing; null and empty texts count as texts without words.
     """
-
-    def sketched(batches):
-        for b in batches:
-            yield b.append_column("sketch", pa.array([_sketch(t) for t in b.column("text").to_pylist()], pa.int64()))
-
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null")
-    rows = cut(rows.mapInArrow(sketched, "text string, toxic int, sketch long").dropDuplicates(["sketch", "toxic"]))
+    rows = cut(without_copies(rows))
 
     def counted(batches):
         seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
@@ -174,7 +196,7 @@ def fit(labelled: DataFrame, max_lexicon: int = MAX_LEXICON) -> Lexicon:
     g = 2 * (term(a, F.lit(float(n1)) / n) + term(b, F.lit(float(n0)) / n))
     weight = F.log((a + 0.5) / (n1 + 1.0)) - F.log((b + 0.5) / (n0 + 1.0))
     learned = counts.select("entry", "a", "b", g.alias("g"), weight.alias("weight")).where(F.col("a") + F.col("b") >= 3)
-    strong = learned.where((F.col("g") >= MIN_G) & (F.col("weight") >= MIN_WEIGHT)).orderBy(F.desc("g"), "entry").limit(max_lexicon).collect()
+    strong = learned.where((F.col("g") >= MIN_G) & (F.col("weight") >= MIN_WEIGHT)).collect()  # words of FIT_ROWS rows at most
     seeds = {r["entry"]: r for r in learned.where(F.col("entry").isin([f" {w} " for w in SEED])).collect()}
     weights = {f" {w} ": SEED_WEIGHT for w in SEED}
     weights = {k: v for k, v in weights.items() if k not in seeds or seeds[k]["a"] + seeds[k]["b"] < 8 or seeds[k]["weight"] >= MIN_WEIGHT}
@@ -189,6 +211,7 @@ def fit(labelled: DataFrame, max_lexicon: int = MAX_LEXICON) -> Lexicon:
 
     # FIT_ROWS rows of three numbers at most come to the driver, for a regression with three coefficients
     sample = rows.select("text", "toxic").mapInArrow(measured, "x1 double, x2 double, toxic int").toArrow()
+    sample = sample.sort_by([("x1", "ascending"), ("x2", "ascending"), ("toxic", "ascending")])
     x = np.c_[sample["x1"].to_numpy(), sample["x2"].to_numpy()]
     # pseudo-rows keep the scale finite and the empty sum clean, however small the sample
     x, y = np.r_[x, [[0.0, 0.0]] * 4, [[math.log1p(9.0), math.log1p(9.0)]] * 2], np.r_[(sample["toxic"].to_numpy() > 0).astype(float), [0.0] * 4, [1.0] * 2]
@@ -199,8 +222,9 @@ def fit(labelled: DataFrame, max_lexicon: int = MAX_LEXICON) -> Lexicon:
 def score(docs: DataFrame, model: Lexicon, text_col: str = "text") -> DataFrame:
     """Adds ``tox_score`` (0 to 1) and ``tox_hits`` to each row; null and empty texts score as texts without hits.
 
-    The lexicon (at most ``MAX_LEXICON`` short entries) goes to the executors with the task. Columns named like the
-    added ones are replaced; all others are kept as they are.
+    Very long texts are matched whole, and repeated rows are scored each. An empty table gives an empty result. The
+    lexicon, whose size ``FIT_ROWS`` bounds, goes to the executors with the task. Columns named like the added ones are
+    replaced; all others are kept as they are.
     """
     keep = [c for c in docs.columns if c not in ("tox_score", "tox_hits")]
     docs = docs.select(*keep)
@@ -233,6 +257,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all ``documents``, learning from labels outside the held-out fifth; edge cases as in ``score``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(training_rows(docs, table(spark, sf_dir, "labels")))
     out = score(docs, model)

@@ -227,6 +227,66 @@ def test_toxicity(spark):
     assert toxicity.fit(spark.createDataFrame([], "text string, toxic int")).weights == toxicity.Lexicon().weights
 
 
+def test_toxicity_features_by_brute_force():
+    rng = random.Random(16)
+    stems = ["vex", "vexo", "mol", "molto", "grim"]
+    model = toxicity.Lexicon({" vexo": 2.0, " vexoa ": 5.0, " mol ": 1.5, " molt": 3.0, " grimx ": 2.5, " a ": 0.5}, ("mol vexoa", "the grimx"))
+    automaton = model.automaton()
+    for _ in range(300):
+        text = " ".join(rng.choice([rng.choice(stems) + rng.choice(["", "a", "x", "xa"]), "the", "a", "mol vexoa", "Gr1mX"]) for _ in range(rng.randrange(0, 30)))
+        folded = toxicity.fold(text)
+        starts = [i for i in range(len(folded)) if folded[i] == " "]
+        spared = {i for p in model.exceptions for i in starts if folded.startswith(f" {p} ", i)}
+        inside = {j for i in spared for p in model.exceptions if folded.startswith(f" {p} ", i) for j in range(i, i + len(p) + 1)}
+        best, hits = {}, 0
+        for i in starts:
+            found = [w for e, w in model.weights.items() if folded.startswith(e, i)]
+            if found and i not in inside:
+                hits += 1
+                word = folded[i + 1 :].split(" ")[0]
+                best[word] = max(best.get(word, 0), max(found))
+        total, rate, n = toxicity.features(folded, automaton)
+        assert (round(total, 9), n) == (round(sum(best.values()), 9), hits) and abs(rate - 1000 * total / (len(folded) + 200)) < 1e-9
+
+
+def test_toxicity_fit_by_brute_force(spark):
+    """Entries, weights and scores by dictionaries; the same again when rows come in another order."""
+    rng = random.Random(17)
+    rows = [(f"{words(rng, 25)} {rng.choice(['zorka', 'zorkan', 'plim']) if i % 3 == 0 else ''} d{i}", int(i % 3 == 0)) for i in range(240)]
+    df = spark.createDataFrame(rows, "text string, toxic int")
+    model, again = toxicity.fit(df), toxicity.fit(df.repartition(7).orderBy(F.rand(3)))
+    assert model.weights == again.weights and model.coef == pytest.approx(again.coef)
+    seen = collections.defaultdict(lambda: [0, 0])
+    for t, y in rows:
+        for e in {f" {w} " for w in toxicity.fold(t).split()} | {" " + w[:n] for w in toxicity.fold(t).split() for n in range(4, 8) if n < len(w)}:
+            seen[e][y] += 1
+    n = [sum(y == k for _, y in rows) for k in (0, 1)]
+    strong = {}
+    for e, (b, a) in seen.items():
+        g = 2 * sum(x * math.log(x / ((a + b) * m / sum(n))) for x, m in ((a, n[1]), (b, n[0])) if x)
+        w = math.log((a + 0.5) / (n[1] + 1)) - math.log((b + 0.5) / (n[0] + 1))
+        if a + b >= 3 and g >= toxicity.MIN_G and w >= toxicity.MIN_WEIGHT:
+            strong[e] = (w, a)
+    want = {f" {w} ": toxicity.SEED_WEIGHT for w in toxicity.SEED} | toxicity.closest(strong)
+    assert {e: round(w, 9) for e, w in model.weights.items()} == {e: round(w, 9) for e, w in want.items()} and " zork" in want
+    c0, c1, c2 = model.coef
+    for r in toxicity.score(df, model).collect():
+        total, rate, _ = toxicity.features(toxicity.fold(r.text), model.automaton())
+        assert abs(r.tox_score - 1 / (1 + math.exp(-(c0 + c1 * math.log1p(total) + c2 * math.log1p(rate))))) < 1e-12
+
+
+def test_toxicity_drops_copies_but_not_texts_with_a_common_line(spark):
+    rng = random.Random(18)
+    base = words(rng, 60)
+    copies = [(base + f" end{i}", 1) for i in range(9)]
+    line = "all rights reserved by the owner of this page"
+    common = [(f"{line} {words(rng, 40)}", 0) for _ in range(12)]
+    got = toxicity.without_copies(spark.createDataFrame([*copies, *common], "text string, toxic int")).collect()
+    assert sum(r.toxic == 1 for r in got) == 1 and sum(r.toxic == 0 for r in got) == 12
+    long = "clean word " * 200_000
+    assert toxicity.score(spark.createDataFrame([(long + "1D10T",)], "text string"), toxicity.Lexicon()).first().tox_hits == 1
+
+
 # --- 5: decontamination
 
 
@@ -266,14 +326,56 @@ def test_leaks_by_brute_force(spark):
 
 def test_wand_equals_exhaustive_scoring():
     rng = random.Random(9)
-    index = decontamination.ItemIndex([(k, words(rng, 30), None) for k in range(300)], theta=0.15)
+    index = decontamination.index_of([(k, words(rng, 30), None) for k in range(300)], theta=0.15)
+    (part,) = index.classes
     for _ in range(40):
         q = set(words(rng, 60).split())
         want = {}
-        for t in q & index.lists.keys():
-            for i, v in zip(index.lists[t].items, index.lists[t].impacts):
+        for t in q & part.lists.keys():
+            for i, v in zip(part.lists[t].items, part.lists[t].impacts):
                 want[i] = want.get(i, 0.0) + v
-        assert sorted(i for i, _ in index.search(q)) == sorted(i for i, v in want.items() if v >= 0.15 - 1e-9)
+        assert sorted(i for i, _ in part.search(q)) == sorted(i for i, v in want.items() if v >= 0.15 - 1e-9)
+
+
+def test_gate_on_essential_terms_loses_nothing():
+    rng = random.Random(10)
+    items = [(k, words(rng, rng.randrange(6, 30)), words(rng, rng.randrange(0, 8)) or None) for k in range(80)]
+    gated, free = decontamination.index_of(items), decontamination.index_of(items)
+    for part in free.classes:
+        part.gate = False
+    for _ in range(60):
+        t = words(rng, rng.randrange(20, 400)).split()
+        for k in rng.sample(range(80), 2):
+            q = f"{items[k][1]} {items[k][2] or ''}".split()
+            if rng.random() < 0.5:
+                q[rng.randrange(len(q))] = "changed"
+            at = rng.randrange(len(t) + 1)
+            t[at:at] = q
+        assert gated.matches(" ".join(t)) == free.matches(" ".join(t))
+
+
+def test_leaks_need_the_answer_too(spark):
+    items = spark.createDataFrame([("q1", "what is the capital of the long lost land of ora", "it is called mirador by all who live there"), ("q2", "name the river that runs through the town of belo", "Sava"), ("q3", "who wrote it", None)], "item_id string, text string, answer string")
+    q1, a1, q2 = "What is the capital of the long lost land of Ora?", "It is called Mirador by all who live there.", "Name the river that runs through the town of Belo:"
+    docs = spark.createDataFrame([("a", f"x y {q1} well, {a1} z"), ("b", q1), ("c", a1), ("d", f"{q2} Sava"), ("e", f"{q2} Drava"), ("f", "so who wrote it then"), ("g", "filler " * 50_000 + q1 + " " + a1)], "doc_id string, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, items, answer_col="answer").collect()}
+    assert got == {("a", "q1"), ("d", "q2"), ("f", "q3"), ("g", "q1")}
+    kept = decontamination.drop_leaks(docs.withColumn("item_id", F.lit(1)), items, answer_col="answer")
+    assert sorted(r.doc_id for r in kept.collect()) == ["b", "c", "e"] and kept.columns == ["doc_id", "text", "item_id"]
+
+
+def test_leaks_do_not_depend_on_blocks_of_items(spark, monkeypatch):
+    """Document frequencies and mean length are those of all items, however many blocks they are searched in; lengths differ widely."""
+    rng = random.Random(15)
+    items = [(k, words(rng, rng.choice([2, 6, 20, 90, 700]))) for k in range(60)] + [(3, "a repeated id of another item here")]
+    docs = [(i, " ".join([words(rng, 30), items[i % 60][1], words(rng, 30)])) for i in range(90)] + [(0, None), (0, docs_text := words(rng, 9))]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    once = sorted(map(tuple, decontamination.find_leaks(df, it).collect()))
+    kept = sorted(map(tuple, decontamination.drop_leaks(df, it).collect()), key=str)
+    monkeypatch.setattr(decontamination, "ITEM_BYTES", 20_000)
+    assert sorted(map(tuple, decontamination.find_leaks(df, it).collect())) == once
+    assert sorted(map(tuple, decontamination.drop_leaks(df, it).collect()), key=str) == kept == sorted([(0, None), (0, docs_text)], key=str)
+    assert {i for i, *_ in once} == set(range(90))
 
 
 # --- 6: mixing
@@ -520,6 +622,64 @@ def test_secrets_after_equals_signs_and_without_digits(spark):
     assert got == {0: keys[:1], 1: keys[:1], 2: keys[1:2], 3: keys[2:], 4: keys[:1], 5: []}
 
 
+def slow_battery(token):
+    """The battery by plain counting, with exact normal tails."""
+    body = token.rstrip("=")
+    kind, letters = next(((k, x) for k, p, x in secrets.ENCODINGS if re.search(p, token)), (None, None))
+    if kind is None:
+        return None, 0.0, 1.0
+    n, a = len(body), len(letters)
+    groups = (secrets.DIGITS, secrets.LOWER, secrets.UPPER, "+/-_")
+    pairs = n * (n - 1) / 2
+    c = sum(body[i] == body[j] for i in range(n) for j in range(i))
+    cls = [next(k for k, g in enumerate(groups) if x in g) for x in body]
+    w = sum(x != y for x, y in zip(cls, cls[1:]))
+    s = 1 - sum((sum(x in g for x in letters) / a) ** 2 for g in groups)
+    at = [letters.index(x) for x in body]
+    step = sum(abs(x - y) for x, y in zip(at, at[1:])) / a / (n - 1)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    poisson = max(0.0, 1 - sum(math.exp(k * math.log(pairs / a) - pairs / a - math.lgamma(k + 1)) for k in range(c)))
+    spread = math.sqrt((1 / 18 + 1 / 90) / (n - 1))
+    runs = (s * (n - 1) - w - 0.5) / math.sqrt((n - 1) * s * (1 - s))
+    p_random = min(1.0, 3 * min(poisson, tail(runs), tail(((a * a - 1) / (3 * a * a) - step) / spread)))
+    t1 = (pairs * 0.065 - c - 0.5) / math.sqrt(pairs * 0.065 * 0.935 + n * (n - 1) * (n - 2) * (0.0056 - 0.065**2))
+    t2 = (w - 0.5 - 0.12 * (n - 1)) / math.sqrt(0.12 * 0.88 * (n - 1))
+    t3 = (step - min(0.88 * 26 / (3 * a) + 0.06, (a * a - 1) / (3 * a * a))) / spread
+    return kind, p_random, tail((t1 + t2 + t3) / math.sqrt(6))
+
+
+def test_battery_by_plain_counting(spark):
+    rng = random.Random(12)
+    tokens = ["internationalization", "some_long_name_of_it", "getHTTPResponseCodeFromServerX2", "aaaaaaaaaaaaaaaaaaaa", "abcdefghijklmnopqrstuvwxyz0123456789", "2023-01-01-12-30-59", "------------------", "hT4kQ9wZ2rX7mV1cN8bL3jS6dF5gPw=="]
+    tokens += ["".join(rng.choice(letters) for _ in range(n)) for _, _, letters in secrets.ENCODINGS for n in (16, 24, 40, 90)]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", secrets.battery(F.col("t")).alias("b"))
+    for r in df.collect():
+        kind, p_random, p_text = slow_battery(r.t)
+        assert r.b.encoding == kind, r.t
+        assert abs(r.b.p_random - p_random) <= 0.15 * p_random + 1e-4, (r.t, r.b, p_random)
+        assert p_text * (0.999 if p_text < 0.5 else 0.85) <= r.b.p_text <= 1.14 * p_text + 1e-30, (r.t, r.b, p_text)
+
+
+def test_random_keys_seldom_fail_the_battery(spark):
+    rng = random.Random(13)
+    letters = secrets.UPPER + secrets.LOWER + secrets.DIGITS + "+/"
+    df = spark.createDataFrame([("".join(rng.choice(letters) for _ in range(20 + i % 40)),) for i in range(3000)], "t string")
+    lost = df.where(secrets.battery(F.col("t"))["p_random"] < secrets.ALPHA).count()
+    assert lost <= 3 * secrets.ALPHA * 3000
+
+
+@pytest.mark.parametrize("bins", [1024, 3])
+def test_discovery_cut_is_benjamini_hochberg(spark, monkeypatch, bins):
+    monkeypatch.setattr(secrets, "BINS", bins)
+    rng = random.Random(14)
+    for share in (0.0, 0.02, 0.3, 1.0):
+        p = [10 ** -rng.uniform(0, 9) if rng.random() < share else rng.random() for _ in range(700)] + [0.004] * 3
+        ranked = sorted(p)
+        want = max((x for k, x in enumerate(ranked, 1) if x <= 0.05 * k / len(p)), default=-1.0)
+        assert secrets.discovery_cut(spark.createDataFrame([(x,) for x in p], "p double"), 0.05) == want
+    assert secrets.discovery_cut(spark.createDataFrame([], "p double"), 0.05) == -1.0
+
+
 # --- 10: embeddings
 
 

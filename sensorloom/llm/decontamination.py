@@ -158,7 +158,7 @@ class LengthClass:
                     else:
                         got.append(len(part & have) / len(part))
                 if min(got) >= overlap - 1e-9 and (item not in best or min(got) > best[item][1]):
-                    best[item] = (share * self.selfs[item], min(got), s * step)
+                    best[item] = (round(share * self.selfs[item], 9), min(got), s * step)
         return [(self.ids[i], *v) for i, v in best.items()]
 
 

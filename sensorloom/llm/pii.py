@@ -131,24 +131,28 @@ def coined(word: Column, tag: Column, attempt: Column, key: str) -> Column:
     of scripts without sounds of their own get Latin names.
     """
 
+    lists = lambda xs: F.split(F.lit(" ".join(x or "-" for x in xs)), " ")
+
+    def sounds(w: Column) -> Column:
+        out = None
+        for script, (onsets, vowels, codas, endings) in reversed(SOUNDS.items()):
+            own = F.struct(lists(onsets).alias("onset"), lists(vowels).alias("vowel"), lists(codas).alias("coda"), *[lists(endings[t]).alias(t) for t in "fmns"])
+            out = own if out is None else F.when(w.rlike(rf"^\p{{Is{script}}}"), own).otherwise(out)
+        return F.when(w.rlike(r"^\p{IsLatin}") | ~w.rlike(r"^[\p{IsCyrillic}\p{IsGreek}]"), F.struct(*[lists(x).alias(n) for n, x in zip(("onset", "vowel", "coda"), SOUNDS["Latin"][:3])], *[lists(SOUNDS["Latin"][3][t]).alias(t) for t in "fmns"])).otherwise(out)
+
     def part(w: Column) -> Column:
-        def named(d: Column) -> Column:
-            out = None
-            for script, (onsets, vowels, codas, endings) in SOUNDS.items():
-                pick = lambda xs, at: F.element_at(F.array(*map(F.lit, xs)), _number(d, at, 2, len(xs)) + 1)
-                syllable = lambda i: F.concat(pick(onsets, 6 * i + 1), pick(vowels, 6 * i + 3), pick(codas, 6 * i + 5) if i + 1 < SYLLABLES else F.lit(""))
-                tail = F.lit("")
-                for t, xs in endings.items():
-                    tail = F.when(tag == t, pick(xs, 40)).otherwise(tail)
-                more = F.when(attempt > 0, F.concat(syllable(4), syllable(5))).otherwise("")
-                # a vowel never stands before an ending's own
-                made = F.concat(more, *[syllable(i) for i in range(SYLLABLES - 1)], pick(onsets, 37), tail)
-                out = F.when(w.rlike(rf"^\p{{Is{script}}}"), made) if out is None else out.when(w.rlike(rf"^\p{{Is{script}}}"), made)
-                latin = made if script == "Latin" else latin
-            made = out.otherwise(latin)
-            return F.when((F.upper(w) == w) & (F.length(w) > 1), F.upper(made)).when(w.rlike(r"^\p{Lu}"), F.initcap(made)).otherwise(made)
-
-        return F.when(w.rlike(r"^[-'’]$"), w).otherwise(let(F.sha2(F.concat_ws("|", F.lit(key), tag, attempt.cast("string"), F.lower(w)), 256), named))
+        def named(v: Column) -> Column:
+            pick = lambda xs, at: F.replace(F.element_at(xs, F.pmod(F.get(v["d"], F.lit(at)), F.size(xs)) + 1), F.lit("-"), F.lit(""))
+            syllable = lambda i: F.concat(*[pick(v["s"][n], 3 * i + k) for k, n in enumerate(("onset", "vowel", "coda"))])
+            ending = F.when(tag == "f", v["s"]["f"]).when(tag == "m", v["s"]["m"]).when(tag == "n", v["s"]["n"]).otherwise(v["s"]["s"])
+            more = F.when(attempt > 0, F.concat(syllable(4), syllable(5))).otherwise("")
+            # an onset stands before the ending, so that no vowel does
+            return F.concat(more, *[syllable(i) for i in range(SYLLABLES - 1)], pick(v["s"]["onset"], 18), pick(ending, 19))
+
+        cased = lambda made: F.when((F.upper(w) == w) & (F.length(w) > 1), F.upper(made)).when(w.rlike(r"^\p{Lu}"), F.initcap(made)).otherwise(made)
+        digest = F.sha2(F.concat_ws("|", F.lit(key), tag, attempt.cast("string"), F.lower(w)), 256)
+        bytes_ = let(digest, lambda d: F.transform(F.sequence(F.lit(1), F.lit(61), F.lit(3)), lambda i: F.conv(F.substr(d, i, F.lit(3)), 16, 10).cast("int")))
+        return F.when(w.rlike(r"^[-'’]$"), w).otherwise(let(let(F.struct(bytes_.alias("d"), sounds(w).alias("s")), named), cased))
 
     return F.array_join(F.transform(F.regexp_extract_all(word, F.lit(r"[-'’]|[^-'’]+"), F.lit(0)), part), "")
 
@@ -324,7 +328,8 @@ def surrogates(found: DataFrame, attempts: Column, key: str) -> DataFrame:
     tag, word = F.substring_index("match", ":", 1), F.substring_index("match", ":", -1)
     name = F.col("kind") == "name"
     new = F.when(name, coined(word, tag, F.coalesce(F.element_at(attempts, F.concat_ws(":", "kind", "entity")), F.lit(0)), key)).otherwise(surrogate(F.col("match"), F.col("kind"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")), attempts, key))
-    return found.withColumn("new", new).withColumn("made", F.when(name, F.concat_ws(":", tag, F.lower("new"))).otherwise(normal(F.col("new"), F.col("kind"))))
+    # written, so that the optimizer does not repeat the long expression in what uses it
+    return cut(found.withColumn("new", new)).withColumn("made", F.when(name, F.concat_ws(":", tag, F.lower("new"))).otherwise(normal(F.col("new"), F.col("kind"))))
 
 
 def clashes(found: DataFrame, attempts: Column, key: str) -> DataFrame:

@@ -161,18 +161,20 @@ def count_grams(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, PACKED_DDL)
 
 
-def lowest(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of order 1 and their counts: pairs of bytes, so at most 65,536 whatever the input."""
+def lowest(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of order 1 of ``texts(text)`` and their counts: pairs of bytes, so at most 65,536 whatever the input."""
 
     def run(batches):
         total = np.zeros(1 << 16, np.int64)
         for b in batches:
-            for n, keys, vals in zip(*(b.column(c).to_pylist() for c in ("n", "keys", "vals"))):
-                total += np.bincount((unpack_keys(keys, n) & mask(1)).astype(np.int64), unpack(vals, n), 1 << 16).astype(np.int64)
+            for part in chunks([as_bytes(t) for t in b.column("text").to_pylist()]):
+                data = np.frombuffer(b"".join(bytes([BEFORE]) + t + bytes([END]) for t in part), np.uint8).astype(np.uint16)
+                real = data[1:] != BEFORE  # no text holds that byte, so it starts one
+                total += np.bincount((data[:-1] << np.uint16(8) | data[1:])[real], minlength=1 << 16)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
 
-    got = counts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow().sort_by("gram")
+    got = texts.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow().sort_by("gram")
     return got.column("gram").to_numpy().astype(np.uint64), got.column("n").to_numpy()
 
 
@@ -424,8 +426,7 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
     text is worked on whole, in a block of its own. Repeated rows are scored each and count each in training. Columns of
     ``docs`` but these two are not read, whatever their names.
     """
-    counts = cut(count_grams(training))
-    low = lowest(counts)
+    counts, low = count_grams(training), lowest(training)
     texts = cut(blocks(docs))
     tokens = cut(token_rows(texts))
     total, kinds = by_group(tokens, "part", token_totals, "total long, kinds long").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()

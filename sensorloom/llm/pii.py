@@ -21,7 +21,8 @@ BORN = r"(?<=(?i:born |born: |born on |born on the |dob |dob: |date of birth |da
 TITLES = {"m": "Mr|Herr|Señor|Sr|Monsieur", "f": "Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Mlle", "n": "Dr|Prof"}
 NAME = r"\p{Lu}(?:[\p{L}\p{M}]|['’-](?=\p{L}))*"
 PERSON = rf"(?<!\p{{L}})(?:{'|'.join(TITLES.values())})\b\.?(?:\x20{NAME}){{1,3}}"
-ENTITY = "|".join((EMAIL, ADDRESS, IBAN, CARD, NUMBER, INTL, PHONE, BORN, PERSON))
+#: At most places of a text one look at the next character rules out all but an email.
+ENTITY = rf"{EMAIL}|(?=[\d+(])(?:{'|'.join((ADDRESS, CARD, NUMBER, INTL, PHONE, BORN))})|(?=\p{{Lu}})(?:{IBAN}|{PERSON})"
 #: Kinds by the first pattern that fits a whole match.
 KINDS = (("email", "@"), ("ip", r"^\d{1,3}(?:\.\d{1,3}){3}$"), ("iban", r"^[A-Z]{2}\d{2}[\x20A-Z0-9]+$"), ("birth", r"^(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})$"), ("ssn", f"^(?:{NUMBER})$"), ("card", f"^(?:{CARD})$"), ("phone", r"^[+(\d]"), ("person", rf"^(?:{'|'.join(TITLES.values())})\b\.?\x20"), ("name", "."))
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The label grammar.
 CONTROLLER = r"^(\d{8})-([\w-]+)$"
@@ -105,7 +107,17 @@ def code_prefix(code: Column, n: int = 3) -> Column:
 
 
 def normal_text(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
+    """For comparing: composed letters, full case folding (``ß`` is ``ss``), single spaces, trimmed; accents stay.
+
+    ASCII, where folding is lower case, never leaves the JVM.
+    """
+
+    def folding(text: pd.Series) -> pd.Series:
+        return text.str.normalize("NFC").str.casefold()
+
+    plain = text.rlike(r"^[\x00-\x7F]*$")
+    folded = F.when(plain, F.lower(text)).otherwise(F.pandas_udf(folding, T.StringType())(F.when(~plain, text)))
+    return F.trim(F.regexp_replace(folded, r"\s+", " "))
 
 
 def control_numbers(name: Column) -> Column:

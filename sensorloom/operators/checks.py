@@ -74,18 +74,21 @@ def approve(store: DataFrame, candidates: DataFrame, approved: DataFrame) -> Dat
     return candidates.join(approved, "raw_label", "left_semi").join(store, "raw_label", "left_anti")
 
 
-def group_pairs(members: DataFrame, max_group: int = 1000) -> DataFrame:
-    """Ordered pairs of labels that share a group, from ``members(raw_label, kind, key)``; groups beyond ``max_group`` are left to ``oversized``."""
-    m = members.distinct()
-    sizes = m.groupBy("kind", "key").agg(F.count("*").alias("_n")).where((F.col("_n") > 1) & (F.col("_n") <= max_group)).drop("_n")
-    inside = m.join(sizes, ["kind", "key"])
-    other = inside.select("kind", "key", F.col("raw_label").alias("target"))
-    return inside.join(other, ["kind", "key"]).where("raw_label <> target").select(F.col("raw_label").alias("source"), "target", "kind", "key").dropDuplicates(["source", "target", "kind"])
+#: Members of a group that one task pairs with the whole group.
+TILE = 1000
+
 
+def group_pairs(members: DataFrame) -> DataFrame:
+    """Ordered pairs of labels that share a group, from ``members(raw_label, kind, key)``.
 
-def oversized(members: DataFrame, max_group: int = 1000) -> DataFrame:
-    """Groups that ``group_pairs`` leaves out, with their sizes."""
-    return members.distinct().groupBy("kind", "key").agg(F.count("*").alias("n")).where(F.col("n") > max_group)
+    A large group is paired tile by tile: each label is in one tile, which meets the whole group.
+    """
+    m = members.select("raw_label", "kind", "key").distinct()
+    sizes = m.groupBy("kind", "key").agg(F.count("*").alias("_n")).where("_n > 1").withColumn("_tiles", F.ceil(F.col("_n") / TILE).cast("int")).drop("_n")
+    inside = m.join(sizes, ["kind", "key"])
+    own = inside.select(F.col("raw_label").alias("source"), "kind", "key", F.pmod(F.xxhash64("raw_label"), F.col("_tiles")).cast("int").alias("_tile"))
+    other = inside.select(F.col("raw_label").alias("target"), "kind", "key", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)).alias("_tile"))
+    return own.join(other, ["kind", "key", "_tile"]).where("source <> target").select("source", "target", "kind", "key").dropDuplicates(["source", "target", "kind"])
 
 
 def relationships(pairs: DataFrame) -> DataFrame:
@@ -121,8 +124,16 @@ def supply_return(series: DataFrame, roles: DataFrame) -> DataFrame:
     return both.withColumn("verdict", verdict)
 
 
-def co_behaviour(series: DataFrame, members: DataFrame, constants: DataFrame, max_group: int = 1000) -> DataFrame:
-    """Correlation of each unordered pair of a group; labels that are constant are dropped before pairing."""
-    pairs = group_pairs(members.join(constants, "raw_label", "left_anti"), max_group).where("source < target").select(F.col("source").alias("a"), F.col("target").alias("b")).distinct()
-    both = aligned_pairs(series, pairs).groupBy("a", "b").agg(F.count("*").alias("n"), pearson("x", "y").alias("r"))
+def co_behaviour(series: DataFrame, members: DataFrame, constants: DataFrame) -> DataFrame:
+    """Correlation of each unordered pair of a group; labels that are constant are dropped before pairing.
+
+    Each series moves once per group: its samples meet those of the group's others of the same time, and only sums of
+    pairs go on. A pair that shares several groups is given once.
+    """
+    m = members.select("raw_label", "kind", "key").distinct().join(constants, "raw_label", "left_anti")
+    rows = series.select("raw_label", "ts_text", "value").join(m, "raw_label")
+    left = rows.select("kind", "key", "ts_text", F.col("raw_label").alias("a"), F.col("value").alias("x"))
+    right = rows.select("kind", "key", "ts_text", F.col("raw_label").alias("b"), F.col("value").alias("y"))
+    both = left.join(right, ["kind", "key", "ts_text"]).where("a < b").groupBy("kind", "key", "a", "b").agg(F.count("*").alias("n"), pearson("x", "y").alias("r"))
+    both = both.dropDuplicates(["a", "b"]).select("a", "b", "n", "r")
     return both.withColumn("verdict", F.when(F.col("r").isNull(), "SKIPPED").when(F.abs("r") >= CO_BEHAVIOUR_R, "SUPPORTED").otherwise("NO_SIGNAL"))

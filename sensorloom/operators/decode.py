@@ -78,6 +78,8 @@ OBJECT_DEFAULTS = {
     "BO": ("kommando", "utgang (binaer kommando)"),
     "BI": ("status", "status (binaer inngang)"),
 }
+# Fixed value: what a system number says that the list lacks.
+UNKNOWN_CODE = " (code %s not in the TFM list -- left uninterpreted)"
 CONFIDENCE_CAP, LOW_CONFIDENCE = 0.90, 0.4
 STRUCTURAL = ("primary_system", "carrier", "component", "is_derived", "object_type")
 
@@ -120,7 +122,7 @@ def decode_rules(labels: DataFrame, components: dict[str, str], systems: dict[st
     letters, digits = lb.group(col("combined"), lb.COMBINED, 3), lb.group(col("combined"), lb.COMBINED, 4)
     name, meaning = lookup(systems, sys3), lookup(components, letters)
     d = step(d, name.isNotNull() & col("system_code").isNull(), 0.20, F.concat(lit("combined token "), col("combined")), system_code=F.concat(sys3, lit("0")), system_name=name)
-    part = F.concat(lit("system "), sys3, lit("."), number, F.when(name.isNull(), F.concat(lit(" (code "), sys3, lit(" not in the TFM list -- left uninterpreted)"))).otherwise(""))
+    part = F.concat(lit("system "), sys3, lit("."), number, F.when(name.isNull(), F.format_string(UNKNOWN_CODE, sys3)).otherwise(""))
     d = step(d, col("combined").isNotNull(), 0.0, "combined token's subsystem", subsystem=F.concat_ws("; ", "subsystem", part))
     named = F.concat(letters, digits, lit(" ("), letters, lit(" = "), meaning, lit(")"))
     d = step(d, meaning.isNotNull(), 0.20, F.concat(lit("component "), letters), component=F.coalesce("component", named), measurement_type=F.coalesce("measurement_type", lookup(LETTER_QUANTITY, letters)))
@@ -167,12 +169,22 @@ def tier() -> Column:
     return F.when(known >= 3, "FULL").when(known >= 1, "PARTIAL").otherwise("NONE")
 
 
+def last_rows(rows: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """The last row of each label, by ``arrival`` where there is such a column, else as read."""
+    if arrival not in rows.columns:
+        rows = rows.withColumn(arrival, F.monotonically_increasing_id())
+    names = [c for c in rows.columns if c not in ("raw_label", arrival)]
+    return rows.groupBy("raw_label").agg(F.max_by(F.struct(*names), arrival).alias("_r")).select("raw_label", "_r.*")
+
+
 def retrieve(decoded: DataFrame, store: DataFrame) -> DataFrame:
     """Rules completed from ``store``: an exact label's record replaces them; else a sibling of the family lends its structure.
 
     The sibling is of equal signature, with the same point name if there is one, and the smallest label then. Only
-    structural fields are lent, into nulls; lending costs confidence.
+    structural fields are lent, into nulls; lending costs confidence. Of a label that the store repeats, the last
+    record counts (``last_rows``).
     """
+    store = last_rows(store)
     fields = [c for c in decoded.columns if c not in ("raw_label", "source_type", "tier")]
     kept = store.select("raw_label", *[F.col(c).alias(f"_s_{c}") for c in fields if c in store.columns])
     exact = decoded.join(kept, "raw_label", "left").withColumn("_hit", F.col("_s_confidence").isNotNull())
@@ -227,25 +239,118 @@ def enrichment(decoded: DataFrame, dedupe: bool = True) -> DataFrame:
     return out.select("raw_label", "source_type", "gaps", "selected_for", "family", "family_size", "confidence")
 
 
-MERGED = ("carrier", "function", "measurement_type", "unit", "object_type", "subsystem", "component")
+MERGED = ("carrier", "function", "measurement_type", "unit", "object_type", "primary_system", "subsystem", "component", "is_derived")
+
+
+def _sound(second: DataFrame) -> DataFrame:
+    return second.where(~F.coalesce("schema_invalid", F.lit(False))).drop("schema_invalid") if "schema_invalid" in second.columns else second
 
 
 def merge_second(decoded: DataFrame, second: DataFrame) -> DataFrame:
-    """Fills nulls from a second source's rows, keeps the first's values, and lists conflicts."""
+    """Fills nulls from a second source's rows, keeps the first's values, and lists conflicts.
+
+    Rows marked ``schema_invalid`` are skipped, and of a repeated label the last sound row counts. A null ``location`` takes
+    the second's whole, else its null members are filled. A merge whose carrier, quantity or object type would break the
+    contract keeps the first row and notes a conflict of field ``_schema``.
+    """
     fields = [c for c in MERGED if c in second.columns]
-    rows = second.select("raw_label", F.col("confidence").alias("_c2"), *[F.col(c).alias(f"_2{c}") for c in fields])
+    members = ("building", "zone") if "location" in second.columns else ()
+    place = [F.col("location").alias("_2location")] if members else []
+    rows = last_rows(_sound(second)).select("raw_label", F.col("confidence").alias("_c2"), *[F.col(c).alias(f"_2{c}") for c in fields], *place)
     both = decoded.join(rows, "raw_label", "left")
-    adopted = F.array_compact(F.array(*[F.when(F.col(c).isNull() & F.col(f"_2{c}").isNotNull(), c) for c in fields]))
-    clash = F.array_compact(F.array(*[F.when(F.col(c) != F.col(f"_2{c}"), F.struct(F.lit(c).alias("field"), F.col(c).alias("first"), F.col(f"_2{c}").alias("second"))) for c in fields]))
-    both = both.withColumns({"adopted": adopted, "conflicts": clash})
-    both = both.withColumns({c: F.coalesce(c, f"_2{c}") for c in fields})
+    text = lambda c: (F.col(c)["code"] if c.endswith("primary_system") else F.col(c)).cast("string")
+    entry = lambda field, a, b: F.struct(F.lit(field).alias("field"), a.alias("first"), b.alias("second"))
+    take = [F.when(F.col(c).isNull() & F.col(f"_2{c}").isNotNull(), c) for c in fields]
+    clash = [F.when(F.col(c) != F.col(f"_2{c}"), entry(c, text(c), text(f"_2{c}"))) for c in fields]
+    if members:
+        none = F.col("location").isNull()
+        take.append(F.when(none & F.col("_2location").isNotNull(), "location"))
+        take += [F.when(~none & F.col(f"location.{m}").isNull() & F.col(f"_2location.{m}").isNotNull(), f"location.{m}") for m in members]
+        clash += [F.when(F.col(f"location.{m}") != F.col(f"_2location.{m}"), entry(f"location.{m}", F.col(f"location.{m}"), F.col(f"_2location.{m}"))) for m in members]
+    both = both.withColumns({"adopted": F.array_compact(F.array(*take)), "conflicts": F.array_compact(F.array(*clash))})
+    new = {c: F.coalesce(c, f"_2{c}") for c in fields}
+    if members:
+        new["location"] = F.when(F.col("location").isNull(), F.col("_2location")).otherwise(F.struct(*[F.coalesce(f"location.{m}", f"_2location.{m}").alias(m) for m in members]))
+    broken = F.coalesce(F.greatest(F.lit(False), *[(~new[c].isin(*ENUMS[c])) & F.col(c).isNull() for c in fields if c in ENUMS]), F.lit(False))
+    both = both.withColumn("_broken", broken)
     conf = F.round(F.least(F.lit(CONFIDENCE_CAP), F.greatest("confidence", F.col("_c2") - 0.1)), 2)
-    took = F.size("adopted") > 0
-    return both.withColumns({"confidence": F.when(took, conf).otherwise(F.col("confidence")), "decode_method": F.when(took, F.concat("decode_method", F.lit("+llm"))).otherwise(F.col("decode_method"))}).drop("_c2", *[f"_2{c}" for c in fields])
+    took = (F.size("adopted") > 0) & ~F.col("_broken")
+    out = both.withColumns({c: F.when(F.col("_broken"), F.col(c)).otherwise(v) for c, v in new.items()})
+    out = out.withColumns({"conflicts": F.when(F.col("_broken"), F.concat("conflicts", F.array(entry("_schema", F.lit("kept"), F.lit("merge invalid"))))).otherwise(F.col("conflicts")), "confidence": F.when(took, conf).otherwise(F.col("confidence")), "decode_method": F.when(took, F.concat("decode_method", F.lit("+llm"))).otherwise(F.col("decode_method"))})
+    return out.withColumn("adopted", F.when(F.col("_broken"), F.array().cast("array<string>")).otherwise(F.col("adopted"))).drop("_c2", "_broken", *[f"_2{c}" for c in fields], *(["_2location"] if members else []))
+
+
+def merge_stats(decoded: DataFrame, second: DataFrame) -> DataFrame:
+    """Rows of the second source, and how many were skipped as invalid or as of no decoded label."""
+    bad = F.coalesce("schema_invalid", F.lit(False)) if "schema_invalid" in second.columns else F.lit(False)
+    rows = second.select("raw_label", bad.alias("_bad")).join(decoded.select("raw_label", F.lit(True).alias("_known")).distinct(), "raw_label", "left")
+    return rows.agg(F.count("*").alias("second_rows"), F.count_if("_bad").alias("schema_invalid"), F.count_if(~F.col("_bad") & F.col("_known").isNull()).alias("unknown_label"))
+
+
+#: Fixed value: what looks like a component code, wherever it stands.
+CODE_LIKE = r"(?<![A-Za-z])([A-Za-z]{2}\d{2,3})(?!\d)"
+#: Fields whose loss a probe counts, as columns of a decoded row.
+PROBED = {"system_code": "primary_system", "subsystem": "subsystem", "component": "component", "function": "function", "measurement_type": "measurement_type", "object_type": "object_type", "location": "location", "carrier": "carrier"}
+# What the record's contract allows.
+ENUMS = {
+    "carrier": ("el", "fjernvarme", "kjoling", "gass", "vann", "annet"),
+    "measurement_type": ("energi", "effekt", "temperatur", "volum", "trykk", "kostnad", "co2", "status", "kommando", "annet"),
+    "object_type": ("AV", "BV", "MV", "AI", "AO", "BI", "BO", "MI", "MO"),
+}
 
 
 def mutations(labels: DataFrame) -> DataFrame:
-    """Four rewritings of each label, for testing how much the rules depend on spelling."""
+    """Rewritings that another vendor or site might use, of each label to which they apply: ``(raw_label, source_type, mutation, mutated)``."""
     x = F.col("raw_label")
-    kinds = F.array(F.struct(F.lit("lowercase").alias("mutation"), F.lower(x).alias("mutated")), F.struct(F.lit("swap").alias("mutation"), F.translate(x, "-_", "_-").alias("mutated")), F.struct(F.lit("spaces").alias("mutation"), F.replace(x, F.lit("_"), F.lit(" ")).alias("mutated")), F.struct(F.lit("suffix").alias("mutation"), F.concat(x, F.lit(".x")).alias("mutated")))
-    return labels.withColumn("m", F.explode(kinds)).select("raw_label", "source_type", "m.*")
+    slash = F.instr(x, "/")
+    head = F.when(slash > 0, F.substr(x, F.lit(1), slash - 1)).otherwise(x)
+    tail = F.when(slash > 0, F.substr(x, slash + 1, F.length(x)))
+    whole = F.coalesce(tail, x)
+    gaps, codes = F.split(x, CODE_LIKE, -1), F.regexp_extract_all(x, F.lit(CODE_LIKE), F.lit(1))
+    lowered = F.concat(F.array_join(F.zip_with(F.slice(gaps, 1, F.size(codes)), codes, lambda g, c: F.concat(g, F.lower(c))), ""), F.element_at(gaps, -1))
+    kinds = {
+        "swap": F.when(whole.contains("-") | x.contains("_"), F.concat(head, F.lit("/"), F.translate(whole, "-_", "_-"))),
+        "lowercase": F.when(lowered != x, lowered),
+        "spaces": F.when(tail.rlike("[-_]"), F.concat(head, F.lit("/"), F.translate(tail, "-_", "  "))),
+        "displaced": F.when(x.contains(".#"), F.regexp_replace(x, r"^(?s)(.*)\.#", r"$1_X.#")),
+    }
+    each = F.array(*[F.struct(F.lit(k).alias("mutation"), v.alias("mutated")) for k, v in kinds.items()])
+    return labels.withColumn("m", F.explode(each)).select("raw_label", "source_type", "m.*").where("mutated is not null")
+
+
+def mutation_losses(labels: DataFrame, decode) -> DataFrame:
+    """Of labels that ``decode`` gives a component or object type: by rewriting, how many were tried, broke, and lost each field."""
+    flags = [F.col(c).isNotNull().alias(f) for f, c in PROBED.items()]
+    base = decode(labels).where("component is not null or object_type is not null").select("raw_label", "source_type", F.struct(*flags).alias("old"))
+    tried = mutations(base)
+    again = decode(tried.select(F.col("mutated").alias("raw_label"), "source_type").distinct()).select(F.col("raw_label").alias("mutated"), "source_type", F.struct(*flags).alias("new"))
+    both = tried.join(base, ["raw_label", "source_type"]).join(again, ["mutated", "source_type"])
+    lost = {f: F.col(f"old.{f}") & ~F.col(f"new.{f}") for f in PROBED}
+    return both.groupBy("mutation").agg(F.count("*").alias("tried"), F.count_if(F.greatest(*lost.values())).alias("broke"), *[F.count_if(v).alias(f"lost_{f}") for f, v in lost.items()])
+
+
+def null_rates(decoded: DataFrame) -> DataFrame:
+    """Of each probed field: rows, nulls and their share."""
+    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(c).isNull().alias("gone")) for f, c in PROBED.items()])
+    rows = decoded.select(F.explode(cells).alias("c")).groupBy("c.field").agg(F.count("*").alias("n"), F.count_if("c.gone").alias("nulls"))
+    return rows.withColumn("null_rate", F.col("nulls") / F.col("n"))
+
+
+def recognised(segment: Column) -> Column:
+    """Whether a pattern of the label grammar, a path word or a keyword claims a segment."""
+    core, low = F.regexp_replace(segment, lb.SETPOINT_SUFFIX, ""), F.lower(segment)
+    whole = [segment.rlike(p) for p in (lb.SYSTEM_TOKEN, lb.EQUIPMENT_TOKEN, lb.MODBUS_TOKEN, lb.COMBINED, lb.BYGG_ETG, lb.ROOM)]
+    inner = [core.rlike(lb.POINT_CODE), F.ltrim(core, F.lit("-")).rlike(lb.IO_POINT), core.rlike(lb.EMBEDDED_TAIL)]
+    return F.greatest(*whole, *inner, low.isin(*lb.PATH_OBJECTS), *[F.instr(low, w) > 0 for w in KEYWORDS])
+
+
+def unrecognised(labels: DataFrame) -> DataFrame:
+    """Families of path segments that nothing claims, with their number and the smallest example."""
+    rows = labels.select(F.explode(lb.segments(F.col("raw_label"))).alias("s")).where(~recognised(F.col("s")))
+    return rows.groupBy(lb.signature(F.col("s")).alias("family")).agg(F.count("*").alias("n"), F.min("s").alias("example"))
+
+
+def missed_codes(decoded: DataFrame) -> DataFrame:
+    """Labels without a component although something in them looks like a code: ``(raw_label, codes)``."""
+    found = F.sort_array(F.array_distinct(F.regexp_extract_all(lb.after(F.col("raw_label"), ":"), F.lit(CODE_LIKE), F.lit(1))))
+    return decoded.where("component is null").select("raw_label", found.alias("codes")).where(F.size("codes") > 0)

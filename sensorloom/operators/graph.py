@@ -51,8 +51,10 @@ def point_facts(decoded: DataFrame) -> DataFrame:
     """A row per decoded point with its class, unit, graph and the node it hangs on (equipment, else system, else building, else site)."""
     x = F.col("raw_label")
     d = decoded.withColumns({"point": lb.point_id(x), "class": point_class(), "unit_name": choose(UNIT, F.col("unit")), "keys": lb.group_keys(x, lb.segments(x)), "graph": F.coalesce("building", F.lit("site"))})
-    gear = F.get(F.filter("keys", lambda k: k["kind"] == "same_equipment"), F.lit(0))["key"]
-    d = d.withColumn("equipment", gear)
+    # a bare code names the point itself, not a device that it belongs to
+    d = d.withColumn("_own", F.coalesce(F.ltrim(lb.point_token(lb.segments(x))["token"], F.lit("-")), F.lit("")))
+    gear = F.get(F.filter("keys", lambda k: (k["kind"] == "same_equipment") & (k["key"] != F.col("_own"))), F.lit(0))["key"]
+    d = d.withColumn("equipment", gear).drop("_own")
     anchor = F.coalesce(
         F.when(F.col("equipment").isNotNull(), F.struct(F.lit("isPointOf").alias("p"), F.concat(F.lit("equipment/"), lb.iri_name(F.col("equipment"))).alias("o"))),
         F.when(F.col("system_code").isNotNull(), F.struct(F.lit("hasPoint").alias("p"), F.concat(F.lit("system/"), F.col("system_code")).alias("o"))),

@@ -97,7 +97,7 @@ def grf01(spark, d):
 IRI = "CASE WHEN regexp_replace({x}, '[^A-Za-z0-9_.-]', '_', 'g') = {x} THEN {x} ELSE regexp_replace({x}, '[^A-Za-z0-9_.-]', '_', 'g') || '_' || substr(sha1({x}), 1, 6) END"
 CLASS_SQL = "CASE " + " ".join("WHEN " + " AND ".join(x for x in (says and f"contains(lower(coalesce(function, '')), '{says}')", q and f"measurement_type = '{q}'", let and f"starts_with(component, '{let}')") if x) + f" THEN '{name}'" for says, q, let, name in gr.POINT_RULES) + " ELSE 'Point' END"
 FACTS = pl.BASE + f""", pf AS (SELECT *, substr(sha1(raw_label), 1, 12) AS point, {CLASS_SQL} AS class, CASE unit WHEN '°C' THEN 'DEG_C' WHEN 'ppm' THEN 'PPM' WHEN 'kWh' THEN 'KiloW-HR' WHEN 'Pa' THEN 'PA' END AS unit_name, coalesce(building, 'site') AS graph,
-  (SELECT substr(list_filter(t.kl, lambda k: starts_with(k, 'same_equipment='))[1], 16) FROM tk t WHERE t.raw_label = dr.raw_label) AS equipment FROM dr),
+  (SELECT substr(list_filter(t.kl, lambda k: starts_with(k, 'same_equipment=') AND k <> 'same_equipment=' || coalesce(ltrim(t.point_token, '-'), ''))[1], 16) FROM tk t WHERE t.raw_label = dr.raw_label) AS equipment FROM dr),
 pa AS (SELECT *, CASE WHEN equipment IS NOT NULL THEN 'isPointOf' ELSE 'hasPoint' END AS p, CASE WHEN equipment IS NOT NULL THEN 'equipment/' || {IRI.format(x="equipment")} WHEN system_code IS NOT NULL THEN 'system/' || system_code WHEN building IS NOT NULL THEN 'building/' || {IRI.format(x="building")} ELSE 'site' END AS anchor FROM pf),
 tr AS (SELECT graph, 'point/' || point AS s, 'a' AS p, class AS o FROM pa UNION SELECT graph, 'point/' || point, 'label', raw_label FROM pa UNION SELECT graph, 'point/' || point, 'hasUnit', unit_name FROM pa WHERE unit_name IS NOT NULL
   UNION SELECT graph, CASE WHEN p = 'isPointOf' THEN 'point/' || point ELSE anchor END, p, CASE WHEN p = 'isPointOf' THEN anchor ELSE 'point/' || point END FROM pa)"""

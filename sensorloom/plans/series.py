@@ -59,7 +59,7 @@ def agg05(spark, d):
 
 
 #: The reference series of the correlation queries: part of exactly one label.
-REFERENCE = "N1:20053401-OU001/FCB.360002.-RT501_SP"
+REFERENCE = "N1:70010001-OU001/Loop.360002.-RT501_SP"
 
 
 def reference(series, labels):

@@ -14,7 +14,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point samples: 300 labels; every 11th row is five days late, every 97th value unreadable; counters, binaries and constants occur."""
     e = table(spark, sf_dir, "events")
     u = F.col("user_id") % 150
-    label = F.expr("""concat('N1:2005340', cast(user_id % 5 as string), '-OU00', cast(user_id % 7 as string), '/FCB.', case user_id % 3 when 0 then '320001' when 1 then '360002' else '370003' end, '.-', case when user_id % 4 = 3 then 'SB' else 'RT' end, cast(400 + 100 * (user_id % 2) + (user_id % 150) % 60 as string), case when event_id % 2 = 0 then '' else '_SP' end)""")
+    label = F.expr("""concat('N1:7001000', cast(user_id % 5 as string), '-OU00', cast(user_id % 7 as string), '/Loop.', case user_id % 3 when 0 then '320001' when 1 then '360002' else '370003' end, '.-', case when user_id % 4 = 3 then 'SB' else 'RT' end, cast(400 + 100 * (user_id % 2) + (user_id % 150) % 60 as string), case when event_id % 2 = 0 then '' else '_SP' end)""")
     late = F.when(F.col("event_id") % 11 == 0, F.expr("ts - interval 5 days")).otherwise(F.col("ts"))
     value = (
         F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("double"))
@@ -33,7 +33,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-POINTS = """pts AS (SELECT 'N1:2005340' || (user_id % 5) || '-OU00' || (user_id % 7) || '/FCB.' || CASE user_id % 3 WHEN 0 THEN '320001' WHEN 1 THEN '360002' ELSE '370003' END
+POINTS = """pts AS (SELECT 'N1:7001000' || (user_id % 5) || '-OU00' || (user_id % 7) || '/Loop.' || CASE user_id % 3 WHEN 0 THEN '320001' WHEN 1 THEN '360002' ELSE '370003' END
   || '.-' || CASE WHEN user_id % 4 = 3 THEN 'SB' ELSE 'RT' END || (400 + 100 * (user_id % 2) + (user_id % 150) % 60) || CASE WHEN event_id % 2 = 0 THEN '' ELSE '_SP' END AS raw_label,
   strftime(date_trunc('hour', CASE WHEN event_id % 11 = 0 THEN ts - INTERVAL 5 DAY ELSE ts END), '%Y-%m-%d %H:%M:%S') AS ts_text,
   CASE WHEN event_id % 97 = 0 THEN NULL WHEN (user_id % 150) % 6 = 0 THEN CASE WHEN event_id % 4 = 0 THEN 1.0 ELSE 0.0 END WHEN (user_id % 150) % 6 = 1 THEN event_id::DOUBLE

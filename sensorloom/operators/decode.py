@@ -88,12 +88,24 @@ def lookup(table: dict[str, str], key: Column) -> Column:
     return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[key] if table else F.lit(None).cast("string")
 
 
-def decode_rules(labels: DataFrame, components: dict[str, str], systems: dict[str, str], areas: dict[str, str] | None = None) -> DataFrame:
+def version_stamp(*tables: DataFrame) -> DataFrame:
+    """One row with ``version``: twelve digits that change with any row of what a decode rests on, whatever the rows' order."""
+    rows = None
+    for k, t in enumerate(tables):
+        line = F.concat_ws("\x1f", F.lit(str(k)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(t.columns)])
+        part = t.select(F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long").alias("h"))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.agg(F.substring(F.sha2(F.concat_ws(":", F.count("*").cast("string"), F.coalesce(F.sum("h"), F.lit(0)).cast("string")), 256), 1, 12).alias("version"))
+
+
+def decode_rules(labels: DataFrame, components: dict[str, str], systems: dict[str, str], areas: dict[str, str] | None = None, keywords: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """``labels(raw_label, source_type)`` decoded by rules alone.
 
     ``components``: letters to meaning; ``systems``: three digits to name; ``areas``: control number to area. They are
-    small reference tables and go into the plan as literals, so decoding is one projection without a join.
+    small reference tables and go into the plan as literals, so decoding is one projection without a join. ``keywords``:
+    rules in place of ``KEYWORDS``, such as ``sources.files.rules`` reads.
     """
+    rules = KEYWORDS if keywords is None else keywords
     d = lb.with_tokens(labels)
     col, lit, null = F.col, F.lit, F.lit(None).cast("string")
     d = d.withColumns({"building": F.coalesce("bygg", "control_number"), "zone": null, "score": lit(0.30), "notes": F.array().cast("array<string>")})
@@ -147,14 +159,14 @@ def decode_rules(labels: DataFrame, components: dict[str, str], systems: dict[st
     d = step(d, col("point_suffix").isin("_SP", "_WSP"), 0.10, "set-point suffix", function=lit("settpunkt"))
 
     d = d.withColumn("_hay", F.lower(F.array_join("segs", " ")))
-    words = sorted(KEYWORDS, key=len, reverse=True)
+    words = sorted(rules, key=len, reverse=True)
     hit = {w: F.instr(col("_hay"), w) > 0 for w in words}
     for field in ("function", "measurement_type", "carrier", "unit", "component"):
-        d = d.withColumn(field, F.coalesce(field, *[F.when(hit[w], KEYWORDS[w][field]) for w in words if field in KEYWORDS[w]]))
+        d = d.withColumn(field, F.coalesce(field, *[F.when(hit[w], rules[w][field]) for w in words if field in rules[w]]))
     any_hit = F.array_compact(F.array(*[F.when(hit[w], w) for w in words]))
     d = d.withColumn("_words", any_hit)
     d = step(d, (F.size("_words") > 0) & F.coalesce("function", "measurement_type", "carrier").isNotNull(), 0.10, F.concat(lit("keywords "), F.array_join("_words", ", ")))
-    hint = F.coalesce(*[F.when(hit[w], KEYWORDS[w]["system_hint"]) for w in words if "system_hint" in KEYWORDS[w]])
+    hint = F.coalesce(null, *[F.when(hit[w], rules[w]["system_hint"]) for w in words if "system_hint" in rules[w]])
     d = step(d, col("system_code").isNull() & lookup(systems, hint).isNotNull(), 0.10, F.concat(lit("system hint "), hint), system_code=F.concat(hint, lit("0")), system_name=lookup(systems, hint))
     d = d.withColumn("carrier", F.coalesce("carrier", lookup(SYSTEM_CARRIER, F.substring("system_code", 1, 2))))
 

@@ -101,6 +101,19 @@ def readiness(facts: DataFrame) -> DataFrame:
     return facts.groupBy("graph").agg(F.count("*").alias("points"), pct(F.col("class") != "Point").alias("typed"), pct(F.col("equipment").isNotNull()).alias("anchored"), pct(F.col("building").isNotNull()).alias("placed"), pct(F.col("system_code").isNotNull()).alias("in_system"), pct(F.col("unit_name").isNotNull()).alias("with_unit"))
 
 
+def class_counts(facts: DataFrame) -> DataFrame:
+    return facts.groupBy("class").agg(F.count("*").alias("n"))
+
+
+def family_gaps(facts: DataFrame, gaps: Column) -> DataFrame:
+    """Label families with their untyped points and readiness gaps, the worst first."""
+    rows = facts.select(lb.signature(F.col("raw_label")).alias("family"), (F.col("class") == "Point").alias("untyped"), gaps.alias("gaps"))
+    has = lambda g: F.count_if(F.array_contains("gaps", g)).alias(f"no_{g}")
+    names = ("primary_system", "point_semantics", "building", "low_confidence")
+    out = rows.groupBy("family").agg(F.count("*").alias("n"), F.count_if("untyped").alias("untyped"), *[has(g) for g in names])
+    return out.withColumn("gaps", F.col("untyped") + sum(F.col(f"no_{g}") for g in names)).orderBy(F.desc("gaps"), "family")
+
+
 def part_of(edges: DataFrame, start: DataFrame, depth: int = 4) -> DataFrame:
     """Ancestors of ``start(id)`` over ``edges(src, dst)`` up to ``depth`` hops: ``(id, ancestor, hops)``; the hierarchy is bounded."""
     e = edges.select(F.col("src").alias("_s"), F.col("dst").alias("_d"))

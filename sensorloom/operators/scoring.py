@@ -105,6 +105,37 @@ def calibration_scores(rows: DataFrame, bins: int = 5) -> DataFrame:
     return per.agg((F.sum("s") / F.sum("n")).alias("brier"), (F.sum(F.col("gap") * F.col("n")) / F.sum("n")).alias("ece"), F.sum("n").alias("n"))
 
 
+def code_exact(gold: DataFrame, outputs: DataFrame, field: str = "system_code") -> DataFrame:
+    """Of rows where both sides hold a code: how many, and the share that is equal beyond the compared prefix."""
+    both = gold.select("raw_label", F.trim(field).alias("g")).join(outputs.select("raw_label", F.trim(field).alias("o")), "raw_label").where("g is not null and o is not null")
+    return both.agg(F.count("*").alias("n"), F.avg((F.col("g") == F.col("o")).cast("int")).alias("code_exact"))
+
+
+def validity_rate(contract_rows: DataFrame) -> DataFrame:
+    """Of ``contract`` rows: outputs, sound labels, and their share; of a repeated label the last row counts, over all outputs."""
+    rows = contract_rows.withColumn("_at", F.monotonically_increasing_id())
+    last = rows.groupBy("raw_label").agg(F.max_by(F.size("violations") == 0, "_at").alias("ok"), F.count("*").alias("_n"))
+    return last.agg(F.sum("_n").alias("n_outputs"), F.count_if("ok").alias("valid"), (F.count_if("ok") / F.sum("_n")).alias("validity_rate"))
+
+
+def error_rows(gold: DataFrame, outputs: DataFrame, contract_rows: DataFrame) -> DataFrame:
+    """``(raw_label, field, kind, predicted, gold, confidence)``: a row per missed field, and one per record that breaks the contract."""
+    side = lambda df, name: df.select("raw_label", *(["confidence"] if name == "predicted" else []), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias(name)) for f in FIELDS])).alias("c")).select("raw_label", *(["confidence"] if name == "predicted" else []), "c.*")
+    missed = field_verdicts(gold, outputs).where("verdict <> 'CORRECT'").select("raw_label", "field", F.col("verdict").alias("kind"))
+    rows = missed.join(side(outputs, "predicted"), ["raw_label", "field"]).join(side(gold, "gold"), ["raw_label", "field"])
+    broken = contract_rows.where(F.size("violations") > 0)
+    text = F.array_join(F.transform("violations", lambda v: F.concat_ws(": ", v["location"], v["message"])), "; ")
+    none = F.lit(None).cast("string")
+    broken = broken.select("raw_label", F.lit("(schema)").alias("field"), F.lit("SCHEMA_INVALID").alias("kind"), text.alias("predicted"), none.alias("gold"), F.lit(None).cast("double").alias("confidence"))
+    return rows.select(*broken.columns).unionByName(broken)
+
+
+def confidence_histogram(decoded: DataFrame, bins: int = 5) -> DataFrame:
+    """Rows and mean confidence by equal bins of confidence, the last one closed."""
+    b = F.least(F.floor(F.col("confidence") * bins), F.lit(bins - 1)).cast("int")
+    return decoded.where("confidence is not null").groupBy(b.alias("bin")).agg(F.count("*").alias("n"), F.avg("confidence").alias("mean_confidence"))
+
+
 def fill_rates(decoded: DataFrame) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).isNotNull().cast("int").alias("set")) for f in FIELDS])
     return decoded.select(F.explode(cells).alias("c")).groupBy("c.field").agg(F.avg("c.set").alias("fill_rate"), F.count("*").alias("n"))

@@ -198,3 +198,18 @@ def signal_summary(samples: DataFrame, column: str) -> DataFrame:
     """Count, mean, range, first and last of one signal per zone."""
     rows = samples.where(F.col(column).isNotNull())
     return rows.groupBy(*KEY).agg(F.count("*").alias("n"), F.avg(column).alias("mean"), F.min(column).alias("min"), F.max(column).alias("max"), F.min_by(column, "grid_idx").alias("first"), F.max_by(column, "grid_idx").alias("last"))
+
+
+#: Roles of a zone's signals and their columns.
+SIGNALS = {"r": "setpoint", "y": "actual", "u": "gain"}
+
+
+def signal(samples: DataFrame, building: str, zone: str, name: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """``(ts, value)`` of one signal of a zone, by column or role, from ``start`` to ``end``: times or their beginnings, both included."""
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    rows = samples.where((F.col("building") == building) & (F.col("zone") == zone))
+    if start:
+        rows = rows.where(text >= start)
+    if end:
+        rows = rows.where(F.substring(text, 1, len(end)) <= end)
+    return rows.select("ts", F.col(SIGNALS.get(name, name)).alias("value"))

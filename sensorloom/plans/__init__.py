@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import graph, heating, labels, more, profile, series
+from . import graph, heating, labels, more, profile, reports, series
 
-MODULES = (series, heating, labels, profile, graph, more)
+MODULES = (series, heating, labels, profile, graph, more, reports)
 
 
 def queries() -> dict:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,7 @@ from ..functions.numbers import parse_number
 LINE = r"^(.*),([^,]*),([^,]*)$"
 #: Readings at or below this stand for none.
 SENTINEL = -900.0
+# The columns that tell a zone file's kind.
 HEADERS = {
     "t_triple": ("Timestamp", "T_Actualvalue", "T_Setvalue", "T_Gain"),
     "co2_triple": ("Timestamp", "CO2_Actualvalue", "CO2_Setvalue", "CO2_Gain"),
@@ -104,15 +107,29 @@ def other_zones(lines: DataFrame) -> DataFrame:
     return rows.groupBy("building", "zone", "kind").agg(F.count("*").alias("n_grid"), F.count("_t").alias("n_data"), F.min_by("_t", F.when(F.col("_t").isNotNull(), F.col("arrival"))).alias("first_ts"), F.max_by("_t", F.when(F.col("_t").isNotNull(), F.col("arrival"))).alias("last_ts"))
 
 
-def weather_daily(spark: SparkSession, path: str, column: str = "Air temperature") -> DataFrame:
-    rows = spark.read.option("header", True).csv(path)
+def daily_weather(rows: DataFrame, column: str = "Air temperature") -> DataFrame:
+    """Daily means of ``rows`` whose first column is the time; sentinels and what cannot be read are left out."""
     value = parse_number(F.col(f"`{column}`"))
-    return rows.select(iso_date(F.col(rows.columns[0])).cast("date").alias("day"), value.alias("v")).where((F.col("v") > SENTINEL) & F.col("day").isNotNull()).groupBy("day").agg(F.avg("v").alias("temp"))
+    return rows.select(iso_date(F.col(f"`{rows.columns[0]}`")).cast("date").alias("day"), value.alias("v")).where((F.col("v") > SENTINEL) & F.col("day").isNotNull()).groupBy("day").agg(F.avg("v").alias("temp"))
+
+
+def weather_daily(spark: SparkSession, path: str, column: str = "Air temperature") -> DataFrame:
+    return daily_weather(spark.read.option("header", True).csv(path), column)
+
+
+def daily_meter(rows: DataFrame, column: str = "main", by: str | None = None) -> DataFrame:
+    """Daily sums of ``rows`` whose first column but ``by`` is the time, in either date form, under any name; empty values are left out."""
+    time = next(c for c in rows.columns if c != by)
+    keys = [by] if by else []
+    return rows.select(*keys, iso_date(F.col(f"`{time}`")).cast("date").alias("day"), parse_number(F.col(f"`{column}`")).alias("v")).where("v is not null and day is not null").groupBy(*keys, "day").agg(F.sum("v").alias("energy"))
 
 
-def meter_daily(spark: SparkSession, path: str, column: str = "main") -> DataFrame:
-    rows = spark.read.option("header", True).csv(path)
-    return rows.select(iso_date(F.col(f"`{rows.columns[0]}`")).cast("date").alias("day"), parse_number(F.col(f"`{column}`")).alias("v")).where("v is not null and day is not null").groupBy("day").agg(F.sum("v").alias("energy"))
+def meter_daily(spark: SparkSession, path: str, column: str = "main", by_building: bool = False) -> DataFrame:
+    """Daily sums of meter files; ``by_building``: of all files of ``Buildings/<b>/Meters/`` under ``path``, by building."""
+    if not by_building:
+        return daily_meter(spark.read.option("header", True).csv(path), column)
+    rows = spark.read.option("header", True).csv(f"{path}/Buildings/*/Meters/*.csv")
+    return daily_meter(rows.withColumn("building", F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), r"Buildings/([^/]+)/", 1)), column, "building")
 
 
 def table_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -156,7 +173,7 @@ def label_batch(spark: SparkSession, path: str, source_type: str) -> DataFrame:
 
 
 def json_rows(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """JSON lines under a schema; a line that does not parse is an error."""
+    """JSON lines under a schema; blank lines are skipped, and a line that does not parse is an error that names its file."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
@@ -167,6 +184,20 @@ def triple_rows(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths)).where(F.col("value").rlike(pattern)).select(part(1).alias("s"), part(2).alias("p"), F.coalesce(part(3), part(4)).alias("o"))
 
 
+def rules(spark: SparkSession, path: str) -> dict:
+    """A small JSON file of rules or thresholds as a dictionary; keys that start with ``_`` are comments, nulls say nothing."""
+
+    def plain(x):
+        return {k: plain(v) for k, v in x.items() if not k.startswith("_") and v is not None} if isinstance(x, dict) else x
+
+    return plain(json.loads(spark.read.text(path, wholetext=True).first()[0]))
+
+
+def write_rows(rows: DataFrame, path: str, form: str = "parquet") -> None:
+    """A result table in place of what was there: Parquet or JSON lines."""
+    rows.write.mode("overwrite").format(form).save(path)
+
+
 def changed_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """``files(path, size, modified)`` that ``manifest`` lacks as they are now."""
     return files.join(manifest, ["path", "size", "modified"], "left_anti")

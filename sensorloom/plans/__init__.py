@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import graph, heating, labels, more, profile, reports, series
+from . import buildings, graph, heating, labels, more, profile, reports, series
 
-MODULES = (series, heating, labels, profile, graph, more, reports)
+MODULES = (series, heating, labels, profile, graph, more, reports, buildings)
 
 
 def queries() -> dict:

@@ -18,8 +18,8 @@ from .series import rounded
 from .views import POINTS, ZONES, points, table, zone_samples
 
 
-def written(spark, rows, form: str = "text") -> str:
-    """The path of a table written in the shared folder, for readers to read."""
+def written(spark, rows, form: str = "text", by: str | None = None) -> str:
+    """The path of a table written in the shared folder, for readers to read; ``by``: in a folder for each value."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         if not spark.sparkContext.master.startswith("local"):
@@ -27,7 +27,8 @@ def written(spark, rows, form: str = "text") -> str:
         where = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", where)
     path = f"{where.rstrip('/')}/read-{uuid.uuid4().hex}"
-    rows.write.format(form).save(path)
+    writer = rows.write.format(form)
+    (writer.partitionBy(by) if by else writer).save(path)
     return path
 
 

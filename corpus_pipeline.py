@@ -10,25 +10,44 @@ from sensorloom.llm.common import cut, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` without rows whose text scores as toxic; the lexicon is learned from ``labels`` outside the held-out fifth.
+
+    Null and empty texts are clean and stay; very long ones are matched whole; repeated rows are judged alike. Without
+    labels the seed lexicon judges. An empty table gives an empty one. All columns stay as they are, whatever their names.
+    """
+    names = {c: f"_in{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
     model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
-    return toxicity.score(docs, model).where("tox_score < 0.5").drop("tox_score", "tox_hits")
+    scored = toxicity.score(docs.withColumnsRenamed(names), model).where("tox_score < 0.5").drop("tox_score", "tox_hits")
+    return scored.withColumnsRenamed({n: c for c, n in names.items()})
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id, of exact repeats one row.
+
+    Rows with a null id stay, as do null and empty texts, each id once. An empty table gives an empty one. All columns
+    stay as they are.
+    """
     return jaccard.drop_near_copies(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` without rows that hold an item of ``benchmark``; null and empty texts hold none, very long ones are
+    searched whole. An empty table, or a benchmark without items, drops nothing. All columns stay as they are."""
     return decontamination.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per copy that the mix takes."""
-    mixed = mixing.mix(docs).where("_copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    """A row per copy that the mix takes: none to three of a document. Null sources are one source; null and empty texts
+    have no words and are taken as their size class is. An empty table gives an empty one; the columns stay as they are."""
+    names = {c: f"_in{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "source")}
+    mixed = mixing.mix(docs.withColumnsRenamed(names)).where("_copies > 0")
+    copies = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return copies.withColumnsRenamed({n: c for c, n in names.items()}).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with ``shard``, ``shard_depth`` and ``shard_bytes``, which replace columns of these names. Null ids go by their
+    text, null texts have no bytes, copies of one id that exceed a shard overflow into more. An empty table gives an empty one."""
     return sharding.extendible_shards(docs, sharding.LIMIT)
 
 

@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import exclusive_quantile, middle
-from .zones import KEY, RULES
+from ..sources.shared import staged
+from .series import running
+from .zones import CHUNK, KEY, RULES
 
 EVENT = [*KEY, "i0"]
 
 
 def last_known(samples: DataFrame, column: str, out: str) -> DataFrame:
     """``out``: the last non-null value of ``column`` before each row of a zone."""
-    order = Window.partitionBy(*KEY).orderBy("grid_idx").rowsBetween(Window.unboundedPreceding, -1)
-    return samples.withColumn(out, F.last(column, ignorenulls=True).over(order))
+    return running(samples, KEY, F.col(column), F.floor(F.col("grid_idx") / CHUNK), "grid_idx", "last", out)
 
 
 def window_rows(starts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
@@ -30,18 +31,25 @@ def window_rows(starts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
 
 
 def first_after(starts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """The first of ``rows`` past each window, by one descending pass over rows and window ends together."""
+    """The first of ``rows`` past each window, by one descending pass over rows and window ends together, chunk by chunk."""
     values = [c for c in rows.columns if c not in KEY]
     marks = starts.select(*KEY, (F.col("i0") + width + 0.5).alias("_at"), "i0", F.lit(None).cast(rows.select(F.struct(*values)).schema[0].dataType).alias("_row"))
     both = marks.unionByName(rows.select(*KEY, F.col("grid_idx").cast("double").alias("_at"), F.lit(None).cast("bigint").alias("i0"), F.struct(*values).alias("_row")))
-    order = Window.partitionBy(*KEY).orderBy(F.desc("_at")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = both.withColumn("_next", F.last("_row", ignorenulls=True).over(order)).where("i0 is not null and _next is not null")
+    both = both.withColumn("_back", -F.col("_at"))
+    found = running(both, KEY, F.col("_row"), F.floor(F.col("_back") / CHUNK), "_back", "last", "_next").where("i0 is not null and _next is not null")
     return starts.join(found.select(*KEY, "i0", "_next.*"), EVENT).withColumn("off", F.col("grid_idx") - F.col("i0"))
 
 
 def greedy(spans: DataFrame) -> DataFrame:
-    """Of ``spans(KEY, i0, close)``: those that a scan in order opens, each once the one before is closed (its closing row included)."""
-    listed = spans.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("i0", "close"))).alias("_s"))
+    """Of ``spans(KEY, i0, close)``: those that a scan in order opens, each once the one before is closed (its closing row included).
+
+    A span that none before it reaches opens surely and starts a cluster; each cluster is folded by itself.
+    """
+    chunk = F.floor(F.col("i0") / CHUNK)
+    reach = running(spans, KEY, F.col("close"), chunk, "i0", "max", "_reach")
+    reach = reach.withColumn("_first", F.when(F.col("_reach").isNull() | (F.col("i0") >= F.col("_reach")), F.col("i0")))
+    clusters = running(reach, KEY, F.col("_first"), chunk, "i0", "max", "_start").withColumn("_start", F.coalesce("_first", "_start"))
+    listed = clusters.groupBy(*KEY, "_start").agg(F.array_sort(F.collect_list(F.struct("i0", "close"))).alias("_s"))
     start = F.struct(F.lit(-1).cast("bigint").alias("end"), F.array().cast("array<bigint>").alias("kept"))
     fold = F.aggregate("_s", start, lambda a, x: F.when(x["i0"] >= a["end"], F.struct(x["close"].alias("end"), F.concat(a["kept"], F.array(x["i0"])).alias("kept"))).otherwise(a))
     return listed.select(*KEY, F.explode(fold["kept"]).alias("i0"))
@@ -55,19 +63,20 @@ def decay_events(samples: DataFrame) -> DataFrame:
     r = RULES
     rows = samples.where(~F.col("is_empty") & ~F.col("is_bad")).select(*KEY, "grid_idx", "ts", "actual", "setpoint", "gain")
     seen = last_known(last_known(rows, "setpoint", "_sp"), "actual", "_t")
+    # starts and what they are joined to are used several times: each is worked out once
     starts = seen.where(F.col("_sp") - F.col("setpoint") >= r["min_sp_drop"]).select(*KEY, F.col("grid_idx").alias("i0"), F.col("ts").alias("ts0"), F.col("_sp").alias("sp_from"), F.col("setpoint").alias("sp_to"), F.coalesce("actual", "_t").alias("t0"))
-    data = rows.select(*KEY, "grid_idx", "actual", "setpoint", "gain")
+    starts, data = staged(starts), rows.select(*KEY, "grid_idx", "actual", "setpoint", "gain")
     width = r["max_window"]
     near = window_rows(starts, data, width).withColumn("over", F.lit(False))
     far = first_after(starts, data, width).withColumn("over", F.lit(True))
-    both = near.unionByName(far.select(*near.columns))
+    both = staged(near.unionByName(far.select(*near.columns)))
     on = both.where("gain is not null").withColumn("_g", F.lag("gain").over(Window.partitionBy(*EVENT).orderBy("off")))
     on = on.where((F.col("gain") >= r["gain_on"]) & (F.col("_g") >= r["gain_on"])).groupBy(*EVENT).agg(F.min("off").alias("two"))
     ends = both.groupBy(*EVENT).agg(F.min(F.when(F.col("over") | (F.col("setpoint") > F.col("sp_to") + 0.1), F.col("off"))).alias("end"))
     ends = ends.join(on, EVENT, "left").withColumn("close", F.least(F.coalesce("end", F.lit(FAR)), F.coalesce("two", F.lit(FAR)))).withColumn("reheat", F.coalesce(F.col("two") == F.col("close"), F.lit(False)))
     # a start without any row after it closes never and qualifies never, but it still bars others
     spans = starts.select(*EVENT).join(ends.select(*EVENT, "close"), EVENT, "left").select(*KEY, "i0", (F.col("i0") + F.coalesce("close", F.lit(FAR))).alias("close"))
-    kept = both.join(greedy(spans), EVENT, "left_semi").join(ends.select(*EVENT, "close", "reheat"), EVENT)
+    kept = both.join(greedy(staged(spans)), EVENT, "left_semi").join(ends.select(*EVENT, "close", "reheat"), EVENT)
     sample = (F.col("off") < F.col("close")) & ~F.col("over") & F.col("actual").isNotNull()
     kept = kept.withColumn("s", F.when(sample, F.col("off"))).withColumn("e", F.when((F.col("off") <= 15) & (F.col("off") <= F.col("close")), F.col("gain")))
     event = Window.partitionBy(*EVENT)
@@ -134,10 +143,12 @@ def rise_events(samples: DataFrame, on: float = 50, off: float = 5, width: int =
     # the very first row of a series is not looked at for a starting temperature near the beginning
     t_start = F.when(~((F.col("grid_idx") - F.col("_first") < 15) & (F.col("_near.grid_idx") == F.col("_first"))), F.col("_near.actual"))
     starts = starts.select(*KEY, F.col("grid_idx").alias("i0"), t_start.alias("t_start"))
-    inside = window_rows(starts, rows, width)
+    starts = staged(starts)
+    inside = staged(window_rows(starts, rows, width))
     low = inside.where("gain is not null").withColumn("_g", F.lag("gain").over(Window.partitionBy(*EVENT).orderBy("off")))
     low = low.where("gain < 20 and _g < 20").groupBy(*EVENT).agg(F.min("off").alias("stop"))
     ends = starts.join(low, EVENT, "left").select(*EVENT, F.coalesce("stop", F.lit(width + 1)).alias("stop"))
+    ends = staged(ends)
     kept = greedy(ends.select(*KEY, "i0", (F.col("i0") + F.col("stop")).alias("close")))
     inside = inside.join(kept, EVENT, "left_semi").join(ends, EVENT).where("off <= stop").withColumn("s", F.when((F.col("off") < F.col("stop")) & F.col("actual").isNotNull(), F.col("off")))
     event = Window.partitionBy(*EVENT)

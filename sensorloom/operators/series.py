@@ -21,7 +21,7 @@ def last_wins(points: DataFrame) -> DataFrame:
     return points.where("value is not null").groupBy("raw_label", "ts_text").agg(F.max_by("value", "arrival").alias("value"))
 
 
-def _running(df: DataFrame, keys: list[str], value: Column, chunk: Column, order: str, how: str, out: str) -> DataFrame:
+def running(df: DataFrame, keys: list[str], value: Column, chunk: Column, order: str, how: str, out: str) -> DataFrame:
     """``out``: the maximum (or last non-null) of ``value`` over earlier rows of a key.
 
     A key's rows are split into chunks: chunk summaries are few and ordered first, then chunks go to separate tasks, so a
@@ -46,9 +46,9 @@ def ordered_rows(points: DataFrame, chunk_rows: int = CHUNK) -> DataFrame:
     # arrival numbers are cut into runs; arrivals by file and split are so already
     structured = points.schema["arrival"].dataType.typeName() == "struct"
     chunk = F.struct("arrival.file", "arrival.block") if structured else F.floor(F.col("arrival") / chunk_rows)
-    numeric = _running(numeric, ["raw_label"], F.col("ts_text"), chunk, "arrival", "max", "_top")
+    numeric = running(numeric, ["raw_label"], F.col("ts_text"), chunk, "arrival", "max", "_top")
     numeric = numeric.withColumn("stray", F.coalesce(F.col("ts_text") < F.col("_top"), F.lit(False))).drop("_top")
-    numeric = _running(numeric, ["raw_label"], F.when(~F.col("stray"), F.col("value")), chunk, "arrival", "last", "_prev")
+    numeric = running(numeric, ["raw_label"], F.when(~F.col("stray"), F.col("value")), chunk, "arrival", "last", "_prev")
     return numeric.withColumn("decrease", F.coalesce(~F.col("stray") & (F.col("value") < F.col("_prev")), F.lit(False))).drop("_prev")
 
 

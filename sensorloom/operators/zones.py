@@ -36,6 +36,8 @@ RULES = {
     "floor_share": 0.5,
     "min_events": 10,
 }
+#: Grid rows of a zone that one task orders.
+CHUNK = 1 << 16
 #: Caps of the histograms.
 T_CAP, SP_CAP, GAIN_CAP, TOP_VALUES = 512, 64, 4096, 8
 
@@ -63,9 +65,19 @@ def _histograms(samples: DataFrame) -> DataFrame:
     return ranked.groupBy(*KEY).agg(distinct("t", T_CAP), distinct("sp", SP_CAP), distinct("gain", GAIN_CAP), some("sp"), some("gain"))
 
 
+def _chunk_changes(samples: DataFrame) -> DataFrame:
+    """Per zone: changes of temperature and set point from one chunk of rows to the next that has any."""
+    at = lambda c: F.when(F.col(c).isNotNull(), F.col("grid_idx"))
+    ends = samples.groupBy(*KEY, "_chunk").agg(F.min_by("actual", at("actual")).alias("t0"), F.max_by("actual", at("actual")).alias("t1"), F.min_by("setpoint", at("setpoint")).alias("sp0"), F.max_by("setpoint", at("setpoint")).alias("sp1"))
+    before = Window.partitionBy(*KEY).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumns({"_t": F.last("t1", ignorenulls=True).over(before), "_sp": F.last("sp1", ignorenulls=True).over(before)})
+    return ends.groupBy(*KEY).agg(F.count_if(F.col("t0") != F.col("_t")).alias("_t_across"), F.count_if(F.col("sp0") != F.col("_sp")).alias("_sp_across"))
+
+
 def zone_stats(samples: DataFrame) -> DataFrame:
     """A row per zone: grid counts, moments of temperature, set point, gain and comfort, histograms, changes and quality flags."""
-    before = Window.partitionBy(*KEY).orderBy("grid_idx").rowsBetween(Window.unboundedPreceding, -1)
+    samples = samples.withColumn("_chunk", F.floor(F.col("grid_idx") / CHUNK))
+    before = Window.partitionBy(*KEY, "_chunk").orderBy("grid_idx").rowsBetween(Window.unboundedPreceding, -1)
     comfort = samples.withColumns({"comfort": F.col("actual") - F.col("setpoint"), "_t": F.last("actual", ignorenulls=True).over(before), "_sp": F.last("setpoint", ignorenulls=True).over(before)})
     data = ~F.col("is_empty") & ~F.col("is_bad")
     facts = comfort.groupBy(*KEY).agg(
@@ -85,7 +97,8 @@ def zone_stats(samples: DataFrame) -> DataFrame:
         F.count_if(F.col("comfort") > 1).alias("warm"),
         F.when(F.count("actual") > 0, F.count_if(F.col("actual") != F.col("_t"))).alias("t_changes"),
         F.when(F.count("setpoint") > 0, F.count_if(F.col("setpoint") != F.col("_sp"))).alias("sp_steps"),
-    ).join(_histograms(samples), KEY, "left")
+    ).join(_chunk_changes(samples), KEY, "left").join(_histograms(samples), KEY, "left")
+    facts = facts.withColumns({"t_changes": F.col("t_changes") + F.col("_t_across"), "sp_steps": F.col("sp_steps") + F.col("_sp_across")}).drop("_t_across", "_sp_across")
     share = lambda c: F.when(F.col("gain_n") > 0, F.col(c) / F.col("gain_n"))
     facts = facts.withColumns({"pct_0": share("gain_0"), "pct_100": share("gain_100"), "pct_interior": share("gain_interior")})
     r = RULES

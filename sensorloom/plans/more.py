@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Window
@@ -17,7 +16,7 @@ from . import graph as pg
 from . import labels as pl
 from .heating import REGIME_SQL, ZSTATS_SQL
 from .series import rounded
-from .views import WEATHER, ZONES, table, weather, zone_samples
+from .views import WEATHER, ZONES, shared_folder, table, weather, zone_samples
 
 
 def set01(spark, d):
@@ -98,8 +97,7 @@ def grf08(spark, d):
 
 def str02(spark, d):
     """The hourly proxy as a stream over the events: hours that the watermark has passed."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="stream-")
-    out = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    out = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, d, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{d}/event[s].parquet")
     samples = events.select(F.concat(F.lit("B"), (F.col("user_id") % 3).cast("string")).alias("building"), F.concat(F.lit("Z"), (F.col("user_id") % 10).cast("string")).alias("zone"), F.col("ts").cast("timestamp").alias("ts"), F.floor("value").cast("double").alias("gain"))

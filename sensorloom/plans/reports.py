@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,18 +14,12 @@ from ..sources import files
 from . import graph as pg
 from . import labels as pl
 from .series import rounded
-from .views import POINTS, ZONES, points, table, zone_samples
+from .views import POINTS, ZONES, points, shared_folder, table, zone_samples
 
 
 def written(spark, rows, form: str = "text", by: str | None = None) -> str:
     """The path of a table written in the shared folder, for readers to read; ``by``: in a folder for each value."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    path = f"{where.rstrip('/')}/read-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/read-{uuid.uuid4().hex}"
     writer = rows.write.format(form)
     (writer.partitionBy(by) if by else writer).save(path)
     return path

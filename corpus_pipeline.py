@@ -42,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = {c: f"_in{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "source")}
     mixed = mixing.mix(docs.withColumnsRenamed(names)).where("_copies > 0")
     copies = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return copies.withColumnsRenamed({n: c for c, n in names.items()}).select(*docs.columns)
+    return copies.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

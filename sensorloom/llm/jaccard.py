@@ -350,10 +350,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     id once. Edge cases as in ``near_copies``; all columns stay as they are."""
     least = classes(docs, id_col, text_col).where("id = class_id")
     kept = least.groupBy("class_id", "root").agg(F.min("digest").alias("_kept")).select(F.col("class_id").alias("_id"), "_kept")
-    digest = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    rows = docs.where(F.col(id_col).isNotNull()).select(*docs.columns, digest.alias("_digest"))
-    rows = rows.join(kept, (rows[id_col] == kept["_id"]) & (rows["_digest"] == kept["_kept"])).dropDuplicates([id_col, "_digest"])
-    return rows.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    names = {c: f"_in{i}" for i, c in enumerate(docs.columns)}  # no name of ``docs`` can clash with those added here
+    own, text = names[id_col], names[text_col]
+    rows = docs.withColumnsRenamed(names).where(F.col(own).isNotNull()).withColumn("_digest", F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    rows = rows.join(kept, (F.col(own) == F.col("_id")) & (F.col("_digest") == F.col("_kept"))).dropDuplicates([own, "_digest"])
+    rows = rows.select(*[F.col(n).alias(c) for c, n in names.items()])
+    return rows.unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,11 @@ def extendible_shards(docs: DataFrame, limit_bytes: int, id_col: str = "doc_id",
     are replaced.
     """
     names = ("shard", "shard_depth", "shard_bytes")
-    columns = [c for c in docs.columns if c not in names]
+    given = {c: f"_in{i}" for i, c in enumerate(c for c in docs.columns if c not in names)}
+    # columns go by other names inside, so that none can clash with those added here
+    docs = docs.select(*given).withColumnsRenamed(given)
+    id_col, text_col, columns = given[id_col], given[text_col], list(given.values())
+    back = lambda df: df.select(*[F.col(n).alias(c) for c, n in given.items()], *names)
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce(text_col, F.lit("")))))
     rows = docs.select(*columns).withColumn("_h", hash_bits(key))
     slim = cut(rows.select("_h", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("_bytes")))
@@ -74,7 +78,7 @@ def extendible_shards(docs: DataFrame, limit_bytes: int, id_col: str = "doc_id",
     out = out.withColumns({"shard": bits, "shard_depth": F.col("_b.depth").cast("int"), "shard_bytes": F.col("_b.shard_bytes"), "_over": F.col("_b.single") & (F.col("_b.shard_bytes") > limit_bytes) & (F.col("_b.shard_rows") > 1)})
     over = [s.where(f"single and shard_bytes > {int(limit_bytes)} and shard_rows > 1") for _, s in found]
     if not any(s.head(1) for s in over):
-        return out.select(*columns, *names)
+        return back(out)
     # equal rows are counted and dealt out by number, so that no task holds all copies of one id
     long_ = out.where("_over").groupBy(*columns, *names).agg(F.count("*").alias("_n"))
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
@@ -84,7 +88,7 @@ def extendible_shards(docs: DataFrame, limit_bytes: int, id_col: str = "doc_id",
     digest = F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]))
     long_ = long_.withColumn("_held", held).withColumn("shard", F.concat_ws("-", "shard", digest, F.col("_block").cast("string"))).withColumn("shard_bytes", F.col("_held") * size)
     long_ = long_.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_held"))))
-    return out.where("not _over").select(*columns, *names).unionByName(long_.select(*columns, *names))
+    return back(out.where("not _over")).unionByName(back(long_))
 
 
 #: Bytes of text a shard may hold.
@@ -92,6 +96,7 @@ LIMIT = 4 << 20
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of all ``documents``; edge cases as in ``extendible_shards``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return extendible_shards(docs, LIMIT).select("doc_id", "shard", "shard_depth", "shard_bytes")
 

@@ -31,3 +31,43 @@ def test_pipeline_keeps_clean_documents_whole(spark):
     assert mixed.columns == columns and mixed.join(kept, "doc_id", "left_anti").count() == 0
     sharded = corpus_pipeline.STAGES[4][1](spark, mixed, DATA)
     assert sharded.count() == mixed.count()
+
+
+def odd_documents(spark, tmp_path):
+    """A table folder whose documents hold nulls, repeats, a very long text and columns that clash, beside labels and benchmark."""
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").first().text
+    rows = [(i, f"plain words number {i} of a text that nobody repeats anywhere {i * 7}", "en", "ab"[i % 2], 5) for i in range(40)]
+    rows += [(0, rows[0][1], "en", "a", 5), (100, rows[1][1], "en", "a", 5), (None, "no id at all", None, None, None), (101, None, None, "a", None), (102, "", None, None, 0), (103, "long word " * 60_000, "en", "b", 1), (104, f"so {item} it goes", "en", "b", 1), (105, "you idiot moron scum and pathetic loser", "en", "b", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    clash = {"tox_score": "x", "_copies": "y", "set": "z", "_digest": "w", "label": "v"}
+    for c, v in clash.items():
+        df = df.selectExpr("*", f"'{v}' as `{c}`")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path), df
+
+
+def test_pipeline_of_odd_documents(spark, tmp_path):
+    where, docs = odd_documents(spark, tmp_path)
+    kept = docs
+    want = {None, 101, 102, 103, *range(40)}
+    for (name, stage), gone in zip(corpus_pipeline.STAGES, ({105}, {100}, {104}, set(), set()), strict=True):
+        after = cut(stage(spark, kept, where))
+        ids = {r.doc_id for r in after.select("doc_id").collect()}
+        if name in ("toxicity", "jaccard_join", "decontamination"):
+            assert after.columns == docs.columns and not ids & gone, name
+        kept = after
+        if name == "decontamination":
+            assert ids == want and kept.count() == len(want)
+    assert {"shard", "shard_depth", "shard_bytes"} <= set(kept.columns) and set(docs.columns) <= set(kept.columns)
+    whole = corpus_pipeline.run(spark, where)
+    assert sorted(str(tuple(r)) for r in whole.collect()) == sorted(str(tuple(r)) for r in kept.select(*whole.columns).collect())
+
+
+def test_pipeline_of_no_documents(spark, tmp_path):
+    where, docs = odd_documents(spark, tmp_path)
+    none = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        none = cut(stage(spark, none, where))
+        assert none.count() == 0, name

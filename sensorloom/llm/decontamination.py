@@ -22,8 +22,9 @@ THETA, OVERLAP, SHINGLE = 0.6, 0.8, 5
 ESSENTIAL = 0.8
 #: Postings in a block, and bytes of item text indexed at a time.
 BLOCK, ITEM_BYTES = 64, 16 << 20
-#: Items are dealt to classes by length, each of which holds up to this many times the words of the one before: passages fit their items.
-GROWTH = 4
+#: Items are dealt to classes by length, each of which holds up to this many times the words of the one before: passages fit their
+#: items. The first class holds all below GROWTH ** FIRST words, so that short items do not make passages short.
+GROWTH, FIRST = 4, 3
 
 _WORD = re.compile(r"\w+")
 
@@ -170,7 +171,7 @@ class ItemIndex:
         dealt: dict[int, list[tuple]] = defaultdict(list)
         for i, q, a in items:
             if q or a:
-                dealt[math.floor(math.log(len(q) + len(a), GROWTH) + 1e-9)].append((i, q, a))
+                dealt[max(FIRST - 1, math.floor(math.log(len(q) + len(a), GROWTH) + 1e-9))].append((i, q, a))
         self.classes = [LengthClass(part, GROWTH ** (k + 1) - 1, df, count, mean, theta) for k, part in sorted(dealt.items())]
 
     def matches(self, text: str | None, overlap: float = OVERLAP) -> list[tuple]:

@@ -11,12 +11,13 @@ from ..functions import labels as lb
 from ..operators import events as ev
 from ..operators import zones as zo
 from ..sources.files import area_of_files
+from ..sources.shared import shared_folder
 from ..streaming import proxy
 from . import graph as pg
 from . import labels as pl
 from .heating import REGIME_SQL, ZSTATS_SQL
 from .series import rounded
-from .views import WEATHER, ZONES, shared_folder, table, weather, zone_samples
+from .views import WEATHER, ZONES, table, weather, zone_samples
 
 
 def set01(spark, d):

@@ -11,10 +11,11 @@ from ..operators import graph as gr
 from ..operators import scoring as sc
 from ..operators import zones as zo
 from ..sources import files
+from ..sources.shared import shared_folder
 from . import graph as pg
 from . import labels as pl
 from .series import rounded
-from .views import POINTS, ZONES, points, shared_folder, table, zone_samples
+from .views import POINTS, ZONES, points, table, zone_samples
 
 
 def written(spark, rows, form: str = "text", by: str | None = None) -> str:

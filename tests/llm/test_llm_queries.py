@@ -13,8 +13,8 @@ def test_query_matches_sql(spark, name):
     assert_same(spark, queries.QUERIES[name], queries.SQL[name])
 
 
-def test_ten_queries():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+def test_thirteen_queries():
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_pipeline_keeps_clean_documents_whole(spark):

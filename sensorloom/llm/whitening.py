@@ -168,7 +168,7 @@ def leading(v: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     The interval's lower border lies in the gap below them, or in the next wide enough gap where eigenvalues meet.
     """
     trace = float(np.trace(v))
-    top = float(np.abs(v).sum(axis=1).max())
+    top = float(np.abs(v).sum(axis=1).max(initial=0.0))
     count = min(count, above(v, TINY * trace)) if trace > 0 else 0
     if not count:
         return np.zeros(0), np.zeros((len(v), 0))

@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import pearson
+from .groups import SUPPORT as CO_BEHAVIOUR_R
+from .groups import pair_correlations
 from .series import aligned_pairs
 
 BINARY, ANALOG = ("BI", "BO", "BV"), ("AI", "AO", "AV")
 # Plausible bounds of a quantity.
 RANGES = {"temperatur": (-40.0, 130.0), "co2": (0.0, 10000.0)}
-DIRECTIONAL_R, SUPPLY_PASS, SUPPLY_FAIL, CO_BEHAVIOUR_R = 0.2, 0.9, 0.5, 0.3
+DIRECTIONAL_R, SUPPLY_PASS, SUPPLY_FAIL = 0.2, 0.9, 0.5
 
 
 def _says(function: Column, *words: str) -> Column:
@@ -54,6 +56,20 @@ def cross_check(decoded: DataFrame, stats: DataFrame) -> DataFrame:
     return both.withColumn("data_checks", F.when(F.col("checks").isNotNull(), F.struct(F.lit(None).cast("double").alias("temp_correlation"), F.col("distinct").cast("int").alias("distinct_values"), F.col("monotonic").alias("monotonic"), F.exists("checks", lambda x: x["verdict"] == "CONFLICT").alias("conflict"))))
 
 
+def missing_statistics(decoded: DataFrame, stats: DataFrame) -> DataFrame:
+    """Decoded labels without a row of statistics."""
+    return decoded.select("raw_label").join(stats.select("raw_label"), "raw_label", "left_anti")
+
+
+def augmented(decoded: DataFrame, checked: DataFrame) -> DataFrame:
+    """``decoded`` with the ``data_checks`` found for its labels; a row marked ``schema_invalid`` keeps what it has."""
+    found = checked.where("data_checks is not null").select("raw_label", F.col("data_checks").alias("_found"))
+    rows = decoded if "data_checks" in decoded.columns else decoded.withColumn("data_checks", F.lit(None).cast(found.schema["_found"].dataType))
+    broken = F.coalesce("schema_invalid", F.lit(False)) if "schema_invalid" in decoded.columns else F.lit(False)
+    rows = rows.join(found, "raw_label", "left").withColumn("data_checks", F.when(broken, F.col("data_checks")).otherwise(F.coalesce("_found", "data_checks")))
+    return rows.drop("_found")
+
+
 def verdict_counts(checked: DataFrame) -> DataFrame:
     return checked.select(F.explode("checks").alias("c")).groupBy("c.name", "c.verdict").agg(F.count("*").alias("n"))
 
@@ -125,15 +141,6 @@ def supply_return(series: DataFrame, roles: DataFrame) -> DataFrame:
 
 
 def co_behaviour(series: DataFrame, members: DataFrame, constants: DataFrame) -> DataFrame:
-    """Correlation of each unordered pair of a group; labels that are constant are dropped before pairing.
-
-    Each series moves once per group: its samples meet those of the group's others of the same time, and only sums of
-    pairs go on. A pair that shares several groups is given once.
-    """
-    m = members.select("raw_label", "kind", "key").distinct().join(constants, "raw_label", "left_anti")
-    rows = series.select("raw_label", "ts_text", "value").join(m, "raw_label")
-    left = rows.select("kind", "key", "ts_text", F.col("raw_label").alias("a"), F.col("value").alias("x"))
-    right = rows.select("kind", "key", "ts_text", F.col("raw_label").alias("b"), F.col("value").alias("y"))
-    both = left.join(right, ["kind", "key", "ts_text"]).where("a < b").groupBy("kind", "key", "a", "b").agg(F.count("*").alias("n"), pearson("x", "y").alias("r"))
-    both = both.dropDuplicates(["a", "b"]).select("a", "b", "n", "r")
+    """Correlation of each unordered pair of a group; labels that are constant are dropped before pairing. Groups may be of any size."""
+    both = pair_correlations(series, members, constants)
     return both.withColumn("verdict", F.when(F.col("r").isNull(), "SKIPPED").when(F.abs("r") >= CO_BEHAVIOUR_R, "SUPPORTED").otherwise("NO_SIGNAL"))

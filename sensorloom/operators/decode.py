@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as lb
+from .contract import RECORD, record, violations
 
 # What a keyword in a label's path says. Longer keywords are read first.
 KEYWORDS: dict[str, dict[str, str]] = {
@@ -223,6 +224,21 @@ def residue(decoded: DataFrame) -> DataFrame:
     return decoded.where((F.col("tier") == "NONE") | (F.col("confidence") < LOW_CONFIDENCE)).select("raw_label", "source_type")
 
 
+def split_batch(decoded: DataFrame) -> DataFrame:
+    """Decoded rows with ``reason``: why a row goes on to a second source (``thin`` or ``invalid``), null where it is an output.
+
+    A row that breaks the record's contract is no output, however much of it is decoded.
+    """
+    judged = violations(decoded.withColumn("record", record(decoded)), RECORD)
+    thin = (F.col("tier") == "NONE") | (F.coalesce("confidence", F.lit(0.0)) < LOW_CONFIDENCE)
+    return judged.withColumn("reason", F.when(thin, "thin").when(F.size("violations") > 0, "invalid")).drop("record")
+
+
+def batch_counts(split: DataFrame) -> DataFrame:
+    """Rows of a split batch by method, tier and reason."""
+    return split.groupBy("decode_method", "tier", "reason").agg(F.count("*").alias("n"))
+
+
 def coverage(decoded: DataFrame) -> DataFrame:
     """Rows by family, method and tier."""
     fam = decoded.withColumn("family", lb.signature(F.col("raw_label")))
@@ -299,6 +315,19 @@ def merge_stats(decoded: DataFrame, second: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("second_rows"), F.count_if("_bad").alias("schema_invalid"), F.count_if(~F.col("_bad") & F.col("_known").isNull()).alias("unknown_label"))
 
 
+def merge_report(merged: DataFrame) -> DataFrame:
+    """Rows of a merge by what it did: enriched ones, those with a conflict, those whose merge the contract refused, and fields adopted."""
+    held = lambda f: F.exists("conflicts", lambda c: c["field"] == f)
+    return merged.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.size("adopted") > 0).alias("rows_enriched"),
+        F.count_if(F.size("conflicts") > 0).alias("conflict_rows"),
+        F.count_if(held("_schema")).alias("merge_invalid"),
+        F.sum(F.size("adopted")).cast("long").alias("fields_adopted"),
+        F.sum(F.size(F.filter("conflicts", lambda c: c["field"] != "_schema"))).cast("long").alias("field_conflicts"),
+    )
+
+
 #: Fixed value: what looks like a component code, wherever it stands.
 CODE_LIKE = r"(?<![A-Za-z])([A-Za-z]{2}\d{2,3})(?!\d)"
 #: Fields whose loss a probe counts, as columns of a decoded row.

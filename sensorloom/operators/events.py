@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import exclusive_quantile, middle
 from ..sources.shared import staged
-from .series import running
+from . import order
+from .series import running, running_all
 from .zones import CHUNK, KEY, RULES
 
 EVENT = [*KEY, "i0"]
@@ -30,10 +30,10 @@ def window_rows(starts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     return joined.withColumn("off", F.col("grid_idx") - F.col("i0")).where((F.col("off") > 0) & (F.col("off") <= width))
 
 
-def first_after(starts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """The first of ``rows`` past each window, by one descending pass over rows and window ends together, chunk by chunk."""
+def first_after(starts: DataFrame, rows: DataFrame, at) -> DataFrame:
+    """The first of ``rows`` beyond ``at`` of each start, by one descending pass over rows and marks together, chunk by chunk."""
     values = [c for c in rows.columns if c not in KEY]
-    marks = starts.select(*KEY, (F.col("i0") + width + 0.5).alias("_at"), "i0", F.lit(None).cast(rows.select(F.struct(*values)).schema[0].dataType).alias("_row"))
+    marks = starts.select(*KEY, at.cast("double").alias("_at"), "i0", F.lit(None).cast(rows.select(F.struct(*values)).schema[0].dataType).alias("_row"))
     both = marks.unionByName(rows.select(*KEY, F.col("grid_idx").cast("double").alias("_at"), F.lit(None).cast("bigint").alias("i0"), F.struct(*values).alias("_row")))
     both = both.withColumn("_back", -F.col("_at"))
     found = running(both, KEY, F.col("_row"), F.floor(F.col("_back") / CHUNK), "_back", "last", "_next").where("i0 is not null and _next is not null")
@@ -43,16 +43,27 @@ def first_after(starts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
 def greedy(spans: DataFrame) -> DataFrame:
     """Of ``spans(KEY, i0, close)``: those that a scan in order opens, each once the one before is closed (its closing row included).
 
-    A span that none before it reaches opens surely and starts a cluster; each cluster is folded by itself.
+    A span that none before it reaches opens surely. Any other opens if the one opened before it has it as its successor, the
+    first span at or past its close. Successors are found chunk by chunk, then doubled: after k rounds a link spans 2^k
+    openings, so chains of any length are followed in as many rounds as their length has bits, over all tasks.
     """
     chunk = F.floor(F.col("i0") / CHUNK)
     reach = running(spans, KEY, F.col("close"), chunk, "i0", "max", "_reach")
-    reach = reach.withColumn("_first", F.when(F.col("_reach").isNull() | (F.col("i0") >= F.col("_reach")), F.col("i0")))
-    clusters = running(reach, KEY, F.col("_first"), chunk, "i0", "max", "_start").withColumn("_start", F.coalesce("_first", "_start"))
-    listed = clusters.groupBy(*KEY, "_start").agg(F.array_sort(F.collect_list(F.struct("i0", "close"))).alias("_s"))
-    start = F.struct(F.lit(-1).cast("bigint").alias("end"), F.array().cast("array<bigint>").alias("kept"))
-    fold = F.aggregate("_s", start, lambda a, x: F.when(x["i0"] >= a["end"], F.struct(x["close"].alias("end"), F.concat(a["kept"], F.array(x["i0"])).alias("kept"))).otherwise(a))
-    return listed.select(*KEY, F.explode(fold["kept"]).alias("i0"))
+    known = staged(reach.select(*KEY, "i0", "close", F.coalesce(F.col("i0") >= F.col("_reach"), F.lit(True)).alias("sure")))
+    after = first_after(known.where(F.col("close") < FAR).select(*KEY, "i0", "close"), known.select(*KEY, F.col("i0").alias("grid_idx"), "sure"), F.col("close") - 0.5)
+    links = [staged(after.where("not sure").select(*KEY, "i0", F.col("grid_idx").alias("to")))]
+    kept = known.where("sure").select(*EVENT)
+    while not links[-1].isEmpty():
+        links.append(staged(followed(links[-1], "to", links[-1])))
+    for link in reversed(links[:-1]):
+        kept = staged(kept.unionByName(followed(kept, "i0", link).select(*KEY, F.col("to").alias("i0"))))
+    return kept
+
+
+def followed(rows: DataFrame, at: str, links: DataFrame) -> DataFrame:
+    """``(KEY, i0, to)``: where the link that starts at column ``at`` of ``rows`` leads."""
+    link = links.select(*KEY, F.col("i0").alias("_from"), F.col("to").alias("_to"))
+    return rows.withColumn("_from", F.col(at)).join(link, [*KEY, "_from"]).select(*KEY, "i0", F.col("_to").alias("to"))
 
 
 FAR = 1 << 40
@@ -62,18 +73,19 @@ def decay_events(samples: DataFrame) -> DataFrame:
     """Set-back events of every zone: the set point falls by a degree or more and the temperature decays freely."""
     r = RULES
     rows = samples.where(~F.col("is_empty") & ~F.col("is_bad")).select(*KEY, "grid_idx", "ts", "actual", "setpoint", "gain")
-    seen = last_known(last_known(rows, "setpoint", "_sp"), "actual", "_t")
+    seen = running_all(rows, KEY, {"_sp": (F.col("setpoint"), "last"), "_t": (F.col("actual"), "last")}, F.floor(F.col("grid_idx") / CHUNK), "grid_idx")
     # starts and what they are joined to are used several times: each is worked out once
     starts = seen.where(F.col("_sp") - F.col("setpoint") >= r["min_sp_drop"]).select(*KEY, F.col("grid_idx").alias("i0"), F.col("ts").alias("ts0"), F.col("_sp").alias("sp_from"), F.col("setpoint").alias("sp_to"), F.coalesce("actual", "_t").alias("t0"))
     starts, data = staged(starts), rows.select(*KEY, "grid_idx", "actual", "setpoint", "gain")
     width = r["max_window"]
     near = window_rows(starts, data, width).withColumn("over", F.lit(False))
-    far = first_after(starts, data, width).withColumn("over", F.lit(True))
+    far = first_after(starts, data, F.col("i0") + width + 0.5).withColumn("over", F.lit(True))
     both = staged(near.unionByName(far.select(*near.columns)))
     on = both.where("gain is not null").withColumn("_g", F.lag("gain").over(Window.partitionBy(*EVENT).orderBy("off")))
     on = on.where((F.col("gain") >= r["gain_on"]) & (F.col("_g") >= r["gain_on"])).groupBy(*EVENT).agg(F.min("off").alias("two"))
     ends = both.groupBy(*EVENT).agg(F.min(F.when(F.col("over") | (F.col("setpoint") > F.col("sp_to") + 0.1), F.col("off"))).alias("end"))
     ends = ends.join(on, EVENT, "left").withColumn("close", F.least(F.coalesce("end", F.lit(FAR)), F.coalesce("two", F.lit(FAR)))).withColumn("reheat", F.coalesce(F.col("two") == F.col("close"), F.lit(False)))
+    ends = staged(ends)
     # a start without any row after it closes never and qualifies never, but it still bars others
     spans = starts.select(*EVENT).join(ends.select(*EVENT, "close"), EVENT, "left").select(*KEY, "i0", (F.col("i0") + F.coalesce("close", F.lit(FAR))).alias("close"))
     kept = both.join(greedy(staged(spans)), EVENT, "left_semi").join(ends.select(*EVENT, "close", "reheat"), EVENT)
@@ -111,14 +123,6 @@ def outdoor_bin(t, edges=RULES["outdoor_bins"]):
     return out.otherwise(f">={edges[-1]}")
 
 
-def quartiles(values):
-    """``(n, median, iqr)`` of an array column; under four values the plain median and no range."""
-    v = F.sort_array(F.filter(values, lambda x: x.isNotNull()))
-    few = F.struct(F.size(v).cast("bigint").alias("n"), middle(v).alias("median"), F.lit(None).cast("double").alias("iqr"))
-    many = F.struct(F.size(v).cast("bigint").alias("n"), exclusive_quantile(v, 2).alias("median"), (exclusive_quantile(v, 3) - exclusive_quantile(v, 1)).alias("iqr"))
-    return F.when(F.size(v) == 0, None).when(F.size(v) < 4, few).otherwise(many)
-
-
 def step_summary(events: DataFrame, weather: DataFrame) -> DataFrame:
     """Per zone, pooled and by season and by outdoor bin: events, time to one degree, and the share that never dropped one."""
     binned = events.join(weather, F.to_date("ts0") == F.col("day"), "left").withColumn("outdoor_bin", outdoor_bin(F.col("temp")))
@@ -127,19 +131,25 @@ def step_summary(events: DataFrame, weather: DataFrame) -> DataFrame:
     sets = binned.select(*KEY, "season", "outdoor_bin", m.cast("double").alias("m"), F.col("slope_first_hour"), F.col("t63_minutes").cast("double").alias("t63"), stuck.alias("stuck"))
     pooled = F.array(F.struct(F.lit("all").alias("grouping"), F.lit("all").alias("key")), F.struct(F.lit("season").alias("grouping"), F.col("season").alias("key")), F.struct(F.lit("outdoor").alias("grouping"), F.col("outdoor_bin").alias("key")))
     rows = sets.withColumn("_g", F.explode(pooled)).select(*KEY, "_g.*", "m", "slope_first_hour", "t63", "stuck").where("key is not null and (grouping = 'all' or m is not null)")
-    lists = rows.groupBy(*KEY, "grouping", "key").agg(F.count("*").alias("n_events"), quartiles(F.collect_list("m")).alias("q"), quartiles(F.collect_list("slope_first_hour")).alias("s"), quartiles(F.collect_list("t63")).alias("t"), F.count_if("stuck").alias("no_drop"), F.count("m").alias("dropped"))
+    rows = staged(rows)
+    group = [*KEY, "grouping", "key"]
+    measure = lambda name: F.struct(F.lit(name).alias("measure"), F.col(name).alias("value"))
+    values = rows.select(*group, F.explode(F.array(measure("m"), measure("slope_first_hour"), measure("t63"))).alias("v")).select(*group, "v.*")
+    cuts = order.quartiles(values, [*group, "measure"], "value")
+    of = lambda name, column: F.max(F.when(F.col("measure") == name, F.col(column)))
+    cuts = cuts.groupBy(*group).agg(of("m", "n").alias("n_1k"), of("m", "median").alias("median_1k"), of("m", "iqr").alias("iqr_1k"), of("slope_first_hour", "median").alias("median_slope"), of("t63", "median").alias("median_t63"))
+    counts = rows.groupBy(*group).agg(F.count("*").alias("n_events"), F.count_if("stuck").alias("no_drop"), F.count("m").alias("dropped")).join(cuts, group, "left")
     share = F.when((F.col("grouping") == "all") & (F.col("no_drop") + F.col("dropped") > 0), F.col("no_drop") / (F.col("no_drop") + F.col("dropped")))
-    return lists.select(*KEY, "grouping", "key", "n_events", F.col("q.n").alias("n_1k"), F.col("q.median").alias("median_1k"), F.col("q.iqr").alias("iqr_1k"), share.alias("no_drop_share"), F.col("s.median").alias("median_slope"), F.col("t.median").alias("median_t63"))
+    return counts.select(*group, "n_events", "n_1k", "median_1k", "iqr_1k", share.alias("no_drop_share"), "median_slope", "median_t63")
 
 
 def rise_events(samples: DataFrame, on: float = 50, off: float = 5, width: int = 360) -> DataFrame:
     """Heater starts: the gain jumps from ``off`` or less to ``on`` or more between neighbouring rows; the rise until it falls or ``width`` rows pass."""
-    order = Window.partitionBy(*KEY).orderBy("grid_idx")
     rows = samples.select(*KEY, F.col("grid_idx").alias("grid_idx"), "actual", "gain")
-    seen = rows.withColumn("_next", F.lead("gain").over(order)).withColumn("_near", F.last(F.when(F.col("actual").isNotNull(), F.struct("grid_idx", "actual")), ignorenulls=True).over(order.rowsBetween(-14, 0)))
-    first = F.min("grid_idx").over(Window.partitionBy(*KEY))
-    seen = seen.withColumn("_first", first)
-    starts = seen.where((F.col("gain") <= off) & (F.col("_next") >= on))
+    near = Window.partitionBy(*KEY, "_chunk").orderBy("grid_idx")
+    seen = order.haloed(rows, "grid_idx", CHUNK, 14, 1)
+    seen = seen.withColumn("_next", F.lead("gain").over(near)).withColumn("_near", F.last(F.when(F.col("actual").isNotNull(), F.struct("grid_idx", "actual")), ignorenulls=True).over(near.rowsBetween(-14, 0)))
+    starts = seen.where(~F.col("_guest") & (F.col("gain") <= off) & (F.col("_next") >= on)).join(rows.groupBy(*KEY).agg(F.min("grid_idx").alias("_first")), KEY)
     # the very first row of a series is not looked at for a starting temperature near the beginning
     t_start = F.when(~((F.col("grid_idx") - F.col("_first") < 15) & (F.col("_near.grid_idx") == F.col("_first"))), F.col("_near.actual"))
     starts = starts.select(*KEY, F.col("grid_idx").alias("i0"), t_start.alias("t_start"))
@@ -166,8 +176,12 @@ def rise_events(samples: DataFrame, on: float = 50, off: float = 5, width: int =
 
 
 def rise_summary(rises: DataFrame) -> DataFrame:
-    med = lambda c: F.percentile(c, F.lit(0.5)).alias(c)
-    return rises.groupBy(*KEY).agg(F.count("*").alias("n"), med("rise_k"), med("tau63_min"), med("gain_k_per_duty"), med("slope_first_30"))
+    """Rises of each zone and the medians of their measures."""
+    names = ("rise_k", "tau63_min", "gain_k_per_duty", "slope_first_30")
+    rises = staged(rises.select(*KEY, *[F.col(c).cast("double").alias(c) for c in names]))
+    values = rises.select(*KEY, F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in names])).alias("v")).select(*KEY, "v.*")
+    cuts = order.medians(values, [*KEY, "measure"], "value").groupBy(*KEY).agg(*[F.max(F.when(F.col("measure") == c, F.col("median"))).alias(c) for c in names])
+    return rises.groupBy(*KEY).agg(F.count("*").alias("n")).join(cuts, KEY, "left")
 
 
 def heating_type(zones: DataFrame) -> DataFrame:
@@ -194,7 +208,19 @@ FLEXIBLE = ("electric-fast", "hydronic-slow", "floor-slow", "ambiguous", "exclud
 
 def flexibility(types: DataFrame, facing: DataFrame) -> DataFrame:
     """Zones ranked by verdict, time constant, zone and building, with the duty left in winter."""
-    order = F.create_map(*[x for i, v in enumerate(FLEXIBLE) for x in (F.lit(v), F.lit(i))])
+    place = F.create_map(*[x for i, v in enumerate(FLEXIBLE) for x in (F.lit(v), F.lit(i))])
     out = types.join(facing, KEY, "left").withColumn("headroom", F.round(100 - F.col("winter_duty"), 1)).withColumn("orientation", F.coalesce("orientation", F.lit("unknown")))
-    rank = F.row_number().over(Window.orderBy(F.coalesce(order[F.col("verdict")], F.lit(9)), F.coalesce("median_1k", F.lit(9999.0)), "zone", "building"))
-    return out.select(rank.alias("rank"), *KEY, "verdict", "median_1k", "orientation", "headroom")
+    out = out.withColumns({"_place": F.coalesce(place[F.col("verdict")], F.lit(9)), "_time": F.coalesce("median_1k", F.lit(9999.0))})
+    ranked = order.numbered(out, [F.col(c) for c in ("_place", "_time", "zone", "building")], "rank")
+    return ranked.select(F.col("rank").cast("int").alias("rank"), *KEY, "verdict", "median_1k", "orientation", "headroom")
+
+
+def facts_of_zones(tables: dict[str, DataFrame]) -> DataFrame:
+    """Facts of zones from several tables, each ``(building, zone, ...)`` with a row per zone: all their columns, and ``known``, the
+    names of the tables that know the zone. One grouping, whatever the number of tables."""
+    rows = None
+    for name, t in sorted(tables.items()):
+        t = t.withColumn("_table", F.lit(name))
+        rows = t if rows is None else rows.unionByName(t, allowMissingColumns=True)
+    facts = [c for c in rows.columns if c not in (*KEY, "_table")]
+    return rows.groupBy(*KEY).agg(*[F.any_value(c, ignoreNulls=True).alias(c) for c in facts], F.array_join(F.array_sort(F.collect_set("_table")), ",").alias("known"))

@@ -90,6 +90,30 @@ def equipment_evidence(facts: DataFrame) -> DataFrame:
     return out.select("equipment", "points", one("b0", "b1").alias("building"), one("s0", "s1").alias("system_code"), kind.alias("class"))
 
 
+def node_triples(facts: DataFrame) -> DataFrame:
+    """``(graph, s, p, o)`` of the systems and equipment that points name, by graph of the point.
+
+    A system (the digits of a label's system token) has a class by the first two digits of its code, which is the decoded
+    one or else the token's first three digits and a zero, and a label. Equipment has its class and name; it has a location,
+    and is part of a system, only where all its points, over all graphs, say the same one.
+    """
+    rows = facts.withColumn("digits", lb.group(lb.first_of(lb.segments(F.col("raw_label")), lb.SYSTEM_TOKEN), lb.SYSTEM_TOKEN, 1))
+    t = lambda s, p, o: F.struct(s.alias("s"), F.lit(p).alias("p"), o.alias("o"))
+    code = F.coalesce("system_code", F.concat(F.substring("digits", 1, 3), F.lit("0")))
+    system = F.concat(F.lit("system/"), F.col("digits"))
+    name = F.concat_ws(" ", F.lit("NS"), code, *([F.col("system_name")] if "system_name" in facts.columns else []), F.concat(F.lit("(token "), F.col("digits"), F.lit(")")))
+    systems = rows.where("digits is not null").select("graph", F.explode(F.array(t(system, "a", choose(SYSTEM_CLASS, F.substring(code, 1, 2), "System")), t(system, "label", name))).alias("t"))
+    gear = rows.where("equipment is not null")
+    say = lambda c: F.coalesce(F.col(c), F.lit(""))
+    one = lambda c: F.when(F.min(say(c)) == F.max(say(c)), F.nullif(F.max(say(c)), F.lit("")))
+    said = gear.groupBy("equipment").agg(one("building").alias("b"), one("digits").alias("d"))
+    kind = F.coalesce(choose(EQUIPMENT_CLASS, F.regexp_extract("equipment", r"^([A-Z]{2})\d", 1)), F.when(F.lower("equipment").contains("pumpe"), "Pump"), F.lit("Equipment"))
+    node = F.concat(F.lit("equipment/"), lb.iri_name(F.col("equipment")))
+    cells = F.array(t(node, "a", kind), t(node, "label", F.col("equipment")), t(node, "hasLocation", F.concat(F.lit("building/"), lb.iri_name(F.col("b")))), t(F.concat(F.lit("system/"), F.col("d")), "hasPart", node))
+    parts = gear.select("graph", "equipment").distinct().join(said, "equipment").select("graph", F.explode(cells).alias("t"))
+    return systems.unionByName(parts).select("graph", "t.*").where("s is not null and o is not null").distinct()
+
+
 def graph_counts(facts: DataFrame, triples: DataFrame) -> DataFrame:
     counts = facts.groupBy("graph").agg(F.count_distinct("point").alias("points"), F.count_distinct("equipment").alias("equipment"), F.count_distinct("system_code").alias("systems"))
     return counts.join(triples.groupBy("graph").agg(F.count("*").alias("triples")), "graph", "left")

@@ -22,22 +22,30 @@ def last_wins(points: DataFrame) -> DataFrame:
 
 
 def running(df: DataFrame, keys: list[str], value: Column, chunk: Column, order: str, how: str, out: str) -> DataFrame:
-    """``out``: the maximum (or last non-null) of ``value`` over earlier rows of a key.
+    """``out``: the maximum (or last non-null) of ``value`` over earlier rows of a key."""
+    return running_all(df, keys, {out: (value, how)}, chunk, order)
+
+
+def running_all(df: DataFrame, keys: list[str], values: dict[str, tuple[Column, str]], chunk: Column, order: str) -> DataFrame:
+    """For each name of ``values`` the maximum (``max``) or last non-null (``last``) of its column over earlier rows of a key.
 
     A key's rows are split into chunks: chunk summaries are few and ordered first, then chunks go to separate tasks, so a
-    busy series is no single task's.
+    busy series is no single task's. All columns share one summary, one join and one sort.
     """
-    df = df.withColumn("_chunk", chunk).withColumn("_v", value)
-    fold = F.max("_v") if how == "max" else F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col(order)))
-    sums = df.groupBy(*keys, "_chunk").agg(fold.alias("_s"))
+    df = df.withColumns({"_chunk": chunk} | {f"_v{k}": v for k, (v, _) in enumerate(values.values())})
+    hows = [how for _, how in values.values()]
+    known = lambda v: F.when(F.col(v).isNotNull(), F.col(order))
+    sums = df.groupBy(*keys, "_chunk").agg(*[(F.max(f"_v{k}") if how == "max" else F.max_by(f"_v{k}", known(f"_v{k}"))).alias(f"_s{k}") for k, how in enumerate(hows)])
     over = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    prior = F.max("_s").over(over) if how == "max" else F.last("_s", ignorenulls=True).over(over)
-    sums = sums.select(*keys, "_chunk", prior.alias("_before"))
+    prior = [F.max(f"_s{k}").over(over) if how == "max" else F.last(f"_s{k}", ignorenulls=True).over(over) for k, how in enumerate(hows)]
+    sums = sums.select(*keys, "_chunk", *[p.alias(f"_before{k}") for k, p in enumerate(prior)])
     inner = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    here = F.max("_v").over(inner) if how == "max" else F.last("_v", ignorenulls=True).over(inner)
     df = df.join(sums, [*keys, "_chunk"])
-    both = F.greatest(here, F.col("_before")) if how == "max" else F.coalesce(here, F.col("_before"))
-    return df.withColumn(out, both).drop("_v", "_before", "_chunk")
+    both = {}
+    for k, (out, how) in enumerate(zip(values, hows)):
+        here = F.max(f"_v{k}").over(inner) if how == "max" else F.last(f"_v{k}", ignorenulls=True).over(inner)
+        both[out] = F.greatest(here, F.col(f"_before{k}")) if how == "max" else F.coalesce(here, F.col(f"_before{k}"))
+    return df.withColumns(both).drop("_chunk", *[f"_v{k}" for k in range(len(hows))], *[f"_before{k}" for k in range(len(hows))])
 
 
 def ordered_rows(points: DataFrame, chunk_rows: int = CHUNK) -> DataFrame:

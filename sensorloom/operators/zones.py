@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import staged
+from . import order
+from .series import running, running_all
+
 KEY = ["building", "zone"]
 
 #: Thresholds of the heating analyses.
@@ -165,7 +169,7 @@ def orientation(hourly: DataFrame) -> DataFrame:
 def setpoint_steps(samples: DataFrame, lo: str, hi: str) -> DataFrame:
     """Upward set-point steps inside a window of dates, by minute of the day; the earlier value must lie inside too."""
     inside = samples.where(F.col("setpoint").isNotNull() & (F.to_date("ts") >= F.lit(lo).cast("date")) & (F.to_date("ts") <= F.lit(hi).cast("date")))
-    steps = inside.withColumn("_p", F.lag("setpoint").over(Window.partitionBy(*KEY).orderBy("grid_idx"))).where(F.col("setpoint") > F.col("_p"))
+    steps = running(inside, KEY, F.col("setpoint"), F.floor(F.col("grid_idx") / CHUNK), "grid_idx", "last", "_p").where(F.col("setpoint") > F.col("_p"))
     return steps.select(*KEY, (F.hour("ts") * 60 + F.minute("ts")).alias("minute"), "grid_idx")
 
 
@@ -179,23 +183,25 @@ def step_modes(steps: DataFrame, top: int = 3) -> DataFrame:
 def tracking_error(samples: DataFrame) -> DataFrame:
     """Actual minus set point in the winter half-year, all and split at the middle of the 10th and 90th ranked set points."""
     rows = samples.where(F.col("actual").isNotNull() & F.col("setpoint").isNotNull() & F.month("ts").isin(10, 11, 12, 1, 2, 3))
-    n = Window.partitionBy(*KEY)
-    ranked = rows.withColumn("_rn", F.row_number().over(n.orderBy("setpoint", "grid_idx")) - 1).withColumn("_n", F.count("*").over(n))
-    cut = ranked.groupBy(*KEY).agg(F.max(F.when(F.col("_rn") == F.floor(F.col("_n") / 10), F.col("setpoint"))).alias("_lo"), F.max(F.when(F.col("_rn") == F.floor(9 * F.col("_n") / 10), F.col("setpoint"))).alias("_hi"))
+    counts = rows.groupBy(*KEY).agg(F.count("*").alias("_n"))
+    tenth = F.array(F.struct(F.lit("lo").alias("end"), F.floor(F.col("_n") / 10).alias("pos")), F.struct(F.lit("hi").alias("end"), F.floor(9 * F.col("_n") / 10).alias("pos")))
+    ends = staged(counts.select(*KEY, F.explode(tenth).alias("e")).select(*KEY, "e.*"))
+    cut = ends.join(order.at_positions(rows, KEY, "setpoint", ends), [*KEY, "pos"]).groupBy(*KEY).agg((F.sum("setpoint") / 2).alias("_mid"))
     e = F.col("actual") - F.col("setpoint")
-    split = ranked.join(cut, KEY).withColumn("_mid", (F.col("_lo") + F.col("_hi")) / 2)
+    split = rows.join(cut, KEY)
     split = split.withColumn("part", F.explode(F.array(F.lit("all"), F.when(F.col("setpoint") >= F.col("_mid"), "comfort").otherwise("setback"))))
     return split.groupBy(*KEY, "part").agg(F.count("*").alias("n"), F.round(F.avg(F.abs(e)), 2).alias("mean_abs"), F.round(F.max(F.abs(e)), 2).alias("max_abs"), F.round(F.avg(e), 2).alias("bias"), F.round(100 * F.avg((F.abs(e) <= 1).cast("int")), 1).alias("within_1k"))
 
 
 def control_behaviour(samples: DataFrame) -> DataFrame:
     """How a zone's gain moves: shares at the ends and between, different values, on/off changes per day, mean step."""
-    order = Window.partitionBy(*KEY).orderBy("grid_idx")
     grid = samples.groupBy(*KEY).agg(F.count("*").alias("_grid"))
-    rows = samples.where("gain is not null").withColumn("_d", F.abs(F.col("gain") - F.lag("gain").over(order)))
-    state = samples.where("gain < 10 or gain > 90").withColumn("_s", F.col("gain") > 90).withColumn("_p", F.lag(F.col("gain") > 90).over(order))
-    turns = state.groupBy(*KEY).agg(F.count_if(F.col("_s") != F.col("_p")).alias("_turns"))
+    state = F.when((F.col("gain") < 10) | (F.col("gain") > 90), F.col("gain") > 90)
+    rows = samples.where("gain is not null").select(*KEY, "grid_idx", "gain", state.alias("_s"))
+    rows = running_all(rows, KEY, {"_g": (F.col("gain"), "last"), "_p": (F.col("_s"), "last")}, F.floor(F.col("grid_idx") / CHUNK), "grid_idx")
+    rows = rows.withColumn("_d", F.abs(F.col("gain") - F.col("_g")))
     facts = rows.groupBy(*KEY).agg(
+        F.count_if(F.col("_s") != F.col("_p")).alias("_turns"),
         F.count("*").alias("n"),
         F.round(100 * F.avg((F.col("gain") <= 0.5).cast("int")), 1).alias("pct_off"),
         F.round(100 * F.avg((F.col("gain") >= 99.5).cast("int")), 1).alias("pct_full"),
@@ -203,8 +209,8 @@ def control_behaviour(samples: DataFrame) -> DataFrame:
         F.count_distinct(F.round("gain", 1)).alias("levels"),
         F.round(F.avg(F.when(F.col("_d") > 0, F.col("_d"))), 2).alias("mean_step"),
     )
-    out = facts.join(turns, KEY, "left").join(grid, KEY)
-    return out.select(*KEY, "n", "pct_off", "pct_full", "pct_between", "levels", F.round(F.coalesce("_turns", F.lit(0)) / (F.col("_grid") / 1440), 2).alias("turns_per_day"), "mean_step")
+    out = facts.join(grid, KEY)
+    return out.select(*KEY, "n", "pct_off", "pct_full", "pct_between", "levels", F.round(F.col("_turns") / (F.col("_grid") / 1440), 2).alias("turns_per_day"), "mean_step")
 
 
 def signal_summary(samples: DataFrame, column: str) -> DataFrame:

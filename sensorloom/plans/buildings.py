@@ -27,14 +27,14 @@ ZONE = {
     "zone": "concat(case when k % 6 = 0 then 'R' else 'Z' end, cast(k as string))",
     "level_id": "case when k % 4 = 0 then concat('L', cast(k % 30 as string)) end",
     "level_label": "case when k % 4 = 0 then concat('Level ', cast(k % 30 as string)) end",
-    "sub_building_id": "case when k % 4 < 2 then concat('SB', cast(1 + k % 14 as string)) end",
-    "sub_building_label": "case when k % 4 < 2 then concat('Part ', cast(1 + k % 14 as string)) end",
+    "sub_building_id": "case when k % 4 < 2 then concat('SB', cast(7 + k % 8 as string)) end",
+    "sub_building_label": "case when k % 4 = 0 then concat('Part ', cast(7 + k % 8 as string)) end",
     "building_node": "case when k % 4 < 3 then concat('B-N', cast(k % 25 as string)) end",
     "meter_id": "case when k % 5 = 0 then concat('M', cast(k % 25 as string)) end",
 }
 FACT = {
     "building": "concat('N', cast(k % 25 as string))",
-    "zone": ZONE["zone"],
+    "zone": f"case when k % 17 = 0 then concat('Q ', cast(k as string)) else {ZONE['zone']} end",
     "kind": "case when k % 8 = 7 then 'co2_triple' else 't_triple' end",
     "regime": "case when k % 11 <> 0 then case k % 3 when 0 then 'binary' when 1 then 'modulating' else 'dead' end end",
     "orientation": "case when k % 7 <> 0 then 'heating' end",
@@ -77,11 +77,12 @@ def index(spark, d):
     prov = prov.unionByName(known(s, SYSTEM["id"], fact("k % 3 = 1", "location", "'plan'", "'high'"), fact("k % 4 = 0", "serves", "'panel'", "cast(null as string)")))
     prov = prov.unionByName(known(c, ROOM["id"], fact("k % 10 = 0", "heating", "'visit'", "'verified'", "'panel'"), fact("k % 8 = 0", "number", "'door'", "cast(null as string)")))
     prov = prov.unionByName(known(p.where("k % 6 <> 0"), ZONE["zone"], fact("k % 3 = 0 or k % 3 = 1", "location", "'drawing'", "'high'")))
-    out = nation.select("n", E("concat('N', cast(n as string))").alias("building"), E("concat('B-N', cast(n as string))").alias("building_node"), F.lit(None).cast("string").alias("building_name"), F.col("n_name").alias("display_name"))
+    out = nation.select("n", E("concat('N', cast(n as string))").alias("building"), E("concat('B-N', cast(n as string))").alias("building_node"), E("case when n % 2 = 0 then n_name end").alias("building_name"), F.col("n_name").alias("display_name"))
     for rows, name in ((sub, "sub_buildings"), (system, "systems"), (room, "rooms"), (meter, "meters")):
         out = out.join(gather(rows, "e", name), "n", "left")
+    by_key = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
     for rows, name in ((zone, "zones"), (prov, "provenance")):
-        out = out.join(rows.groupBy("n").agg(F.map_from_entries(F.collect_list("e")).alias(name)), "n", "left")
+        out = out.join(rows.groupBy("n").agg(F.map_from_entries(F.array_sort(F.collect_list("e"), by_key)).alias(name)), "n", "left")
     out = out.drop("n").withColumn("file", F.col("building"))
     path = written(spark, out, "json", "file")
     return bg.building_index(spark, path)
@@ -190,7 +191,7 @@ rm AS (SELECT *, 'B-N' || n AS under, k % 2 = 0 AS sp, k % 3 = 0 AS ht FROM (SEL
 zn AS (SELECT {cols(ZONE)}, k, k % 25 AS n FROM (SELECT p_partkey AS k FROM part)),
 zf AS (SELECT {cols(FACT)}, CASE WHEN k % 9 = 0 THEN 'dead_gain,empty' END AS flags FROM (SELECT p_partkey AS k FROM part)),
 mt AS (SELECT 'M' || n_nationkey AS id, n_name AS name, NULL AS parent, 'B-N' || n_nationkey AS under FROM nation UNION ALL SELECT 'M' || n_nationkey || 's', n_name, 'M' || CASE WHEN n_nationkey % 7 = 0 THEN 'X' ELSE n_nationkey::VARCHAR END, 'B-N' || n_nationkey FROM nation),
-sb1 AS (SELECT id, name, heating, n, 0 AS late FROM sb0 UNION ALL SELECT sub_building_id, sub_building_label, NULL, n, 1 FROM zn WHERE sub_building_id IS NOT NULL),
+sb1 AS (SELECT id, name, heating, n, 0 AS late FROM sb0 UNION ALL SELECT sub_building_id, coalesce(sub_building_label, sub_building_id), NULL, n, 1 FROM zn WHERE sub_building_id IS NOT NULL),
 sb AS (SELECT id, name, heating, 'B-N' || n AS under, CASE WHEN heating IS NOT NULL AND substr(id, 3)::INT % 2 = 0 AND listed THEN 'survey ' || substr(id, 3) END AS hs, CASE WHEN heating IS NOT NULL AND substr(id, 3)::INT % 2 = 0 AND listed THEN substr(id, 3)::INT % 4 = 0 END AS hc
   FROM (SELECT *, id IN (SELECT id FROM sb0) AS listed, row_number() OVER (PARTITION BY id ORDER BY 'N' || n, late, name) AS rn FROM sb1) WHERE rn = 1),
 r1 AS (SELECT rm.*, coalesce(floor, plan) AS fl, sb.id IS NOT NULL AS part, sb.heating AS part_heating FROM rm LEFT JOIN sb ON sb.id = rm.sub_building_id),
@@ -229,10 +230,19 @@ edges AS (SELECT 'Building' AS src_label, 'B-N' || n_nationkey AS src, 'PART_OF'
   UNION SELECT 'Zone', zone, 'MEASURED_BY', 'Meter', meter_id, NULL, NULL FROM zl WHERE meter_id IS NOT NULL)"""
 Z = IRI.format(x="zone")
 SQL = {
-    "grf06_spatial_triples": VIEWS + f""", z AS (SELECT 'N' || n AS graph, 'zone/' || {Z} AS z, 'level/' || {IRI.format(x="level_id")} AS l, 'sub_building/' || {IRI.format(x="sub_building_id")} AS p, 'building/' || {IRI.format(x="('B-N' || n)")} AS b FROM zn)
-SELECT graph, z AS s, 'a' AS p, 'HVAC_Zone' AS o FROM z UNION SELECT graph, z, 'isPartOf', coalesce(l, p, b) FROM z UNION SELECT graph, l, 'a', 'Floor' FROM z WHERE l IS NOT NULL UNION SELECT graph, l, 'isPartOf', p FROM z WHERE l IS NOT NULL AND p IS NOT NULL UNION SELECT graph, p, 'a', 'Building' FROM z WHERE p IS NOT NULL UNION SELECT graph, p, 'isPartOf', b FROM z WHERE p IS NOT NULL
-UNION SELECT 'N' || n_nationkey, 'building/B-N' || n_nationkey, 'a', 'Building' FROM nation UNION SELECT 'N' || n_nationkey, 'building/B-N' || n_nationkey, 'isPartOf', 'site/N' || n_nationkey FROM nation UNION SELECT 'N' || n_nationkey, 'site/N' || n_nationkey, 'a', 'Site' FROM nation""",
-    "grf07_zone_triples": VIEWS + f", t AS (SELECT *, 'zone/' || {Z} AS s FROM hz) " + " UNION ALL ".join(f"SELECT building AS graph, s, '{p}' AS p, ({v})::VARCHAR AS o FROM t WHERE ({v}) IS NOT NULL" for p, v in (("regime", "regime"), ("orientation", "orientation"), ("winterDuty", "winter_duty"), ("summerDuty", "summer_duty"), ("heatingType", "verdict"), ("confidence", "confidence"), ("reasoning", "reasoning"), ("tauMedianMin", TAU), ("qualityFlags", "flags"))) + " UNION ALL SELECT building, s, 'hasPoint', s || '_' || role FROM t, zp UNION ALL SELECT building, s || '_' || role, 'timeseries', 'Buildings/' || building || '/Thermal zone/' || zone || '.csv#' || col FROM t, zp",
+    "grf06_spatial_triples": VIEWS + f""", z AS (SELECT 'N' || n AS g, 'B-N' || n AS b, zone, level_id, level_label, sub_building_id AS part, sub_building_label AS part_label FROM zn),
+ids AS (SELECT 'N' || n_nationkey AS g, 'N' || n_nationkey AS id, 'Site' AS kind, 'N' || n_nationkey AS label, NULL AS up FROM nation
+  UNION ALL SELECT 'N' || n_nationkey, 'B-N' || n_nationkey, 'Building', CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE 'B-N' || n_nationkey END, 'N' || n_nationkey FROM nation
+  UNION ALL SELECT g, part, 'SubBuilding', coalesce(arg_min({{'x': part_label}}, zone).x, part), any_value(b) FROM z WHERE part IS NOT NULL GROUP BY g, part
+  UNION ALL SELECT g, level_id, 'Level', coalesce(arg_min({{'x': level_label}}, zone).x, level_id), arg_min({{'x': part}}, zone).x FROM z WHERE level_id IS NOT NULL GROUP BY g, level_id
+  UNION ALL SELECT g, zone, 'Zone', zone, level_id FROM z),
+n AS (SELECT g AS graph, {IRI.format(x="id")} AS s, kind, label, {IRI.format(x="up")} AS up FROM ids)
+SELECT graph, s, 'a' AS p, kind AS o FROM n UNION SELECT graph, s, 'label', label FROM n UNION SELECT graph, s, 'isPartOf', up FROM n WHERE up IS NOT NULL""",
+    "grf07_zone_triples": VIEWS + f""", t AS (SELECT *, {Z} AS s, zone IN (SELECT zone FROM zn WHERE 'N' || n = hz.building) AS placed FROM hz),
+pt AS (SELECT building AS graph, zone, s, s || '_' || role AS pt, w.kind AS kind, w.col AS col FROM t, (VALUES ('sensor', 'Temperature_Sensor', 'T_Actualvalue'), ('setpoint', 'Temperature_Setpoint', 'T_Setvalue'), ('actuator', 'Valve_Position_Command', 'T_Gain')) w(role, kind, col))
+SELECT graph, pt AS s, 'a' AS p, kind AS o FROM pt UNION SELECT graph, pt, 'isPointOf', s FROM pt UNION SELECT graph, pt, 'timeseries', 'urn:ts:' || pt FROM pt UNION SELECT graph, 'urn:ts:' || pt, 'hasTimeseriesId', col FROM pt UNION SELECT graph, 'urn:ts:' || pt, 'storedAt', 'Thermal zone/' || zone || '.csv' FROM pt
+UNION SELECT building, s, 'a', 'Zone' FROM t WHERE NOT placed UNION SELECT building, s, 'label', zone FROM t WHERE NOT placed UNION SELECT building, s, 'locationMissing', 'true' FROM t WHERE NOT placed UNION SELECT building, s, 'qualityFlag', unnest(string_split(flags, ',')) FROM t WHERE flags IS NOT NULL
+""" + " ".join(f"UNION SELECT building, s, '{p}', ({v})::VARCHAR FROM t WHERE ({v}) IS NOT NULL" for p, v in (("gainRegime", "regime"), ("orientation", "orientation"), ("winterDutyPct", "winter_duty"), ("summerDutyPct", "summer_duty"), ("heatingType", "verdict"), ("heatingTypeConfidence", "confidence"), ("heatingTypeReasoning", "reasoning"), ("tauMedianMin", TAU))),
     "grf08_nodes": VIEWS + " SELECT * FROM nodes",
     "grf09_edges": VIEWS + " SELECT * FROM edges",
     "grf10_room_heating": VIEWS + f" SELECT * FROM nodes WHERE {ROOM_HEAT}",

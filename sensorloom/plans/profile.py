@@ -57,14 +57,6 @@ def jon22(spark, d):
     return ck.promotable(c).select("raw_label")
 
 
-def snk05(spark, d):
-    """What an approval appends to the store: every third promotable label that the store lacks."""
-    c = checked(spark, d).withColumn("decode_method", F.when(F.length("raw_label") % 2 == 0, "rules+llm").otherwise("rules"))
-    ready = ck.promotable(c).select("raw_label", "component")
-    store = ready.where(F.ascii(F.substring("raw_label", -4, 1)) % 2 == 0)
-    return ck.approve(store, ready, ready.where(F.col("raw_label").contains("OU00")))
-
-
 def members(spark, d):
     p = points(spark, d).select("raw_label").distinct()
     return p.select("raw_label", F.explode(lb.group_keys(F.col("raw_label"), lb.segments(F.col("raw_label")))).alias("g")).select("raw_label", "g.*").withColumn("key", F.when(F.col("kind") == "same_system", F.concat_ws("|", "key", F.substring("raw_label", 1, 17))).otherwise(F.col("key")))
@@ -102,7 +94,6 @@ QUERIES = {
     "agg35_verdict_counts": agg35,
     "agg35_review_queue": agg35_queue,
     "jon22_promotable": jon22,
-    "snk05_approve": snk05,
     "jon06_relationships": jon06,
     "chk08_directional": chk08,
     "jon08_supply_return": jon08,
@@ -114,7 +105,6 @@ SQL = {
     "agg35_verdict_counts": BASE + LONG + " SELECT name, verdict, count(*) AS n FROM lg WHERE verdict IS NOT NULL GROUP BY 1, 2",
     "agg35_review_queue": BASE + LONG + " SELECT raw_label, count(*) FILTER (verdict = 'CONFLICT')::INT AS conflicts, count(*) FILTER (verdict = 'INCONCLUSIVE')::INT AS open FROM lg GROUP BY 1 HAVING count(*) FILTER (verdict IN ('CONFLICT', 'INCONCLUSIVE')) > 0",
     "jon22_promotable": PROMO + " SELECT raw_label FROM ok",
-    "snk05_approve": PROMO + " SELECT raw_label, component FROM ok JOIN dd USING (raw_label) WHERE ascii(substr(raw_label, -4, 1)) % 2 <> 0 AND contains(raw_label, 'OU00')",
     "jon06_relationships": f"WITH {POINTS}, {MEMBERS} SELECT a AS raw_label, string_agg(kind || '>' || b, ',' ORDER BY kind, b) AS relationships FROM (SELECT DISTINCT x.raw_label AS a, y.raw_label AS b, x.kind FROM mm x JOIN mm y ON x.kind = y.kind AND x.key = y.key AND x.raw_label <> y.raw_label) GROUP BY 1",
     "chk08_directional": BASE + f""", {LAST}, rf AS (SELECT ts_text, value AS ref FROM lw WHERE raw_label = '{REFERENCE}'), rr AS (SELECT raw_label, count(*) AS n, {PEARSON_SQL.format(x="value", y="ref")} AS r FROM lw JOIN rf USING (ts_text) GROUP BY 1),
 w AS (SELECT cj.*, CASE WHEN system_code LIKE '32%' THEN -1 WHEN system_code LIKE '37%' THEN 1 END AS want FROM cj)

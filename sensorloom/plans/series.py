@@ -22,10 +22,11 @@ def agg03(spark, d):
     return out.withColumns({"values": F.array_join(F.transform("values", lambda v: F.floor(v).cast("string")), ","), "files": F.array_join("files", ","), "file_kinds": F.array_join("file_kinds", ",")})
 
 
-STATS_SQL = """
+STRAY_SQL = """
 num AS (SELECT *, max(ts_text) OVER (PARTITION BY raw_label ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM pts WHERE value IS NOT NULL),
 acc AS (SELECT *, coalesce(ts_text < top, false) AS stray FROM num),
-dec AS (SELECT *, NOT stray AND coalesce(value < lag(value) OVER (PARTITION BY raw_label, stray ORDER BY arrival), false) AS decrease FROM acc),
+dec AS (SELECT *, NOT stray AND coalesce(value < lag(value) OVER (PARTITION BY raw_label, stray ORDER BY arrival), false) AS decrease FROM acc)"""
+STATS_SQL = f"""{STRAY_SQL},
 ord AS (SELECT raw_label, count(*) FILTER (stray) AS out_of_order, count(*) FILTER (decrease) AS n_decreases FROM dec GROUP BY 1),
 base AS (SELECT raw_label, count(*) AS n_rows, count(*) - count(value) AS n_bad, min(ts_text) AS first_ts, max(ts_text) AS last_ts, count(value) AS n_num, min(value) AS min, max(value) AS max,
   avg(value) AS mean, CASE WHEN count(value) > 0 THEN coalesce(stddev_samp(value), 0) END AS std, avg((value = 0)::INT) AS zero_fraction,
@@ -104,7 +105,7 @@ QUERIES = {
 SQL = {
     "agg01_label_counts": f"WITH {POINTS} SELECT raw_label, count(*) AS n FROM pts GROUP BY 1",
     "agg03_series_stats": AGG03_SQL,
-    "win01_stray_rows": f"WITH {POINTS}, {STATS_SQL.split('ord AS')[0].rstrip().rstrip(',')} SELECT raw_label, arrival, ts_text, value, stray, decrease FROM dec WHERE stray OR decrease",
+    "win01_stray_rows": f"WITH {POINTS}, {STRAY_SQL} SELECT raw_label, arrival, ts_text, value, stray, decrease FROM dec WHERE stray OR decrease",
     "agg04_monthly_profile": f"WITH {POINTS}, {LAST}, m AS (SELECT raw_label, substr(ts_text, 6, 2) AS month, avg(value) AS mean, count(*) AS n, min(value) AS min, max(value) AS max FROM lw GROUP BY 1, 2) SELECT raw_label, month, round(mean, 6) AS mean, n, min, max, round(max(mean) OVER (PARTITION BY raw_label) - min(mean) OVER (PARTITION BY raw_label), 6) AS amplitude FROM m",
     "agg05_last_wins": f"WITH {POINTS}, {LAST} SELECT * FROM lw",
     "agg06_pearson_reference": AGG06_SQL,

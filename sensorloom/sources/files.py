@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.labels import control_numbers, iso_date
 from ..functions.numbers import parse_number
+from ..operators.order import split_numbers
 
 LINE = r"^(.*),([^,]*),([^,]*)$"
 #: Readings at or below this stand for none.
@@ -76,16 +77,21 @@ def zone_files(spark: SparkSession, root: str, buildings: list[str] | None = Non
     rows = rows.withColumns({"building": F.regexp_extract(path, r"Buildings/([^/]+)/", 1), "zone": F.regexp_extract(path, r"([^/]+)\.csv$", 1)})
     if buildings:
         rows = rows.where(F.lower("building").isin(*[b.lower() for b in buildings]))
-    heads = rows.groupBy("building", "zone").agg(F.min_by("value", "arrival").alias("header"))
+    rows = rows.withColumns({"block": F.col("arrival.block"), "id": F.col("arrival.line")})
+    rows = split_numbers(rows, "path")
+    heads = rows.where("line = 1").select("path", F.col("value").alias("header"))
     columns = F.transform(F.split(F.regexp_replace("header", "^﻿", ""), ","), lambda c: F.trim(c))
     kind = F.lit("other")
     for name, want in HEADERS.items():
         kind = F.when(columns == F.array(*[F.lit(w) for w in want]), name).otherwise(kind)
-    return rows.join(heads.withColumn("kind", kind), ["building", "zone"]).where(F.col("value") != F.col("header")).drop("header")
+    return rows.join(heads.select("path", kind.alias("kind")), "path").where("line > 1").drop("block", "id")
 
 
 def zone_samples(lines: DataFrame) -> DataFrame:
-    """Zone grids from the lines of triple files; a row without readings is empty, one that cannot be read is bad."""
+    """Zone grids from the lines of triple files; a row without readings is empty, one that cannot be read is bad.
+
+    The grid index is the line's number after the header, counted per split of a file: no task holds a whole zone.
+    """
     parts = F.split(F.rtrim("value"), ",")
     rows = lines.where("kind = 't_triple'").withColumn("_p", parts)
     raw = [F.trim(F.get("_p", F.lit(k))) for k in (1, 2, 3)]
@@ -96,8 +102,7 @@ def zone_samples(lines: DataFrame) -> DataFrame:
     good = ~F.col("is_empty") & ~F.col("is_bad")
     values = {c: F.when(good, n) for c, n in zip(("actual", "setpoint", "gain"), num)}
     ts = F.get("_p", F.lit(0)).try_cast("timestamp")
-    order = Window.partitionBy("building", "zone").orderBy("arrival")
-    return rows.withColumns({"ts": ts, **values, "grid_idx": F.row_number().over(order).cast("bigint")}).select("building", "zone", "kind", "ts", "actual", "setpoint", "gain", "grid_idx", "is_empty", "is_bad")
+    return rows.withColumns({"ts": ts, **values, "grid_idx": F.col("line") - 1}).select("building", "zone", "kind", "ts", "actual", "setpoint", "gain", "grid_idx", "is_empty", "is_bad")
 
 
 def other_zones(lines: DataFrame) -> DataFrame:

@@ -32,9 +32,9 @@ def numbered(df: DataFrame, order: list, out: str = "number", keys: list[str] |
     rows = placed.join(starts, "_part").withColumn(out, F.col("_start") + F.col("_at") + 1).drop("_part", "_at", "_start")
     if not keys:
         return rows
-    first = rows.groupBy(*keys).agg(F.min(out).alias("_first"))
-    same = [rows[k].eqNullSafe(first[k]) for k in keys]
-    return rows.join(first, same).select(*[rows[c] for c in rows.columns if c != out], (rows[out] - F.col("_first") + 1).alias(out))
+    first = rows.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(F.min(out).alias("_first"))
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    return rows.join(first, same).withColumn(out, F.col(out) - F.col("_first") + 1).select(*rows.columns)
 
 
 def split_numbers(lines: DataFrame, file: str = "file", split: str = "block", seen: str = "id") -> DataFrame:

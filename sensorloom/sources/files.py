@@ -26,9 +26,14 @@ HEADERS = {
 }
 
 
+def decoded_path(path: Column) -> Column:
+    """A path without escapes; a plus stands for itself."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def file_name() -> Column:
     """The name of a row's file, decoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return decoded_path(F.col("_metadata.file_name"))
 
 
 def arrival() -> Column:
@@ -73,7 +78,7 @@ def suspicious(labels: DataFrame) -> DataFrame:
 def zone_files(spark: SparkSession, root: str, buildings: list[str] | None = None) -> DataFrame:
     """Lines of ``Buildings/<b>/Thermal zone(s)/<zone>.csv`` with building, zone and the kind its header tells."""
     rows = text_lines(spark, f"{root}/Buildings/*/[Tt]hermal*/*.csv")
-    path = F.url_decode("path")
+    path = decoded_path(F.col("path"))
     rows = rows.withColumns({"building": F.regexp_extract(path, r"Buildings/([^/]+)/", 1), "zone": F.regexp_extract(path, r"([^/]+)\.csv$", 1)})
     if buildings:
         rows = rows.where(F.lower("building").isin(*[b.lower() for b in buildings]))
@@ -134,7 +139,7 @@ def meter_daily(spark: SparkSession, path: str, column: str = "main", by_buildin
     if not by_building:
         return daily_meter(spark.read.option("header", True).csv(path), column)
     rows = spark.read.option("header", True).csv(f"{path}/Buildings/*/Meters/*.csv")
-    return daily_meter(rows.withColumn("building", F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), r"Buildings/([^/]+)/", 1)), column, "building")
+    return daily_meter(rows.withColumn("building", F.regexp_extract(decoded_path(F.col("_metadata.file_path")), r"Buildings/([^/]+)/", 1)), column, "building")
 
 
 def table_lines(spark: SparkSession, path: str) -> DataFrame:

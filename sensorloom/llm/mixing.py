@@ -69,6 +69,25 @@ def copies_of(classes: DataFrame, cap: float) -> DataFrame:
     return rows.withColumn("copies", F.coalesce(F.least(F.lit(float(cap)), F.col("_level") * F.col("merit")), F.lit(float(cap)))).drop("_rate", "_level")
 
 
+def told_apart(rows: DataFrame, twice: DataFrame, text_col: str, others: list[str], seed: int) -> DataFrame:
+    """``rows`` with a key and a draw of its own for each row of the keys in ``twice``: by digest of its text and ``others``, and by number
+    among equal rows. Numbers come from counts per partition of a written table, so no task holds all rows of a key."""
+    marked = rows.join(twice.withColumn("_twice", F.lit(True)), ["_skey", "_key"], "left")
+    single = marked.where("_twice is null").select(*rows.columns)
+    parts = [F.md5(F.coalesce(F.col(text_col), F.lit("")))]
+    if others:
+        parts.append(F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x01")) for c in others])))
+    many = marked.where("_twice").select(*rows.columns, F.concat_ws(":", *parts).alias("_digest"))
+    many = cut(many.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    same = ["_skey", "_key", "_digest"]
+    counts = many.groupBy(*same, "_part").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*same).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    many = many.join(counts.select(*same, "_part", before.alias("_before")), [*same, "_part"])
+    number = F.row_number().over(Window.partitionBy(*same, "_part").orderBy("_at")) + F.col("_before")
+    many = many.withColumn("_key", F.concat_ws(":", "_key", "_digest", number.cast("string"))).withColumn("_u", uniform(F.col("_key"), seed))
+    return single.unionByName(many.select(*rows.columns))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", merit_col: str | None = None) -> DataFrame:
     """Adds ``_size``, ``_source_size``, ``_target`` and ``_copies`` to each row of ``docs``.
 
@@ -83,8 +102,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.
     rows makes no large task.
 
     Null source: a source of its own, last in order. Null or empty text: size 0. Very long texts count whole. Null id:
-    the draw comes from the text. Rows that repeat an id within a source share one draw and so are taken or left
-    together; ties of the rank go by id. A source without words has target 0. Empty input gives an empty result. Extra
+    the draw comes from the text. Rows that repeat an id within a source each have a draw of their own
+    (``told_apart``); ties of the rank go by id. A source without words has target 0. Empty input gives an empty result. Extra
     columns are kept; names starting with ``_`` that this function adds replace columns of the same name.
     """
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce(text_col, F.lit("")))))
@@ -93,7 +112,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.
     names = {c: f"_in{i}" for i, c in enumerate(kept)}  # no name of ``docs`` can clash while it is worked on
     rows = docs.select(*[F.col(c).alias(n) for c, n in names.items()], F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col).cast("string"))).alias("_skey"), word_count(text_col).alias("_size"), key.alias("_key"), uniform(key, seed).alias("_u"), *([merit.alias("_merit")] if merit_col else []))
     rows = rows if merit_col else rows.withColumn("_merit", merit)
-    slim = cut(rows.select("_skey", "_size", "_key", "_u", "_merit"))
+    draws = ["_skey", "_size", "_key", "_u", "_merit"]
+    slim = cut(rows.select(*draws))
+    twice = cut(slim.groupBy("_skey", "_key").agg(F.count("*").alias("_n")).where("_n > 1").select("_skey", "_key"))
+    if twice.head(1):
+        others = [n for c, n in names.items() if c not in (id_col, text_col, source_col)]
+        rows = told_apart(rows, twice, names[text_col], others, seed)
+        slim = cut(rows.select(*draws))
     sums = cut(slim.groupBy(F.col("_skey").alias("skey"), F.col("_merit").alias("merit")).agg(F.sum("_size").alias("words")))
     goals = source_targets(sums.groupBy("skey").agg(F.sum("words").alias("source_size")), weights, cap)
     goals = copies_of(sums.join(goals, "skey"), cap)
@@ -139,11 +164,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = r"""
-WITH d0 AS (
-  SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS skey,
-         CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size,
-         (('0x' || substr(md5('17:' || CAST(doc_id AS VARCHAR)), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
-  FROM documents),
+WITH i AS (
+  SELECT doc_id, text, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS skey, coalesce(CAST(doc_id AS VARCHAR), 't' || md5(coalesce(text, ''))) AS id FROM documents),
+k AS (
+  SELECT *, CASE WHEN count(*) OVER (PARTITION BY skey, id) = 1 THEN id
+                 ELSE id || ':' || md5(coalesce(text, '')) || ':' || row_number() OVER (PARTITION BY skey, id, md5(coalesce(text, ''))) END AS key FROM i),
+d0 AS (
+  SELECT doc_id, skey, key, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size,
+         (('0x' || substr(md5('17:' || key), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM k),
 d AS (SELECT *, CASE WHEN size < 16 THEN 0.5::DOUBLE WHEN size < 64 THEN 0.75::DOUBLE WHEN size < 1024 THEN 1.0::DOUBLE ELSE 1.25::DOUBLE END AS merit FROM d0),
 s AS (SELECT skey, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY skey),
 r AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][(row_number() OVER (ORDER BY skey) - 1) % 3 + 1] AS w, 3.0::DOUBLE * source_size AS c FROM s),
@@ -163,7 +192,7 @@ e AS (SELECT x.skey, x.merit, x.words, x.target, CASE WHEN y.lvl IS NULL THEN 3.
 g AS (SELECT *, floor(copies) AS whole, copies - floor(copies) AS p, target - sum(floor(copies) * words) OVER (PARTITION BY skey) AS rest FROM e),
 q AS (SELECT d.*, g.whole, g.rest, t.source_size, t.target, CASE WHEN g.p > 0 THEN (d.u / (1 - d.u)) / (g.p / (1 - g.p)) END AS q
       FROM d JOIN g ON g.skey = d.skey AND g.merit = d.merit JOIN t ON t.skey = d.skey),
-n AS (SELECT *, CASE WHEN q IS NOT NULL THEN sum(size) OVER (PARTITION BY skey, q IS NULL ORDER BY q, CAST(doc_id AS VARCHAR) ROWS UNBOUNDED PRECEDING) - size / 2.0 END AS mid FROM q)
+n AS (SELECT *, CASE WHEN q IS NOT NULL THEN sum(size) OVER (PARTITION BY skey, q IS NULL ORDER BY q, key ROWS UNBOUNDED PRECEDING) - size / 2.0 END AS mid FROM q)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, round(target, 6) AS target,
        CAST(size * (whole + CASE WHEN q IS NOT NULL AND mid <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM n

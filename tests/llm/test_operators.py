@@ -787,3 +787,59 @@ def test_near_vectors_recall_in_a_large_label(spark):
     found = sum(got[i][0] > 0 and got[i][1] == got[i + 6000][1] for i in range(6000)) / 6000
     assert found >= embeddings.TARGET - 0.01
     assert embeddings.passes_for(3_000_000) > 2 * embeddings.passes_for(20_000) > embeddings.passes_for(64)
+
+
+# --- repeats, very long texts and many entities
+
+
+def test_pii_of_accented_mail_and_titles_in_a_row(spark):
+    texts = ["jösé.garcía@exämple.org, müller@firma.de", "Herr Dr. Müller kam, Müller ging", "Frau Prof. Weiß", "Herr Prof. Dr. Karl Weber"]
+    new = replaced(spark, texts)
+    assert not re.search("jösé|garcía|exämple|müller|firma", new[0]) and new[0].count("@") == 2 and re.fullmatch(r"\S+@\S+\.org, \S+@\S+\.de", new[0])
+    first = re.fullmatch(r"Herr Dr\. (\w+) kam, (\w+) ging", new[1])
+    assert first[1] == first[2] != "Müller"
+    assert re.fullmatch(r"Frau Prof\. \w+", new[2]) and "Weiß" not in new[2]
+    last = re.fullmatch(r"Herr Prof\. Dr\. (\w+) (\w+)", new[3])
+    assert last and {"Karl", "Weber"}.isdisjoint(last.groups()) and any(last[1].endswith(e) for e in pii.SOUNDS["Latin"][3]["m"])
+
+
+def test_pii_of_many_dates_stays_one_to_one(spark):
+    days = spark.range(6000).select("id", F.concat(F.lit("born "), F.date_add(F.lit("1930-01-01").cast("date"), F.col("id").cast("int")).cast("string")).alias("text"))
+    got = pii.with_surrogates(days.withColumnRenamed("id", "doc_id"), "k").join(days.select(F.col("id").alias("doc_id"), F.col("text").alias("was")), "doc_id")
+    row = got.agg(F.count_distinct("text"), F.count_if(F.col("text") == F.col("was")), F.count_if(F.col("text").rlike(r"^born \d{4}-\d\d-\d\d$"))).first()
+    assert tuple(row) == (6000, 0, 6000)
+
+
+def test_toxicity_of_a_very_long_text_with_exceptions():
+    automaton = toxicity.Lexicon().automaton()
+    phrase = toxicity.EXCEPTIONS[0]
+    word = next(iter(toxicity.SEED))
+    for text in (f"{phrase} x ", f"{phrase} {word} ", f"{word} {phrase} {phrase} {word} y "):
+        folded = " " + " ".join(toxicity.fold(text).split()) + " "
+        spans = []
+        for p in toxicity.EXCEPTIONS:
+            p = f" {' '.join(toxicity.fold(p).split())} "
+            spans += [(m.start(), m.start() + len(p) - 1) for m in re.finditer(f"(?={re.escape(p)})", folded)]
+        hits = [m.start() for m in re.finditer(f"(?= {re.escape(toxicity.fold(word).strip())} )", folded) if not any(a <= m.start() < b for a, b in spans)]
+        assert toxicity.features(folded, automaton)[2] == len(hits), text
+    import time
+
+    began = time.monotonic()
+    toxicity.features(" " + f"{phrase} x " * 400_000, automaton)
+    assert time.monotonic() - began < 20
+
+
+def test_mixing_of_repeated_ids(spark, tmp_path):
+    import duckdb
+
+    rows = [(7, "w " * (1 + i % 5) * 20, "a") for i in range(300)] + [(i + 100, "w x y z " * 10, "b") for i in range(600)] + [(7, None, None), (None, "q q", "a"), (None, "q q", "a"), (7, "same", "b"), (7, "same", "b")]
+    spark.createDataFrame(rows, DOC).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = mixing.op6(spark, str(tmp_path)).collect()
+    for source_size in {r.source_size for r in got}:
+        mine = [r for r in got if r.source_size == source_size]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(3 * r["size"] for r in mine)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(mixing.OP6_SQL).fetchall()
+    names = ("doc_id", "size", "source_size", "target", "taken")
+    assert sorted(str(tuple(r[c] for c in names)) for r in got) == sorted(str(w) for w in want)

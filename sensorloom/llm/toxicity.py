@@ -90,7 +90,15 @@ def features(folded: str, automaton: ahocorasick.Automaton) -> tuple[float, floa
             elif weight > best.get(start, 0.0):
                 best[start] = weight
     if spared:
-        best = {s: w for s, w in best.items() if not any(a <= s < b for a, b in spared)}
+        # one sweep: the furthest end of the phrases that start at or before a hit
+        spared.sort()
+        kept, k, reach = {}, 0, -1
+        for s in sorted(best):
+            while k < len(spared) and spared[k][0] <= s:
+                reach, k = max(reach, spared[k][1]), k + 1
+            if s >= reach:
+                kept[s] = best[s]
+        best = kept
     by_word = {folded[s + 1 : folded.find(" ", s + 1)]: w for s, w in sorted(best.items(), key=lambda x: x[1])}
     total = sum(by_word.values())
     return total, 1000 * total / (len(folded) + 200), len(best)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import cut, table
 from .spans import let
 
-EMAIL = r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+EMAIL = r"(?<![\p{L}\p{M}\p{N}_.%+-])[\p{L}\p{M}\p{N}_.%+-]++@[\p{L}\p{M}\p{N}-]+(?:\.[\p{L}\p{M}\p{N}-]+)+"
 ADDRESS = r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)"
 CARD = r"(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])"
 NUMBER = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
@@ -20,7 +20,8 @@ BORN = r"(?<=(?i:born |born: |born on |born on the |dob |dob: |date of birth |da
 #: Titles by the gender they tell (m, f, or n: none).
 TITLES = {"m": "Mr|Herr|Señor|Sr|Monsieur", "f": "Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|Mlle", "n": "Dr|Prof"}
 NAME = r"\p{Lu}(?:[\p{L}\p{M}]|['’-](?=\p{L}))*"
-PERSON = rf"(?<!\p{{L}})(?:{'|'.join(TITLES.values())})\b\.?(?:\x20{NAME}){{1,3}}"
+TITLE = rf"(?:{'|'.join(TITLES.values())})\b\.?"
+PERSON = rf"(?<!\p{{L}}){TITLE}(?:\x20{TITLE})*(?:\x20{NAME}){{1,3}}"
 #: At most places of a text one look at the next character rules out all but an email.
 ENTITY = rf"{EMAIL}|(?=[\d+(])(?:{'|'.join((ADDRESS, CARD, NUMBER, INTL, PHONE, BORN))})|(?=\p{{Lu}})(?:{IBAN}|{PERSON})"
 #: Kinds by the first pattern that fits a whole match.
@@ -41,7 +42,7 @@ FIRST_DAY, DAYS = "1900-01-01", 47017
 
 
 #: Letters that stand for one another, lower case: a surrogate keeps digits, vowels, consonants, accents and script.
-ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz")
+ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áàâäãåéèêëíìîïóòôöõúùûü", "çñšžčřďťğş")
 
 
 def shift(text: Column, digest: Column) -> Column:
@@ -243,7 +244,7 @@ def surrogate(match: Column, kind: Column, tags: Column, attempts: Column, key:
         return F.when(v["kind"] == "email", email).when(v["kind"] == "iban", _iban(v["match"], join(""))).otherwise(let(number, lambda x: respell(v["match"], x)))
 
     def word(w: Column, tag: Column) -> Column:
-        return let(stem(w), lambda s: F.concat(coined(s, tag, tried(F.concat_ws(":", F.lit("name"), tag, F.lower(s))), key), F.substr(w, F.length(s) + 1, F.length(w))))
+        return F.when(tag == "t", w).otherwise(let(stem(w), lambda s: F.concat(coined(s, tag, tried(F.concat_ws(":", F.lit("name"), tag, F.lower(s))), key), F.substr(w, F.length(s) + 1, F.length(w)))))
 
     def person(m: Column) -> Column:
         tagged = lambda w: F.coalesce(F.element_at(tags, F.lower(stem(w))), F.lit("s"))
@@ -260,11 +261,13 @@ def surrogate(match: Column, kind: Column, tags: Column, attempts: Column, key:
 
 
 def titled_tags(match: Column) -> Column:
-    """Tags of the words after a title: given names have its gender, the last word is the surname."""
-    title = F.regexp_replace(F.substring_index(match, " ", 1), r"\.$", "")
-    gender = F.when(title.rlike(f"^(?:{TITLES['m']})$"), "m").when(title.rlike(f"^(?:{TITLES['f']})$"), "f").otherwise("n")
+    """Tags of the words after a title: given names have its gender (that of the first title which tells one), the last word is the
+    surname, and further titles (``t``) stay."""
+    gendered = lambda g: match.rlike(rf"^(?:{TITLE}\x20)*(?:{TITLES[g]})\b\.?\x20")
+    gender = F.when(gendered("m"), "m").when(gendered("f"), "f").otherwise("n")
     words = F.slice(F.split(match, " "), 2, 9)
-    return F.transform(words, lambda w, i: F.when(i + 1 == F.size(words), "s").otherwise(gender))
+    last = F.size(words)
+    return F.transform(words, lambda w, i: F.when((i + 1 < last) & w.rlike(f"^{TITLE}$"), "t").when(i + 1 == last, "s").otherwise(gender))
 
 
 def kind_of(match: Column) -> Column:
@@ -289,6 +292,7 @@ def _context(text: Column) -> Column:
     """``(pattern, tags)`` of a text: where it names persons by title, the words of their names are entities too."""
     persons = F.filter(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), lambda m: kind_of(m) == "person")
     words = F.flatten(F.transform(persons, lambda m: F.zip_with(F.slice(F.split(m, " "), 2, 9), titled_tags(m), lambda w, t: F.struct(stem(w).alias("word"), t.alias("tag")))))
+    words = F.filter(words, lambda x: x["tag"] != "t")
 
     def built(w: Column) -> Column:
         spelled = F.array_distinct(F.transform(w, lambda x: x["word"]))
@@ -319,7 +323,7 @@ def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
     matches = docs.where(text.rlike(ENTITY)).select(F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))).alias("match"))
     matches = matches.withColumn("kind", kind_of(F.col("match")))
     names = matches.where("kind = 'person'").select(F.explode(F.zip_with(F.slice(F.split("match", " "), 2, 9), titled_tags(F.col("match")), lambda w, t: F.concat_ws(":", t, stem(w)))).alias("match"))
-    names = names.groupBy(F.lower("match").alias("entity")).agg(F.min("match").alias("match")).select(F.lit("name").alias("kind"), "entity", "match")
+    names = names.where("match not like 't:%'").groupBy(F.lower("match").alias("entity")).agg(F.min("match").alias("match")).select(F.lit("name").alias("kind"), "entity", "match")
     others = matches.where("kind <> 'person'").groupBy("kind", normal(F.col("match"), F.col("kind")).alias("entity")).agg(F.min("match").alias("match"))
     return names.unionByName(others.select("kind", "entity", "match"))
 
@@ -334,17 +338,20 @@ def surrogates(found: DataFrame, attempts: Column, key: str) -> DataFrame:
 
 
 def clashes(found: DataFrame, attempts: Column, key: str) -> DataFrame:
-    """``(kind, entity)`` whose surrogate is another one's too (all but the first of them), its own original, or another real entity of the corpus."""
+    """``(kind, entity)`` whose surrogate is another one's too (all but the first of them), its own original, or for coined names a real
+    name of the corpus. Numbers, addresses and days go through permutations, which keep entities apart though a surrogate may be
+    a real one: in a corpus that holds most of a kind's values no others are left."""
     made = surrogates(found, attempts, key).where("made is not null")
     order = F.row_number().over(Window.partitionBy("kind", "made").orderBy("entity"))
     made = cut(made.select("kind", "entity", "made", order.alias("turn")))
     word = lambda c: F.when(F.col("kind") == "name", F.substring_index(c, ":", -1)).otherwise(F.col(c))
-    real = found.select("kind", word("entity").alias("made_word")).distinct()
-    taken = made.withColumn("made_word", word("made")).join(real, ["kind", "made_word"]).select("kind", "entity")
-    return made.where("turn > 1").select("kind", "entity").unionByName(taken).distinct()
+    real = found.where("kind = 'name'").select(word("entity").alias("made_word")).distinct()
+    taken = made.where("kind = 'name'").withColumn("made_word", word("made")).join(real, "made_word").select("kind", "entity")
+    wrong = (F.col("turn") > 1) | ((F.col("kind") != "name") & (F.col("made") == F.col("entity")))
+    return made.where(wrong).select("kind", "entity").unionByName(taken).distinct()
 
 
-def settled(found: DataFrame, key: str, rounds: int = 6) -> Column:
+def settled(found: DataFrame, key: str, rounds: int = 24) -> Column:
     """Map from entities to the attempt that gives their surrogate, where that is not the first: repeated until none clashes.
 
     Clashes are few (chance equals): more than ``MAX_RETRIES`` are an error, as the map travels with the plan.
@@ -369,8 +376,8 @@ def with_surrogates(docs: DataFrame, key: str, text_col: str = "text") -> DataFr
     Emails, numbers and dates of birth go through keyed one-to-one maps; words of names get coined names of their
     gender (by the title) and script. Where a title names a person, the words of the name are replaced in the rest of
     that text too, with or without title or possessive. An entity has one surrogate in the whole corpus, under one key. First the
-    different entities are gathered and their surrogates checked: where one equals another, its original or a real
-    entity of the corpus, that entity takes another attempt; only these travel with the plan. Then each task rewrites
+    different entities are gathered and their surrogates checked: where one equals another, its original or, for
+    names, a real one of the corpus, that entity takes another attempt; only these travel with the plan. Then each task rewrites
     its rows alone. Null and empty texts stay as they are, with no entities; texts without any are untouched, and very
     long ones are worked on whole. Repeated rows are rewritten alike. An empty table gives an empty result. A column
     named ``pii_kinds`` is replaced, all others are kept.

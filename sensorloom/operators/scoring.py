@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as lb
 from ..functions.numbers import wilson
+from .decode import ENUMS
 
 # Scored fields and how they compare; core fields decide a row's core exactness.
 FIELDS = {
@@ -151,9 +152,9 @@ def contract(decoded: DataFrame) -> DataFrame:
             F.array(
                 bad(F.col("raw_label").isNull(), "raw_label", "required"),
                 bad(F.col("source_type").isNull() | enum("source_type", "kiona", "bacnet", "other"), "source_type", "not in enum"),
-                bad(enum("carrier", "el", "fjernvarme", "kjoling", "gass", "vann", "annet"), "carrier", "not in enum"),
-                bad(enum("measurement_type", "energi", "effekt", "temperatur", "volum", "trykk", "kostnad", "co2", "status", "kommando", "annet"), "measurement_type", "not in enum"),
-                bad(enum("object_type", "AV", "BV", "MV", "AI", "AO", "BI", "BO", "MI", "MO"), "object_type", "not in enum"),
+                bad(enum("carrier", *ENUMS["carrier"]), "carrier", "not in enum"),
+                bad(enum("measurement_type", *ENUMS["measurement_type"]), "measurement_type", "not in enum"),
+                bad(enum("object_type", *ENUMS["object_type"]), "object_type", "not in enum"),
                 bad(F.col("confidence").isNull() | (F.col("confidence") < 0) | (F.col("confidence") > 1), "confidence", "out of range"),
             )
         ),

@@ -11,7 +11,7 @@ from .series import running, running_all
 
 KEY = ["building", "zone"]
 
-#: Thresholds of the heating analyses.
+# Thresholds of the heating analyses.
 RULES = {
     "dead_gain_max": 0.0,
     "stuck_min_rows": 1000,
@@ -46,8 +46,60 @@ CHUNK = 1 << 16
 T_CAP, SP_CAP, GAIN_CAP, TOP_VALUES = 512, 64, 4096, 8
 
 
-def _moments(x: str, name: str) -> list:
-    return [F.count(x).alias(f"{name}_n"), F.min(x).alias(f"{name}_min"), F.max(x).alias(f"{name}_max"), F.avg(x).alias(f"{name}_mean"), F.when(F.count(x) > 0, F.coalesce(F.stddev_samp(x), F.lit(0.0))).alias(f"{name}_std")]
+MEASURES = {"t": "actual", "sp": "setpoint", "gain": "gain", "comfort": "comfort"}
+
+
+def _chunk_facts(samples: DataFrame) -> DataFrame:
+    """A row per zone and chunk: counts, moments of each measure, changes inside the chunk, and its first and last known values.
+
+    One shuffle by (zone, chunk) serves the lags and all sums.
+    """
+    before = Window.partitionBy(*KEY, "_chunk").orderBy("grid_idx").rowsBetween(Window.unboundedPreceding, -1)
+    rows = samples.withColumns({"comfort": F.col("actual") - F.col("setpoint"), "_t": F.last("actual", ignorenulls=True).over(before), "_sp": F.last("setpoint", ignorenulls=True).over(before)})
+    data = ~F.col("is_empty") & ~F.col("is_bad")
+    at = lambda c: F.when(F.col(c).isNotNull(), F.col("grid_idx"))
+    sums = [x for name, c in MEASURES.items() for x in (F.count(c).alias(f"{name}_n"), F.min(c).alias(f"{name}_min"), F.max(c).alias(f"{name}_max"), F.avg(c).alias(f"{name}_m"), (F.var_pop(c) * F.count(c)).alias(f"{name}_s"))]
+    return rows.groupBy(*KEY, "_chunk").agg(
+        F.count("*").alias("n_grid"),
+        F.count_if(data).alias("n_data"),
+        F.count_if("is_bad").alias("n_bad"),
+        F.min(F.when(data, F.col("ts"))).alias("first_ts"),
+        F.max(F.when(data, F.col("ts"))).alias("last_ts"),
+        *sums,
+        F.count_if(F.col("gain") == 0).alias("gain_0"),
+        F.count_if(F.col("gain") == 100).alias("gain_100"),
+        F.count_if((F.col("gain") > 0) & (F.col("gain") < 100)).alias("gain_interior"),
+        F.count_if(F.col("comfort") < -1).alias("cold"),
+        F.count_if(F.col("comfort") > 1).alias("warm"),
+        F.count_if(F.col("actual") != F.col("_t")).alias("t_changes"),
+        F.count_if(F.col("setpoint") != F.col("_sp")).alias("sp_steps"),
+        F.min_by("actual", at("actual")).alias("t0"), F.max_by("actual", at("actual")).alias("t1"),
+        F.min_by("setpoint", at("setpoint")).alias("sp0"), F.max_by("setpoint", at("setpoint")).alias("sp1"),
+    )
+
+
+def _zone_facts(chunks: DataFrame) -> DataFrame:
+    """Chunks of a zone together: moments by the means of the chunks about the mean of all, changes across borders too."""
+    before = Window.partitionBy(*KEY).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*KEY)  # a row per chunk
+    mean = {f"{m}_mean": F.sum(F.col(f"{m}_m") * F.col(f"{m}_n")).over(whole) / F.sum(F.nullif(F.col(f"{m}_n"), F.lit(0))).over(whole) for m in MEASURES}
+    rows = chunks.withColumns({"_t": F.last("t1", ignorenulls=True).over(before), "_sp": F.last("sp1", ignorenulls=True).over(before), **mean})
+    moments = []
+    for m in MEASURES:
+        n, c = F.sum(f"{m}_n"), F.col(f"{m}_m") - F.col(f"{m}_mean")
+        spread = F.sum(F.col(f"{m}_s") + F.col(f"{m}_n") * c * c)
+        std = F.when(n > 1, F.sqrt(spread / (n - 1))).when(n == 1, F.lit(0.0))
+        moments += [n.alias(f"{m}_n"), F.min(f"{m}_min").alias(f"{m}_min"), F.max(f"{m}_max").alias(f"{m}_max"), F.max(f"{m}_mean").alias(f"{m}_mean"), std.alias(f"{m}_std")]
+    changes = lambda inside, first, last: F.sum(F.col(inside) + F.coalesce((F.col(first) != F.col(last)).cast("long"), F.lit(0)))
+    return rows.groupBy(*KEY).agg(
+        *[F.sum(c).alias(c) for c in ("n_grid", "n_data", "n_bad")],
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
+        *moments,
+        *[F.sum(c).alias(c) for c in ("gain_0", "gain_100", "gain_interior", "cold", "warm")],
+        F.when(F.sum("t_n") > 0, changes("t_changes", "t0", "_t")).alias("t_changes"),
+        F.when(F.sum("sp_n") > 0, changes("sp_steps", "sp0", "_sp")).alias("sp_steps"),
+    )
 
 
 def _histograms(samples: DataFrame) -> DataFrame:
@@ -69,40 +121,10 @@ def _histograms(samples: DataFrame) -> DataFrame:
     return ranked.groupBy(*KEY).agg(distinct("t", T_CAP), distinct("sp", SP_CAP), distinct("gain", GAIN_CAP), some("sp"), some("gain"))
 
 
-def _chunk_changes(samples: DataFrame) -> DataFrame:
-    """Per zone: changes of temperature and set point from one chunk of rows to the next that has any."""
-    at = lambda c: F.when(F.col(c).isNotNull(), F.col("grid_idx"))
-    ends = samples.groupBy(*KEY, "_chunk").agg(F.min_by("actual", at("actual")).alias("t0"), F.max_by("actual", at("actual")).alias("t1"), F.min_by("setpoint", at("setpoint")).alias("sp0"), F.max_by("setpoint", at("setpoint")).alias("sp1"))
-    before = Window.partitionBy(*KEY).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.withColumns({"_t": F.last("t1", ignorenulls=True).over(before), "_sp": F.last("sp1", ignorenulls=True).over(before)})
-    return ends.groupBy(*KEY).agg(F.count_if(F.col("t0") != F.col("_t")).alias("_t_across"), F.count_if(F.col("sp0") != F.col("_sp")).alias("_sp_across"))
-
-
 def zone_stats(samples: DataFrame) -> DataFrame:
     """A row per zone: grid counts, moments of temperature, set point, gain and comfort, histograms, changes and quality flags."""
-    samples = samples.withColumn("_chunk", F.floor(F.col("grid_idx") / CHUNK))
-    before = Window.partitionBy(*KEY, "_chunk").orderBy("grid_idx").rowsBetween(Window.unboundedPreceding, -1)
-    comfort = samples.withColumns({"comfort": F.col("actual") - F.col("setpoint"), "_t": F.last("actual", ignorenulls=True).over(before), "_sp": F.last("setpoint", ignorenulls=True).over(before)})
-    data = ~F.col("is_empty") & ~F.col("is_bad")
-    facts = comfort.groupBy(*KEY).agg(
-        F.count("*").alias("n_grid"),
-        F.count_if(data).alias("n_data"),
-        F.count_if("is_bad").alias("n_bad"),
-        F.min(F.when(data, F.col("ts"))).alias("first_ts"),
-        F.max(F.when(data, F.col("ts"))).alias("last_ts"),
-        *_moments("actual", "t"),
-        *_moments("setpoint", "sp"),
-        *_moments("gain", "gain"),
-        *_moments("comfort", "comfort"),
-        F.count_if(F.col("gain") == 0).alias("gain_0"),
-        F.count_if(F.col("gain") == 100).alias("gain_100"),
-        F.count_if((F.col("gain") > 0) & (F.col("gain") < 100)).alias("gain_interior"),
-        F.count_if(F.col("comfort") < -1).alias("cold"),
-        F.count_if(F.col("comfort") > 1).alias("warm"),
-        F.when(F.count("actual") > 0, F.count_if(F.col("actual") != F.col("_t"))).alias("t_changes"),
-        F.when(F.count("setpoint") > 0, F.count_if(F.col("setpoint") != F.col("_sp"))).alias("sp_steps"),
-    ).join(_chunk_changes(samples), KEY, "left").join(_histograms(samples), KEY, "left")
-    facts = facts.withColumns({"t_changes": F.col("t_changes") + F.col("_t_across"), "sp_steps": F.col("sp_steps") + F.col("_sp_across")}).drop("_t_across", "_sp_across")
+    chunks = _chunk_facts(samples.withColumn("_chunk", F.floor(F.col("grid_idx") / CHUNK)))
+    facts = _zone_facts(chunks).join(_histograms(samples), KEY, "left")
     share = lambda c: F.when(F.col("gain_n") > 0, F.col(c) / F.col("gain_n"))
     facts = facts.withColumns({"pct_0": share("gain_0"), "pct_100": share("gain_100"), "pct_interior": share("gain_interior")})
     r = RULES

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import buildings, graph, heating, labels, more, profile, proofs, reports, series, stores, streams
+from . import buildings, graph, heating, labels, more, profile, proofs, references, reports, series, stores, streams
 
-MODULES = (series, heating, labels, profile, graph, more, reports, buildings, stores, streams, proofs)
+MODULES = (series, heating, labels, profile, graph, more, reports, buildings, stores, streams, proofs, references)
 
 
 def queries() -> dict:

@@ -48,12 +48,36 @@ def running_all(df: DataFrame, keys: list[str], values: dict[str, tuple[Column,
     return df.withColumns(both).drop("_chunk", *[f"_v{k}" for k in range(len(hows))], *[f"_before{k}" for k in range(len(hows))])
 
 
+def arrival_chunk(points: DataFrame, chunk_rows: int) -> Column:
+    """Arrival numbers are cut into runs; arrivals by file and split are so already."""
+    structured = points.schema["arrival"].dataType.typeName() == "struct"
+    return F.struct("arrival.file", "arrival.block") if structured else F.floor(F.col("arrival") / chunk_rows)
+
+
+def order_defects(points: DataFrame, chunk_rows: int = CHUNK) -> DataFrame:
+    """``(raw_label, out_of_order, n_decreases)``: how many ``stray`` and ``decrease`` rows ``ordered_rows`` marks.
+
+    Rows are shuffled once, by label and chunk: strays follow from the highest time before the chunk, falls inside the chunk
+    are counted there, and those across chunks from each chunk's first and last accepted value.
+    """
+    numeric = points.where("value is not null").select("raw_label", "ts_text", "value", "arrival", arrival_chunk(points, chunk_rows).alias("_chunk"))
+    before = Window.partitionBy("raw_label").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    tops = numeric.groupBy("raw_label", "_chunk").agg(F.max("ts_text").alias("_m")).select("raw_label", "_chunk", F.max("_m").over(before).alias("_before"))
+    inner = Window.partitionBy("raw_label", "_chunk").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
+    rows = numeric.join(tops, ["raw_label", "_chunk"])
+    rows = rows.withColumn("stray", F.coalesce(F.col("ts_text") < F.greatest(F.max("ts_text").over(inner), F.col("_before")), F.lit(False)))
+    rows = rows.withColumn("_good", F.when(~F.col("stray"), F.col("value")))
+    rows = rows.withColumn("_prev", F.last("_good", ignorenulls=True).over(inner))
+    at = F.when(F.col("_good").isNotNull(), F.col("arrival"))
+    chunks = rows.groupBy("raw_label", "_chunk").agg(F.count_if("stray").alias("late"), F.count_if(F.col("_good") < F.col("_prev")).alias("falls"), F.min_by("_good", at).alias("first"), F.max_by("_good", at).alias("last"))
+    chunks = chunks.withColumn("_prev", F.last("last", ignorenulls=True).over(before))
+    border = F.coalesce((F.col("first") < F.col("_prev")).cast("long"), F.lit(0))
+    return chunks.groupBy("raw_label").agg(F.sum("late").alias("out_of_order"), F.sum(F.col("falls") + border).alias("n_decreases"))
+
+
 def ordered_rows(points: DataFrame, chunk_rows: int = CHUNK) -> DataFrame:
     """Numeric rows with ``stray`` (its timestamp is below one that arrived before) and ``decrease`` (below the accepted value before)."""
-    numeric = points.where("value is not null")
-    # arrival numbers are cut into runs; arrivals by file and split are so already
-    structured = points.schema["arrival"].dataType.typeName() == "struct"
-    chunk = F.struct("arrival.file", "arrival.block") if structured else F.floor(F.col("arrival") / chunk_rows)
+    numeric, chunk = points.where("value is not null"), arrival_chunk(points, chunk_rows)
     numeric = running(numeric, ["raw_label"], F.col("ts_text"), chunk, "arrival", "max", "_top")
     numeric = numeric.withColumn("stray", F.coalesce(F.col("ts_text") < F.col("_top"), F.lit(False))).drop("_top")
     numeric = running(numeric, ["raw_label"], F.when(~F.col("stray"), F.col("value")), chunk, "arrival", "last", "_prev")
@@ -88,8 +112,7 @@ def series_stats(points: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set("file")).alias("files"),
         F.sort_array(F.collect_set("file_kind")).alias("file_kinds"),
     )
-    order = ordered_rows(points).groupBy("raw_label").agg(F.count_if("stray").alias("out_of_order"), F.count_if("decrease").alias("n_decreases"))
-    out = facts.join(order, "raw_label", "left").join(distinct_values(points), "raw_label", "left")
+    out = facts.join(order_defects(points), "raw_label", "left").join(distinct_values(points), "raw_label", "left")
     out = out.withColumn("distinct", F.when(F.col("n_num") == 0, F.lit(0)).otherwise(F.col("distinct")))
     out = out.withColumn("values", F.when(F.col("n_num") == 0, F.array().cast("array<double>")).otherwise(F.col("values")))
     return out.withColumns(

@@ -12,6 +12,7 @@ from ..operators import events as ev
 from ..operators import zones as zo
 from ..sources.files import area_of_files
 from ..sources.shared import shared_folder
+from ..sources.stores import file_system
 from ..streaming import proxy
 from . import graph as pg
 from . import labels as pl
@@ -99,6 +100,8 @@ def grf08(spark, d):
 def str02(spark, d):
     """The hourly proxy as a stream over the events: hours that the watermark has passed."""
     out = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    fs, where = file_system(spark, out)
+    fs.deleteOnExit(where)
     schema = table(spark, d, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{d}/event[s].parquet")
     samples = events.select(F.concat(F.lit("B"), (F.col("user_id") % 3).cast("string")).alias("building"), F.concat(F.lit("Z"), (F.col("user_id") % 10).cast("string")).alias("zone"), F.col("ts").cast("timestamp").alias("ts"), F.floor("value").cast("double").alias("gain"))

@@ -280,3 +280,14 @@ def test_halos_match_whole_windows(spark, monkeypatch):
     for m in (events, zones):
         monkeypatch.setattr(m, "CHUNK", 50)
     assert ({tuple(r) for r in events.rise_events(df, width=40).collect()}, zones.control_behaviour(df).first()) == whole
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 10**6])
+def test_order_defects_by_chunks(spark, chunk):
+    from sensorloom.operators import series
+
+    rng = random.Random(chunk)
+    rows = [(f"L{rng.randrange(4)}", f"2024-01-{rng.randrange(1, 9):02d}", None if rng.random() < 0.1 else float(rng.randrange(5)), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "raw_label string, ts_text string, value double, arrival long").repartition(3)
+    want = {tuple(r) for r in series.ordered_rows(df, chunk).groupBy("raw_label").agg(F.count_if("stray"), F.count_if("decrease")).collect()}
+    assert {tuple(r) for r in series.order_defects(df, chunk).collect()} == want

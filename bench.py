@@ -34,7 +34,7 @@ HEADLINE = (
 
 
 #: Rows of the zone grids that the statistics are measured on, from text and from Parquet.
-VOLUME = int(os.environ.get("BENCH_VOLUME_ROWS", 5_000_000))
+VOLUME = int(os.environ.get("BENCH_VOLUME_ROWS", 2_000_000))
 
 
 def zone_volume(spark: SparkSession) -> dict:

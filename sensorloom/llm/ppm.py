@@ -8,6 +8,7 @@ from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +23,12 @@ BEFORE, END = 0xFE, 0xFF
 CHUNK, BLOCK = 1 << 20, 32 << 20
 #: Different grams that a task holds before it sums them or hands them on.
 HELD_GRAMS = 4_000_000
-#: Parts that grams, and as many that tokens are dealt to.
-PARTS = 512
+#: Least number of parts that grams, and as many that tokens are dealt to; more as the input grows.
+PARTS = 256
+#: Bytes of text, learned and scored, whose grams share a context in one part; a context of more is split by the byte before it.
+LIMIT = 16_000_000
+#: Most contexts of a length that are split: beyond, the limit grows with the input, so that the shared tables do not.
+SPLITS = 1 << 15
 #: A token no word can be: the end of a text.
 END_TOKEN = b"\n"
 #: Kinds of packed rows: counted grams, grams to score, tokens, texts.
@@ -129,19 +134,37 @@ def packed_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(PACKED)], schema=PACKED)
 
 
-def by_part(keys: np.ndarray):
-    """``(part, places)`` of sorted grams. A part has whole contexts of two bytes, so all longer contexts and their bytes."""
-    part = ((((keys >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(40503) & np.uint64(0xFFFF)) * np.uint64(PARTS) >> np.uint64(16)).astype(np.uint16)
-    order = np.argsort(part, kind="stable")
-    found, starts = np.unique(part[order], return_index=True)
-    yield from zip(found.tolist(), np.split(order, starts[1:]))
+class Dealing:
+    """Which part a gram goes to. A part has whole contexts of two bytes or, where a context is split, of more.
 
+    ``splits``: length to the sorted contexts of that length which are split.
+    """
+
+    def __init__(self, splits: dict[int, np.ndarray], parts: int):
+        self.splits, self.parts = splits, parts
+
+    def by_part(self, keys: np.ndarray):
+        """``(part, places)`` of sorted grams."""
+        leaf = (keys >> np.uint64(8)) & mask(1)
+        at = np.arange(len(keys)) if self.splits else np.empty(0, np.int64)
+        for size, split in sorted(self.splits.items()):
+            at = at[split[np.minimum(np.searchsorted(split, leaf[at]), len(split) - 1)] == leaf[at]]
+            leaf[at] = (keys[at] >> np.uint64(8)) & mask(size)
+        part = ((leaf * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(self.parts)
+        part = part.astype(np.uint16 if self.parts <= 1 << 16 else np.uint32)
+        order = np.argsort(part, kind="stable")
+        found, starts = np.unique(part[order], return_index=True)
+        yield from zip(found.tolist(), np.split(order, starts[1:]))
+
+    def token_part(self, token: bytes) -> int:
+        return self.parts + zlib.crc32(token) % self.parts
 
-def count_grams(texts: DataFrame) -> DataFrame:
+
+def count_grams(texts: DataFrame, dealing: Dealing) -> DataFrame:
     """Packed rows of the grams of ``texts(text)`` and their counts within a task; a gram can be in many rows."""
 
     def handed(keys, n):
-        yield packed_rows([(part, COUNTED, 0, len(at), pack_keys(keys[at]), pack(n[at])) for part, at in by_part(keys)])
+        yield packed_rows([(part, COUNTED, 0, len(at), pack_keys(keys[at]), pack(n[at])) for part, at in dealing.by_part(keys)])
 
     def run(batches):
         held, size = [], 0
@@ -161,21 +184,84 @@ def count_grams(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, PACKED_DDL)
 
 
-def lowest(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The grams of order 1 of ``texts(text)`` and their counts: pairs of bytes, so at most 65,536 whatever the input."""
+def followed(rows: DataFrame, size: int, split: np.ndarray | None = None) -> DataFrame:
+    """``(symbol, key, n)`` of ``rows(text, learned)`` at bytes and ends that stand after one of the ``split`` contexts of ``size`` bytes.
+
+    With ``symbol``: how often learned texts have each context with the byte after it. Without: how often all texts have
+    it with the byte before it. Both have at most 256 keys a context, a number for each task.
+    """
+    pairs = np.ones(1 << 16, bool)
+    if split is not None:
+        pairs[:] = False
+        pairs[(split & mask(1)).astype(np.int64)] = True
+
+    def found(texts: list[bytes]) -> np.ndarray:
+        pad = bytes([BEFORE]) * ORDER
+        data = np.frombuffer(b"".join(pad + t + bytes([END]) for t in texts), np.uint8)
+        at = np.flatnonzero(pairs[data[:-2].astype(np.uint16) << np.uint16(8) | data[1:-1]] & (data[2:] != BEFORE)) + 2
+        full = np.zeros(len(at), np.uint64)
+        for k in range(size + 2):
+            full |= data[at - k].astype(np.uint64) << np.uint64(8 * k)
+        if split is not None:
+            context = (full >> np.uint64(8)) & mask(size - 1)
+            full = full[split[np.minimum(np.searchsorted(split, context), len(split) - 1)] == context]
+        return full
 
     def run(batches):
-        total = np.zeros(1 << 16, np.int64)
+        held = {True: [], False: []}
         for b in batches:
-            for part in chunks([as_bytes(t) for t in b.column("text").to_pylist()]):
-                data = np.frombuffer(b"".join(bytes([BEFORE]) + t + bytes([END]) for t in part), np.uint8).astype(np.uint16)
-                real = data[1:] != BEFORE  # no text holds that byte, so it starts one
-                total += np.bincount((data[:-1] << np.uint16(8) | data[1:])[real], minlength=1 << 16)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
-
-    got = texts.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow().sort_by("gram")
-    return got.column("gram").to_numpy().astype(np.uint64), got.column("n").to_numpy()
+            learned = b.column("learned").to_pylist()
+            texts = [as_bytes(t) for t in b.column("text").to_pylist()]
+            for flag in (True, False):
+                for part in chunks([t for t, x in zip(texts, learned) if x == flag]):
+                    full = found(part)
+                    for symbol, keys in ((True, full & mask(size)), (False, full >> np.uint64(8))):
+                        if symbol and not flag:
+                            continue
+                        if split is None:
+                            n = np.bincount(keys.astype(np.int64), minlength=1 << 16)
+                            keys = np.flatnonzero(n)
+                            held[symbol].append((keys.astype(np.uint64), n[keys]))
+                        else:
+                            held[symbol].append(np.unique(keys, return_counts=True))
+                        if sum(len(h[0]) for h in held[symbol][1:]) > CHUNK:
+                            held[symbol] = [merged(held[symbol])]
+        for symbol in held:
+            if held[symbol]:
+                keys, n = merged(held[symbol])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), symbol)), pa.array(keys.astype(np.int64)), pa.array(n)], names=["symbol", "key", "n"])
+
+    return rows.mapInArrow(run, "symbol boolean, key long, n long").groupBy("symbol", "key").agg(F.sum("n").alias("n"))
+
+
+def counts_of(found: pa.Table, symbol: bool) -> tuple[np.ndarray, np.ndarray]:
+    found = found.filter(pa.compute.equal(found["symbol"], symbol)).sort_by("key")
+    return found["key"].to_numpy().astype(np.uint64), found["n"].to_numpy()
+
+
+def dealt(docs: DataFrame, training: DataFrame, limit: int) -> tuple[Dealing, Trie]:
+    """How the grams of ``docs`` and ``training`` are dealt, and the contexts that all parts share: those of one byte or
+    none, and those that are split.
+
+    A context of two bytes that stands in more than ``limit`` bytes of text is split by the byte before it, and so on up
+    to ORDER bytes, after which few grams are left (256 a block). Split contexts alone are counted here, one pass for
+    each of their lengths; at most SPLITS of a length, with 256 bytes that follow each, come to the driver.
+    """
+    rows = training.select("text", F.lit(True).alias("learned")).unionByName(docs.select("text", F.lit(False).alias("learned")))
+    found = followed(rows, 1).toArrow()
+    low = counts_of(found, True)
+    keys, n = counts_of(found, False)
+    total = int(n.sum())
+    limit = max(limit, total // SPLITS)
+    tables = {0: merged([(low[0] & mask(0), low[1])]), 1: low}
+    splits, hot = {}, keys[n > limit]
+    for size in range(2, ORDER):
+        if not len(hot):
+            break
+        splits[size] = hot
+        found = followed(rows, size, hot).where(F.col("symbol") | (F.col("n") > limit)).toArrow()
+        tables[size], (hot, _) = counts_of(found, True), counts_of(found, False)
+    return Dealing(splits, max(PARTS, -(-4 * total // limit))), Trie(tables)
 
 
 class Trie:
@@ -185,25 +271,29 @@ class Trie:
     takes from the shorter one is fixed for each context and held here beside its totals.
     """
 
-    def __init__(self, tables: dict[int, tuple[np.ndarray, np.ndarray]]):
-        """``tables``: order to the sorted (context, byte) numbers and their counts, each context with all its bytes."""
-        self.keys, self.n, self.contexts, self.total, self.kinds, self.shadow = {}, {}, {}, {}, {}, {}
+    def __init__(self, tables: dict[int, tuple[np.ndarray, np.ndarray]], under: Trie | None = None):
+        """``tables``: order to the sorted (context, byte) numbers and their counts, each context with all its bytes.
+
+        ``under``: contexts that are held elsewhere, with all shorter ones of theirs.
+        """
+        self.keys, self.n, self.contexts, self.total, self.kinds, self.shadow, self.under = {}, {}, {}, {}, {}, {}, under
         for k in range(ORDER + 1):
-            keys, n = tables[k]
+            keys, n = tables.get(k, (np.empty(0, np.uint64), np.empty(0, np.int64)))
             contexts, at, kinds = np.unique(keys >> np.uint64(8), return_inverse=True, return_counts=True)
             self.keys[k], self.n[k], self.contexts[k], self.kinds[k] = keys, n, contexts, kinds.astype(np.int64)
             self.total[k] = np.bincount(at, n, len(contexts)).astype(np.int64)
-            if k:
-                low = self.n[k - 1][np.searchsorted(self.keys[k - 1], keys & mask(k - 1))] if len(keys) else n
-                self.shadow[k] = np.bincount(at, low, len(contexts)).astype(np.int64)
+            self.shadow[k] = np.bincount(at, self.counts(k - 1, keys & mask(k - 1)), len(contexts)).astype(np.int64) if k else np.zeros(len(contexts), np.int64)
 
     @classmethod
-    def of(cls, keys: np.ndarray, n: np.ndarray, low: tuple[np.ndarray, np.ndarray]) -> Trie:
-        """From sorted grams of whole contexts of two bytes, and all grams of order 1."""
+    def of(cls, keys: np.ndarray, n: np.ndarray, under: Trie) -> Trie:
+        """From sorted grams of a part, whose contexts are whole but for those that ``under`` holds."""
         tables = {ORDER: (keys, n)}
         for k in range(ORDER - 1, 1, -1):
             tables[k] = merged([(tables[k + 1][0] & mask(k), tables[k + 1][1])])
-        return cls(tables | {1: low, 0: merged([(low[0] & mask(0), low[1])])})
+        for k in range(2, ORDER):
+            own = ~cls._find(under.contexts[k], tables[k][0] >> np.uint64(8))[1]
+            tables[k] = tables[k][0][own], tables[k][1][own]
+        return cls(tables, under)
 
     @staticmethod
     def _find(where: np.ndarray, what: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,26 +302,42 @@ class Trie:
         at = np.minimum(np.searchsorted(where, what), len(where) - 1)
         return at, where[at] == what
 
+    def counts(self, k: int, keys: np.ndarray) -> np.ndarray:
+        """How often each gram of order ``k`` was learned."""
+        at, seen = self._find(self.keys[k], keys)
+        out = np.zeros(len(keys), np.int64)
+        out[seen] = self.n[k][at[seen]]
+        if self.under is not None and len(self.under.keys[k]):
+            out[~seen] = self.under.counts(k, keys[~seen])
+        return out
+
+    def about(self, k: int, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each context of ``k`` bytes: its total, its different bytes (0: never seen), and what exclusion takes from the shorter one."""
+        at, seen = self._find(self.contexts[k], contexts)
+        out = tuple(np.zeros(len(contexts), np.int64) for _ in range(3))
+        for to, values in zip(out, (self.total[k], self.kinds[k], self.shadow[k])):
+            to[seen] = values[at[seen]]
+        if self.under is not None and len(self.under.contexts[k]):
+            for to, values in zip(out, self.under.about(k, contexts[~seen])):
+                to[~seen] = values
+        return out
+
     def log10(self, full: np.ndarray) -> np.ndarray:
         """log10 of the probability of each gram's last byte after the others."""
         out = np.zeros(len(full))
         live = np.arange(len(full))
-        gone, kinds = np.zeros(len(full), np.int64), np.zeros(len(full), np.int64)
+        gone, gone_kinds = np.zeros(len(full), np.int64), np.zeros(len(full), np.int64)
         for k in range(ORDER, -1, -1):
             key = full[live] & mask(k)
-            c, seen = self._find(self.contexts[k], key >> np.uint64(8))
-            s, hit = self._find(self.keys[k], key)
-            if not len(self.contexts[k]):
-                continue
-            total = np.where(seen, self.total[k][c] - gone[live], 0)
-            left = np.where(seen, self.kinds[k][c] - kinds[live], 0)
-            hit &= seen
+            total, kinds, shadow = self.about(k, key >> np.uint64(8))
+            n, seen = self.counts(k, key), kinds > 0
+            room, left = total - gone[live], kinds - gone_kinds[live]
             with np.errstate(divide="ignore", invalid="ignore"):
-                out[live] += np.where(hit, np.log10((2 * self.n[k][s] - 1) / (2 * total)), np.where(seen & (left > 0), np.log10(left / (2 * total)), 0.0))
-            gone[live] = np.where(seen, self.shadow[k][c] if k else 0, gone[live])
-            kinds[live] = np.where(seen, self.kinds[k][c], kinds[live])
-            live = live[~hit]
-        out[live] -= np.log10(256 - kinds[live])
+                out[live] += np.where(n > 0, np.log10((2 * n - 1) / (2 * room)), np.where(seen & (left > 0), np.log10(left / (2 * room)), 0.0))
+            gone[live] = np.where(seen, shadow, gone[live])
+            gone_kinds[live] = np.where(seen, kinds, gone_kinds[live])
+            live = live[n == 0]
+        out[live] -= np.log10(256 - gone_kinds[live])
         return out
 
 
@@ -282,7 +388,7 @@ def token_ids(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return list(ids), np.concatenate(found), np.array(lengths, np.int64)
 
 
-def token_rows(texts: DataFrame) -> DataFrame:
+def token_rows(texts: DataFrame, dealing: Dealing) -> DataFrame:
     """Packed rows of each block's tokens by part: the tokens, then their counts in training texts and places in the block."""
 
     def run(batches):
@@ -291,10 +397,10 @@ def token_rows(texts: DataFrame) -> DataFrame:
                 meta = np.frombuffer(meta, META)
                 tokens, at, lengths = token_ids(texts_of(meta, data))
                 train_ = np.bincount(at, np.repeat(1 - meta["held"].astype(np.int64), lengths), len(tokens)).astype(np.int64)
-                part = np.fromiter((zlib.crc32(t) % PARTS for t in tokens), np.int64, len(tokens))
+                part = np.fromiter(map(dealing.token_part, tokens), np.int64, len(tokens))
                 order = np.argsort(part, kind="stable")
                 kinds, starts = np.unique(part[order], return_index=True)
-                yield packed_rows([(PARTS + p, TOKENS, block, len(i), pack_tokens([tokens[k] for k in i]), pack(np.r_[train_[i], i])) for p, i in zip(kinds.tolist(), np.split(order, starts[1:]))])
+                yield packed_rows([(p, TOKENS, block, len(i), pack_tokens([tokens[k] for k in i]), pack(np.r_[train_[i], i])) for p, i in zip(kinds.tolist(), np.split(order, starts[1:]))])
 
     return texts.mapInArrow(run, PACKED_DDL)
 
@@ -311,14 +417,14 @@ def grams_of_block(texts: list[bytes]) -> np.ndarray:
     return distinct(np.concatenate(held))
 
 
-def asked_rows(texts: DataFrame) -> DataFrame:
+def asked_rows(texts: DataFrame, dealing: Dealing) -> DataFrame:
     """Packed rows of each block's different grams by part."""
 
     def run(batches):
         for b in batches:
             for block, meta, data in zip(*(b.column(c).to_pylist() for c in ("block", "keys", "vals"))):
                 keys = grams_of_block(texts_of(np.frombuffer(meta, META), data))
-                yield packed_rows([(part, ASKED, block, len(at), pack_keys(keys[at]), b"") for part, at in by_part(keys)])
+                yield packed_rows([(part, ASKED, block, len(at), pack_keys(keys[at]), b"") for part, at in dealing.by_part(keys)])
 
     return texts.mapInArrow(run, PACKED_DDL)
 
@@ -352,13 +458,13 @@ def parts_of(batches):
         yield part, (r[1:] for r in rows)
 
 
-def answers(batches, low: tuple[np.ndarray, np.ndarray]):
+def answers(batches, dealing: Dealing, shared: Trie):
     """Of packed rows sorted by part and kind: for each block, log10 probabilities of its grams and counts of its tokens.
 
     A block knows which grams it asked of a part and in which order, so the answer names the part alone (in ``block``).
     """
     for part, rows in parts_of(batches):
-        if part >= PARTS:
+        if part >= dealing.parts:
             rows = [r[1:] for r in rows]
             total = summed_tokens(rows)
             for block, n, keys, vals in rows:
@@ -374,12 +480,12 @@ def answers(batches, low: tuple[np.ndarray, np.ndarray]):
                     held = [merged(held)]
                     size = 0
                 continue
-            trie = trie or Trie.of(*merged(held), low)
+            trie = trie or Trie.of(*merged(held), shared)
             held = []
             yield packed_rows([(block, ASKED, part, n, b"", pack_logs(trie.log10(unpack_keys(keys, n))))])
 
 
-def scored(batches, total: int, floor: float):
+def scored(batches, dealing: Dealing, total: int, floor: float):
     """Of packed rows sorted by block, its texts and its answers: the rows of the result."""
     for _, rows in parts_of(batches):
         answered, tokens, counts = {}, [], []
@@ -394,7 +500,7 @@ def scored(batches, total: int, floor: float):
                 counts.append(unpack(b, n))
         every = grams_of_block(texts)
         log = np.empty(len(every))
-        for part, at in by_part(every):
+        for part, at in dealing.by_part(every):
             log[at] = unpack_logs(answered[part][1], answered[part][0])
         found = []
         for part in chunks(texts):
@@ -413,27 +519,29 @@ def scored(batches, total: int, floor: float):
         yield pa.RecordBatch.from_arrays(out, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
-def score(docs: DataFrame, training: DataFrame) -> DataFrame:
+def score(docs: DataFrame, training: DataFrame, limit: int = LIMIT) -> DataFrame:
     """Model and base scores of each row of ``docs(doc_id, text)`` after learning from ``training(text)``.
 
     ``score``: log10 probability of the text's bytes (A-Z in lower case) and its end by a trie of all training texts.
     ``base_score``: that of its tokens by training counts plus 0.1, where the training rows are those of ``docs`` whose
     id is not held out. Neither the trie nor the vocabulary is ever in one place: grams are dealt by the two bytes
-    before their last one, so that a part has all longer contexts of its grams and scores what blocks of texts ask it
-    for; tokens are dealt by checksum. Only the grams of two bytes, a bounded number, come to the driver.
+    before their last one, and by more where those stand in more than ``limit`` bytes of text, so that a part has all
+    longer contexts of its grams and scores what blocks of texts ask it for; tokens are dealt by checksum. Only the grams
+    of two bytes and those of split contexts, bounded numbers both, come to the driver.
     Null text: empty, which still has its end. Null id: held out, as the checksum of an empty id is 0. An empty table
     gives an empty result; with no training texts every byte has probability 1/256 and every token is new. A very long
     text is worked on whole, in a block of its own. Repeated rows are scored each and count each in training. Columns of
     ``docs`` but these two are not read, whatever their names.
     """
-    counts, low = count_grams(training), lowest(training)
+    dealing, shared = dealt(docs, training, limit)
+    counts = count_grams(training, dealing)
     texts = cut(blocks(docs))
-    tokens = cut(token_rows(texts))
+    tokens = cut(token_rows(texts, dealing))
     total, kinds = by_group(tokens, "part", token_totals, "total long, kinds long").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     floor = float(np.log10(total + 0.1 * (kinds + 1)))
-    dealt = counts.unionByName(tokens).unionByName(asked_rows(texts)).repartition(partitions(docs.sparkSession), "part").sortWithinPartitions("part", "kind")
-    every = dealt.mapInArrow(lambda batches: answers(batches, low), PACKED_DDL).unionByName(texts)
-    return by_group(every, "part", lambda batches: scored(batches, total, floor), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    packed = counts.unionByName(tokens).unionByName(asked_rows(texts, dealing)).repartition(partitions(docs.sparkSession), "part").sortWithinPartitions("part", "kind")
+    every = packed.mapInArrow(lambda batches: answers(batches, dealing, shared), PACKED_DDL).unionByName(texts)
+    return by_group(every, "part", lambda batches: scored(batches, dealing, total, floor), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

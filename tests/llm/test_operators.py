@@ -215,6 +215,29 @@ def test_ppm_scores_by_brute_force(spark):
     assert ppm.score(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [1, 30, 300])
+def test_ppm_splits_hot_contexts(spark, limit):
+    """Most grams stand after "xy": its parts are split by bytes further back, and the scores stay those of one trie."""
+    rng = np.random.default_rng(3)
+    texts = ["".join("".join(map(chr, rng.integers(97, 101, 3))) + "xy" for _ in range(n)) for n in (1, 40, 80, 200)]
+    texts += [None, "", "xy", "é\0xy", "xyxyxyxy" * 30, texts[2]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = df.where("doc_id % 3 > 0").select("text")
+    learned = [ppm.as_bytes(t) for i, t in enumerate(texts) if i % 3]
+    for r in ppm.score(df, train, limit).collect():
+        assert abs(r.score - slow_ppm(learned, ppm.as_bytes(texts[r.doc_id]))) < 1e-8
+    dealing, shared = ppm.dealt(df, train, limit)
+    pair = np.uint64(int.from_bytes(b"xy", "big"))
+    assert pair in dealing.splits[2]
+    keys = np.unique(ppm.grams([ppm.as_bytes(t) for t in texts] + learned)[0])
+    sizes = [len(at) for _, at in dealing.by_part(keys)]
+    assert sum(sizes) == len(keys) and ((keys >> np.uint64(8) & ppm.mask(1)) == pair).sum() > 240
+    if limit == 30:
+        assert max(sizes) < 120
+    assert sum(len(k) for k in shared.keys.values()) <= 256 * (257 + sum(map(len, dealing.splits.values())))
+    assert ppm.score(df, train.limit(0), limit).count() == len(texts)
+
+
 def test_ppm_probabilities_sum_to_one():
     data = [b"abracadabra", b"alakazam", b"abc"]
     keys, n = np.unique(ppm.grams(data)[0], return_counts=True)

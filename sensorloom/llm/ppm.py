@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import by_group, cut, partitions, table
@@ -25,8 +25,8 @@ CHUNK, BLOCK = 1 << 20, 32 << 20
 HELD_GRAMS = 4_000_000
 #: Least number of parts that grams, and as many that tokens are dealt to; more as the input grows.
 PARTS = 256
-#: Bytes of text, learned and scored, whose grams share a context in one part; a context of more is split by the byte before it.
-LIMIT = 16_000_000
+#: Bytes of text whose grams share a context in one part; a context of more is split by the byte before it.
+LIMIT = 8_000_000
 #: Most contexts of a length that are split: beyond, the limit grows with the input, so that the shared tables do not.
 SPLITS = 1 << 15
 #: A token no word can be: the end of a text.
@@ -190,46 +190,54 @@ def followed(rows: DataFrame, size: int, split: np.ndarray | None = None) -> Dat
     With ``symbol``: how often learned texts have each context with the byte after it. Without: how often all texts have
     it with the byte before it. Both have at most 256 keys a context, a number for each task.
     """
-    pairs = np.ones(1 << 16, bool)
+    def after_all(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among 65,536 pairs: context and byte, byte before and context."""
+        pairs = data[:-1].astype(np.uint16) << np.uint16(8) | data[1:]
+        real = data[2:] != BEFORE  # no text holds that byte
+        return pairs[1:][real], pairs[:-1][real]
+
+    def after_split(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among 256 for each split context, by the byte after it and by the byte before it."""
+        at = np.flatnonzero(ends[data[:-2].astype(np.uint16) << np.uint16(8) | data[1:-1]] & (data[2:] != BEFORE)) + 2
+        context = np.zeros(len(at), np.uint64)
+        for k in range(size):
+            context |= data[at - k - 1].astype(np.uint64) << np.uint64(8 * k)
+        place = np.minimum(np.searchsorted(split, context), len(split) - 1)
+        same = split[place] == context
+        place, at = place[same] * 256, at[same]
+        return place + data[at], place + data[at - size - 1]
+
+    def keys_of(symbol: bool, places: np.ndarray) -> np.ndarray:
+        if split is None:
+            return places.astype(np.int64)
+        context, byte = split[places >> 8], (places & 255).astype(np.uint64)
+        return (context << np.uint64(8) | byte if symbol else byte << np.uint64(8 * size) | context).astype(np.int64)
+
     if split is not None:
-        pairs[:] = False
-        pairs[(split & mask(1)).astype(np.int64)] = True
-
-    def found(texts: list[bytes]) -> np.ndarray:
-        pad = bytes([BEFORE]) * ORDER
-        data = np.frombuffer(b"".join(pad + t + bytes([END]) for t in texts), np.uint8)
-        at = np.flatnonzero(pairs[data[:-2].astype(np.uint16) << np.uint16(8) | data[1:-1]] & (data[2:] != BEFORE)) + 2
-        full = np.zeros(len(at), np.uint64)
-        for k in range(size + 2):
-            full |= data[at - k].astype(np.uint64) << np.uint64(8 * k)
-        if split is not None:
-            context = (full >> np.uint64(8)) & mask(size - 1)
-            full = full[split[np.minimum(np.searchsorted(split, context), len(split) - 1)] == context]
-        return full
+        ends = np.zeros(1 << 16, bool)
+        ends[(split & mask(1)).astype(np.int64)] = True
+    width = 1 << 16 if split is None else 256 * len(split)  # SPLITS bounds it
+    pad = bytes([BEFORE]) * ORDER
 
     def run(batches):
-        held = {True: [], False: []}
+        n = {True: np.zeros(width, np.int64), False: np.zeros(width, np.int64)}
         for b in batches:
             learned = b.column("learned").to_pylist()
             texts = [as_bytes(t) for t in b.column("text").to_pylist()]
             for flag in (True, False):
                 for part in chunks([t for t, x in zip(texts, learned) if x == flag]):
-                    full = found(part)
-                    for symbol, keys in ((True, full & mask(size)), (False, full >> np.uint64(8))):
+                    data = np.frombuffer(b"".join(pad + t + bytes([END]) for t in part), np.uint8)
+                    for symbol, places in zip((True, False), (after_all if split is None else after_split)(data)):
                         if symbol and not flag:
                             continue
-                        if split is None:
-                            n = np.bincount(keys.astype(np.int64), minlength=1 << 16)
-                            keys = np.flatnonzero(n)
-                            held[symbol].append((keys.astype(np.uint64), n[keys]))
+                        if width <= CHUNK:
+                            n[symbol] += np.bincount(places, minlength=width)
                         else:
-                            held[symbol].append(np.unique(keys, return_counts=True))
-                        if sum(len(h[0]) for h in held[symbol][1:]) > CHUNK:
-                            held[symbol] = [merged(held[symbol])]
-        for symbol in held:
-            if held[symbol]:
-                keys, n = merged(held[symbol])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), symbol)), pa.array(keys.astype(np.int64)), pa.array(n)], names=["symbol", "key", "n"])
+                            places, times = np.unique(places, return_counts=True)
+                            n[symbol][places] += times
+        for symbol, times in n.items():
+            places = np.flatnonzero(times)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(places), symbol)), pa.array(keys_of(symbol, places)), pa.array(times[places])], names=["symbol", "key", "n"])
 
     return rows.mapInArrow(run, "symbol boolean, key long, n long").groupBy("symbol", "key").agg(F.sum("n").alias("n"))
 
@@ -239,15 +247,14 @@ def counts_of(found: pa.Table, symbol: bool) -> tuple[np.ndarray, np.ndarray]:
     return found["key"].to_numpy().astype(np.uint64), found["n"].to_numpy()
 
 
-def dealt(docs: DataFrame, training: DataFrame, limit: int) -> tuple[Dealing, Trie]:
-    """How the grams of ``docs`` and ``training`` are dealt, and the contexts that all parts share: those of one byte or
+def dealt(rows: DataFrame, limit: int) -> tuple[Dealing, Trie]:
+    """How the grams of ``rows(text, learned)`` are dealt, and the contexts that all parts share: those of one byte or
     none, and those that are split.
 
     A context of two bytes that stands in more than ``limit`` bytes of text is split by the byte before it, and so on up
     to ORDER bytes, after which few grams are left (256 a block). Split contexts alone are counted here, one pass for
     each of their lengths; at most SPLITS of a length, with 256 bytes that follow each, come to the driver.
     """
-    rows = training.select("text", F.lit(True).alias("learned")).unionByName(docs.select("text", F.lit(False).alias("learned")))
     found = followed(rows, 1).toArrow()
     low = counts_of(found, True)
     keys, n = counts_of(found, False)
@@ -519,8 +526,9 @@ def scored(batches, dealing: Dealing, total: int, floor: float):
         yield pa.RecordBatch.from_arrays(out, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
-def score(docs: DataFrame, training: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Model and base scores of each row of ``docs(doc_id, text)`` after learning from ``training(text)``.
+def score(docs: DataFrame, training: DataFrame | Column, limit: int = LIMIT) -> DataFrame:
+    """Model and base scores of each row of ``docs(doc_id, text)`` after learning from ``training(text)``, or from the rows
+    of ``docs`` for which the condition ``training`` holds.
 
     ``score``: log10 probability of the text's bytes (A-Z in lower case) and its end by a trie of all training texts.
     ``base_score``: that of its tokens by training counts plus 0.1, where the training rows are those of ``docs`` whose
@@ -533,7 +541,12 @@ def score(docs: DataFrame, training: DataFrame, limit: int = LIMIT) -> DataFrame
     text is worked on whole, in a block of its own. Repeated rows are scored each and count each in training. Columns of
     ``docs`` but these two are not read, whatever their names.
     """
-    dealing, shared = dealt(docs, training, limit)
+    if isinstance(training, DataFrame):
+        rows = training.select("text", F.lit(True).alias("learned")).unionByName(docs.select("text", F.lit(False).alias("learned")))
+    else:
+        rows = docs.select("text", F.coalesce(training, F.lit(False)).alias("learned"))
+        training = docs.where(training)
+    dealing, shared = dealt(rows, limit)
     counts = count_grams(training, dealing)
     texts = cut(blocks(docs))
     tokens = cut(token_rows(texts, dealing))
@@ -547,5 +560,4 @@ def score(docs: DataFrame, training: DataFrame, limit: int = LIMIT) -> DataFrame
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all ``documents``, learning from those outside the held-out tenth; edge cases as in ``score``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    training = docs.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 != 0)
-    return score(docs, training)
+    return score(docs, F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 != 0)

@@ -224,9 +224,10 @@ def test_ppm_splits_hot_contexts(spark, limit):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     train = df.where("doc_id % 3 > 0").select("text")
     learned = [ppm.as_bytes(t) for i, t in enumerate(texts) if i % 3]
-    for r in ppm.score(df, train, limit).collect():
-        assert abs(r.score - slow_ppm(learned, ppm.as_bytes(texts[r.doc_id]))) < 1e-8
-    dealing, shared = ppm.dealt(df, train, limit)
+    got = {r.doc_id: r.score for r in ppm.score(df, train, limit).collect()}
+    assert all(abs(got[i] - slow_ppm(learned, ppm.as_bytes(t))) < 1e-8 for i, t in enumerate(texts))
+    assert {r.doc_id: r.score for r in ppm.score(df, F.col("doc_id") % 3 > 0, limit).collect()} == got
+    dealing, shared = ppm.dealt(df.select("text", (F.col("doc_id") % 3 > 0).alias("learned")), limit)
     pair = np.uint64(int.from_bytes(b"xy", "big"))
     assert pair in dealing.splits[2]
     keys = np.unique(ppm.grams([ppm.as_bytes(t) for t in texts] + learned)[0])

@@ -211,8 +211,8 @@ nodes AS (SELECT 'Site' AS label, 'N' || n_nationkey AS id, n_name AS name, NULL
   UNION ALL SELECT 'Level', id, name, NULL, '' FROM lv
   UNION ALL SELECT 'System', id, coalesce(name, id), kind, {props(controller="controller", subsystem="subsystem", description="CASE kind WHEN 'ahu' THEN 'Ventilasjonsaggregat.' || coalesce(' NS-systemnummer ' || subsystem || '.', '') || coalesce(' Styres av undersentral ' || controller || '.', '') WHEN 'heating' THEN CASE WHEN parent IS NOT NULL THEN 'Varmekrets.' ELSE 'Varmeanlegg (NS-system ' || coalesce(subsystem, '') || ').' END WHEN 'device' THEN 'Teknisk enhet lest fra BMS-en.' ELSE 'Teknisk system fra BMS-en.' END")} FROM sy
   UNION ALL SELECT 'System', id, 'Ventilasjon', 'category', '' FROM vt
-  UNION ALL SELECT 'Meter', id, name, CASE WHEN parent IS NULL THEN 'main' ELSE 'sub' END, 'utility=el' FROM mt
-  UNION ALL SELECT 'Room', id, 'Rom ' || number, NULL, {props(number="number", bus="bus", floor="floor", plan="plan", hasTemperature="true", hasSetpoint="sp", hasHeating="ht", numberSource="CASE WHEN k % 8 = 0 THEN 'door' END", heatingType="heating", heatingSource="CASE WHEN heating IS NOT NULL THEN CASE WHEN k % 10 = 0 THEN 'visit' ELSE 'Arvet fra bygget (' || sub_building_id || ').' END END", heatingConfidence="CASE WHEN heating IS NOT NULL THEN CASE WHEN k % 10 = 0 THEN 'verified' ELSE 'assumed' END END", dataVerdict="verdict", dataConfidence="confidence", dataReasoning="reasoning", regime="regime", tauMedianMin=TAU, qualityFlags="flags")} FROM rh
+  UNION ALL SELECT 'Meter', id, name, CASE WHEN parent IS NULL THEN 'main' ELSE 'sub' END, 'description=' || CASE WHEN parent IS NULL THEN 'Hovedmåler for el – toppen av målerhierarkiet.' ELSE 'Undermåler for el – måler en del av forbruket.' END || '|utility=el' FROM mt
+  UNION ALL SELECT 'Room', id, 'Rom ' || number, NULL, {props(number="number", bus="bus", floor="floor", plan="plan", hasTemperature="true", hasSetpoint="sp", hasHeating="ht", description="'Rom ' || number || ' med romstyring fra BMS-en. Signaler: Temperatur' || CASE WHEN sp THEN ', Settpunkt temperatur' ELSE '' END || CASE WHEN ht THEN ', Varmepådrag' ELSE '' END || CASE WHEN k % 5 = 0 THEN ', Luftmengde' ELSE '' END || '.'", numberSource="CASE WHEN k % 8 = 0 THEN 'door' END", heatingType="heating", heatingSource="CASE WHEN heating IS NOT NULL THEN CASE WHEN k % 10 = 0 THEN 'visit' ELSE 'Arvet fra bygget (' || sub_building_id || ').' END END", heatingConfidence="CASE WHEN heating IS NOT NULL THEN CASE WHEN k % 10 = 0 THEN 'verified' ELSE 'assumed' END END", dataVerdict="verdict", dataConfidence="confidence", dataReasoning="reasoning", regime="regime", tauMedianMin=TAU, qualityFlags="flags")} FROM rh
   UNION ALL SELECT 'Zone', zone, zone, NULL, {props(building="building", regime="regime", orientation="orientation", winterDutyPct="winter_duty", summerDutyPct="summer_duty", heatingType="verdict", confidence="confidence", reasoning="reasoning", tauMedianMin=TAU, qualityFlags="flags")} FROM oz
   UNION ALL SELECT 'Point', system || '_' || code, code, NULL, {props(label="'label ' || code", file="'f.csv'", description="CASE WHEN code LIKE 'RT4%' THEN 'Temperaturgiver, tilluft/tur (' || code || ').' WHEN code LIKE 'LR%' THEN 'Frekvensomformer (' || code || ').' ELSE 'Signal fra BMS-en (' || code || ').' END")} FROM sp
   UNION ALL SELECT 'Point', id, name, NULL, {props(signal="signal", label="label", file="file")} FROM rp

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import sys
 from collections import defaultdict
 
@@ -22,17 +21,18 @@ UNKNOWN = "und"
 
 #: What stands between words, as one edge mark.
 EDGE = "_"
-#: Anything but a letter: numbers such as fractions and circled digits count as word characters to ``re`` and are named here.
-_GAPS = re.compile("[\\W\\d_" + "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha()) + "]+")
+#: Whether each code point is a letter. A table, as a pattern of the gaps (numerals and signs count as word characters to ``re``) is searched through per letter.
+_LETTER = np.fromiter(map(str.isalpha, map(chr, range(sys.maxunicode + 1))), bool)
 
 
 def ngrams(text: str | None) -> np.ndarray:
     """All n-grams of a text's words with their edges marked, but for the mark alone; each n-gram is its letters in 21 bits each."""
-    spelled = EDGE + _GAPS.sub(EDGE, (text or "").lower()).strip(EDGE) + EDGE
-    if spelled == EDGE * 2:
-        return np.empty(0, np.int64)
+    spelled = EDGE + (text or "").lower() + EDGE
     a = np.frombuffer(spelled.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    letter = a != ord(EDGE)
+    letter = _LETTER[a]
+    first = np.append(True, letter[:-1]) | letter  # of each gap its first character
+    a, letter = a[first], letter[first]
+    a[~letter] = ord(EDGE)
     pairs = a[:-1] << 21 | a[1:]
     triples = (pairs[:-1] << 21 | a[2:])[letter[1:-1]]
     return np.concatenate([a[letter], pairs, triples])

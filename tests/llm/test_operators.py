@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -158,6 +159,31 @@ def test_language_distance_by_brute_force():
         assert classifier.predict(text) == (min(off, key=lambda k: (off[k], k)), pytest.approx((second - first) / second if second else 0.0))
 
 
+def test_language_letters_by_brute_force():
+    """Each code point alone: what ``str.isalpha`` calls a letter is one, all else parts words."""
+    points = [chr(c) for c in range(0x110000)]
+    grams = language.ngrams(" ".join(points))
+    alone = grams[(grams < 1 << 21)]
+    assert sorted(alone.tolist()) == sorted(ord(x) for c in points for x in c.lower() if x.isalpha())
+    parted = language.counted("".join(f"a{c}b " for c in points if len(c.lower()) == 1 and not c.isalpha()))
+    assert {language.spell(int(k)) for k in parted[0]} == {"a", "b", "_a", "a_", "_b", "b_", "_a_", "_b_"}
+
+
+def test_language_ngrams_take_time_in_proportion_to_plain_matching():
+    """A pattern that names hundreds of numerals one by one took 15 times as long as one of word characters alone."""
+    text, plain = "the cat and the dog went over to the hill, été ½ 12 " * 4000, re.compile(r"[\W\d_]+")
+
+    def least(work):
+        spent = []
+        for _ in range(5):
+            start = time.process_time()
+            work(text)
+            spent.append(time.process_time() - start)
+        return min(spent)
+
+    assert least(language.ngrams) < 4 * least(lambda t: plain.sub("_", t))
+
+
 def test_language_held_out_accuracy(spark):
     got = language.learn  # the query below learns from the other three quarters
     assert got

@@ -50,15 +50,15 @@ MEASURES = {"t": "actual", "sp": "setpoint", "gain": "gain", "comfort": "comfort
 
 
 def _chunk_facts(samples: DataFrame) -> DataFrame:
-    """A row per zone and chunk: counts, moments of each measure, changes inside the chunk, and its first and last known values.
+    """A row per zone and chunk: counts and bounds of each measure, changes inside the chunk, and its first and last known values.
 
     One shuffle by (zone, chunk) serves the lags and all sums.
     """
     before = Window.partitionBy(*KEY, "_chunk").orderBy("grid_idx").rowsBetween(Window.unboundedPreceding, -1)
-    rows = samples.withColumns({"comfort": F.col("actual") - F.col("setpoint"), "_t": F.last("actual", ignorenulls=True).over(before), "_sp": F.last("setpoint", ignorenulls=True).over(before)})
+    rows = samples.withColumns({"_t": F.last("actual", ignorenulls=True).over(before), "_sp": F.last("setpoint", ignorenulls=True).over(before)})
     data = ~F.col("is_empty") & ~F.col("is_bad")
     at = lambda c: F.when(F.col(c).isNotNull(), F.col("grid_idx"))
-    sums = [x for name, c in MEASURES.items() for x in (F.count(c).alias(f"{name}_n"), F.min(c).alias(f"{name}_min"), F.max(c).alias(f"{name}_max"), F.avg(c).alias(f"{name}_m"), (F.var_pop(c) * F.count(c)).alias(f"{name}_s"))]
+    sums = [x for name, c in MEASURES.items() for x in (F.count(c).alias(f"{name}_n"), F.min(c).alias(f"{name}_min"), F.max(c).alias(f"{name}_max"))]
     return rows.groupBy(*KEY, "_chunk").agg(
         F.count("*").alias("n_grid"),
         F.count_if(data).alias("n_data"),
@@ -79,23 +79,16 @@ def _chunk_facts(samples: DataFrame) -> DataFrame:
 
 
 def _zone_facts(chunks: DataFrame) -> DataFrame:
-    """Chunks of a zone together: moments by the means of the chunks about the mean of all, changes across borders too."""
+    """Chunks of a zone together, with changes across borders too."""
     before = Window.partitionBy(*KEY).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*KEY)  # a row per chunk
-    mean = {f"{m}_mean": F.sum(F.col(f"{m}_m") * F.col(f"{m}_n")).over(whole) / F.sum(F.nullif(F.col(f"{m}_n"), F.lit(0))).over(whole) for m in MEASURES}
-    rows = chunks.withColumns({"_t": F.last("t1", ignorenulls=True).over(before), "_sp": F.last("sp1", ignorenulls=True).over(before), **mean})
-    moments = []
-    for m in MEASURES:
-        n, c = F.sum(f"{m}_n"), F.col(f"{m}_m") - F.col(f"{m}_mean")
-        spread = F.sum(F.col(f"{m}_s") + F.col(f"{m}_n") * c * c)
-        std = F.when(n > 1, F.sqrt(spread / (n - 1))).when(n == 1, F.lit(0.0))
-        moments += [n.alias(f"{m}_n"), F.min(f"{m}_min").alias(f"{m}_min"), F.max(f"{m}_max").alias(f"{m}_max"), F.max(f"{m}_mean").alias(f"{m}_mean"), std.alias(f"{m}_std")]
+    rows = chunks.withColumns({"_t": F.last("t1", ignorenulls=True).over(before), "_sp": F.last("sp1", ignorenulls=True).over(before)})
+    bounds = [x for m in MEASURES for x in (F.sum(f"{m}_n").alias(f"{m}_n"), F.min(f"{m}_min").alias(f"{m}_min"), F.max(f"{m}_max").alias(f"{m}_max"))]
     changes = lambda inside, first, last: F.sum(F.col(inside) + F.coalesce((F.col(first) != F.col(last)).cast("long"), F.lit(0)))
     return rows.groupBy(*KEY).agg(
         *[F.sum(c).alias(c) for c in ("n_grid", "n_data", "n_bad")],
         F.min("first_ts").alias("first_ts"),
         F.max("last_ts").alias("last_ts"),
-        *moments,
+        *bounds,
         *[F.sum(c).alias(c) for c in ("gain_0", "gain_100", "gain_interior", "cold", "warm")],
         F.when(F.sum("t_n") > 0, changes("t_changes", "t0", "_t")).alias("t_changes"),
         F.when(F.sum("sp_n") > 0, changes("sp_steps", "sp0", "_sp")).alias("sp_steps"),
@@ -103,28 +96,40 @@ def _zone_facts(chunks: DataFrame) -> DataFrame:
 
 
 def _histograms(samples: DataFrame) -> DataFrame:
-    """Per zone and signal: distinct values (null beyond the cap) and the most frequent values of set point and gain.
+    """Per zone and signal: mean and deviation, distinct values (null beyond the cap) and the most frequent values of set point and gain.
 
-    From counts per value, never a whole list; the three signals share one shuffle.
+    From counts per value, never a whole list; the signals share one shuffle. Values are summed in the order of their ranks, so
+    no chunking and no rerun changes a digit of the moments.
     """
     pair = lambda name, column: F.struct(F.lit(name).alias("signal"), F.col(column).alias("value"))
-    cells = samples.select(*KEY, "grid_idx", F.explode(F.array(pair("t", "actual"), pair("sp", "setpoint"), pair("gain", "gain"))).alias("c"))
+    cells = samples.select(*KEY, "grid_idx", F.explode(F.array(*[pair(name, c) for name, c in MEASURES.items()])).alias("c"))
     counts = cells.select(*KEY, "grid_idx", "c.*").where("value is not null").groupBy(*KEY, "signal", "value").agg(F.count("*").alias("count"), F.min("grid_idx").alias("seen"))
-    group = Window.partitionBy(*KEY, "signal")
-    ranked = counts.withColumn("_rn", F.row_number().over(group.orderBy(F.desc("count"), "seen"))).withColumn("_n", F.count("*").over(group))
+    group = Window.partitionBy(*KEY, "signal").orderBy(F.desc("count"), "seen", "value")
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    value, n = F.col("value"), F.col("count")
+    ranked = counts.withColumns({"_rn": F.row_number().over(group), "_n": F.count("*").over(whole), "_rows": F.sum(n).over(whole), "_sum": F.sum(value * n).over(whole)})
+    ranked = ranked.withColumn("_mean", F.col("_sum") / F.col("_rows"))
+    ranked = ranked.withColumn("_spread", F.sum((value - F.col("_mean")) * (value - F.col("_mean")) * n).over(whole))
+    ranked = ranked.withColumn("_std", F.when(F.col("_rows") > 1, F.sqrt(F.col("_spread") / (F.col("_rows") - 1))).otherwise(0.0))
     top = F.when(F.col("signal") == "sp", SP_CAP).when(F.col("signal") == "gain", TOP_VALUES).otherwise(1)
     ranked = ranked.where(F.col("_rn") <= top)
     of = lambda name: F.col("signal") == name
     distinct = lambda name, cap: F.max(F.when(of(name) & (F.col("_n") <= cap), F.col("_n"))).alias(f"{name}_distinct")
     listed = lambda name: F.transform(F.sort_array(F.collect_list(F.when(of(name), F.struct("_rn", "value", "count")))), lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count")))
     some = lambda name: F.when(F.count(F.when(of(name), 1)) > 0, listed(name)).alias(f"{name}_top")
-    return ranked.groupBy(*KEY).agg(distinct("t", T_CAP), distinct("sp", SP_CAP), distinct("gain", GAIN_CAP), some("sp"), some("gain"))
+    moments = [F.max(F.when(of(m), F.col(f"_{x}"))).alias(f"{m}_{x}") for m in MEASURES for x in ("mean", "std")]
+    return ranked.groupBy(*KEY).agg(*moments, distinct("t", T_CAP), distinct("sp", SP_CAP), distinct("gain", GAIN_CAP), some("sp"), some("gain"))
 
 
 def zone_stats(samples: DataFrame) -> DataFrame:
     """A row per zone: grid counts, moments of temperature, set point, gain and comfort, histograms, changes and quality flags."""
+    samples = samples.withColumn("comfort", F.col("actual") - F.col("setpoint"))
     chunks = _chunk_facts(samples.withColumn("_chunk", F.floor(F.col("grid_idx") / CHUNK)))
-    facts = _zone_facts(chunks).join(_histograms(samples), KEY, "left")
+    facts, values = _zone_facts(chunks), _histograms(samples).withColumnsRenamed({k: f"_{k}" for k in KEY})
+    facts = facts.join(values, [facts[k].eqNullSafe(values[f"_{k}"]) for k in KEY], "left").drop(*[f"_{k}" for k in KEY])
+    moments = [f"{m}_{x}" for m in MEASURES for x in ("n", "min", "max", "mean", "std")]
+    counts = ["n_grid", "n_data", "n_bad", "first_ts", "last_ts"]
+    facts = facts.select(*KEY, *counts, *moments, *[c for c in facts.columns if c not in (*KEY, *counts, *moments)])
     share = lambda c: F.when(F.col("gain_n") > 0, F.col(c) / F.col("gain_n"))
     facts = facts.withColumns({"pct_0": share("gain_0"), "pct_100": share("gain_100"), "pct_interior": share("gain_interior")})
     r = RULES

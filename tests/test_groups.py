@@ -1,5 +1,8 @@
 """Pairs of large groups, stores with repeats, merges and text folding, on rows written here."""
 
+import statistics
+
+import pytest
 from pyspark.sql import functions as F
 
 from sensorloom.functions import labels as lb
@@ -44,6 +47,20 @@ def test_rules_from_a_file(spark, tmp_path):
     assert decode.decode_rules(labels, {}, {}, keywords=rules).first().function == "drive"
 
 
+def test_zone_moments_by_brute_force(spark, monkeypatch):
+    rows = [(zone, i, None if i % 3 else 20.1 + i % 4 * 0.37, 21.3 if i // 7 % 2 else 17.7) for zone in ("Z", None) for i in range(1, 200)]
+    df = spark.createDataFrame(rows, "zone string, grid_idx long, actual double, setpoint double").selectExpr("'B' AS building", "*", "0d AS gain", "false AS is_empty", "false AS is_bad", "timestamp_seconds(grid_idx * 60) AS ts")
+    whole = {r.zone: r for r in zones.zone_stats(df).collect()}
+    monkeypatch.setattr(zones, "CHUNK", 7)
+    assert {r.zone: r for r in zones.zone_stats(df).collect()} == whole
+    for zone, r in whole.items():  # the zone without a name has all its facts too
+        kept = [x for x in rows if x[0] == zone]
+        for name, values in (("t", [x[2] for x in kept]), ("sp", [x[3] for x in kept]), ("comfort", [x[2] and x[2] - x[3] for x in kept])):
+            known = [v for v in values if v is not None]
+            assert (r[f"{name}_n"], r[f"{name}_mean"], r[f"{name}_std"]) == (len(known), pytest.approx(statistics.fmean(known)), pytest.approx(statistics.stdev(known)))
+        assert (r.sp_distinct, len(r.sp_top), r.gain_std, r.flags) == (2, 2, 0.0, ["dead_gain"])
+
+
 def test_chunks_do_not_change_zone_results(spark, monkeypatch):
     rows = [("B", "Z", i, None if i % 3 else 20.0 + i % 4, 21.0 if i // 7 % 2 else 17.0, 0.0, False, False) for i in range(1, 200)]
     df = spark.createDataFrame(rows, "building string, zone string, grid_idx long, actual double, setpoint double, gain double, is_empty boolean, is_bad boolean").withColumn("ts", F.timestamp_seconds(F.col("grid_idx") * 60))

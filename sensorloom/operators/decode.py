@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as lb
+from ..sources.shared import staged
 from .contract import RECORD, record, violations
 
 # What a keyword in a label's path says. Longer keywords are read first.
@@ -103,77 +104,108 @@ def decode_rules(labels: DataFrame, components: dict[str, str], systems: dict[st
     """``labels(raw_label, source_type)`` decoded by rules alone.
 
     ``components``: letters to meaning; ``systems``: three digits to name; ``areas``: control number to area. They are
-    small reference tables and go into the plan as literals, so decoding is one projection without a join. ``keywords``:
-    rules in place of ``KEYWORDS``, such as ``sources.files.rules`` reads.
+    small reference tables and go into the plan as literals, so decoding needs no join. ``keywords``: rules in place of
+    ``KEYWORDS``, such as ``sources.files.rules`` reads.
+
+    The rules stand in a few projections, each over what the one before found, and not in one for each rule: plans of
+    dozens of projections take more memory and time on the driver than the labels take on the executors.
     """
     rules = KEYWORDS if keywords is None else keywords
+    col, lit, known = F.col, F.lit, lambda *cs: F.coalesce(*cs).isNotNull()
     d = lb.with_tokens(labels)
-    col, lit, null = F.col, F.lit, F.lit(None).cast("string")
-    d = d.withColumns({"building": F.coalesce("bygg", "control_number"), "zone": null, "score": lit(0.30), "notes": F.array().cast("array<string>")})
-
-    def step(d: DataFrame, when: Column, add: float, note: Column | str, **fields: Column) -> DataFrame:
-        """Where ``when``: sets fields, adds to the score and notes a reason."""
-        when, note = F.coalesce(when, lit(False)), note if isinstance(note, Column) else lit(note)
-        d = d.withColumn("_on", when)
-        changed = {k: F.when(col("_on"), v).otherwise(col(k)) for k, v in fields.items()}
-        return d.withColumns(changed | {"score": col("score") + F.when(col("_on"), add).otherwise(0.0), "notes": F.when(col("_on"), F.concat("notes", F.array(note))).otherwise(col("notes"))}).drop("_on")
-
-    for name in ("system_code", "system_name", "subsystem", "component", "function", "measurement_type", "unit", "object_type", "carrier"):
-        d = d.withColumn(name, null)
-    area = lookup(areas or {}, col("control_number"))
-    d = step(d, col("building").isNotNull(), 0.05, F.concat(lit("building "), col("building"), F.coalesce(F.concat(lit(", area "), F.when(col("bygg").isNull(), area)), lit(""))))
-    lone = col("bygg_alone").isNotNull()
-    d = step(d, lone & col("building").isNotNull() & col("etg").isNotNull() & (col("building") == col("bygg_alone")), 0.0, F.concat(lit("floor "), col("etg")), zone=col("etg"))
-    d = step(d, lone & col("building").isNull(), 0.05, F.concat(lit("building "), col("bygg_alone")), building=col("bygg_alone"), zone=col("etg"))
-
-    first3, rest = F.substring("system_digits", 1, 3), F.substring("system_digits", 4, 10)
-    name = lookup(systems, first3)
-    d = step(d, name.isNotNull(), 0.20, F.concat(lit("system token "), col("system_digits")), system_code=F.concat(first3, lit("0")), system_name=name, subsystem=F.concat(lit("system "), first3, lit("."), rest))
-    d = step(d, col("room").isNotNull(), 0.05, F.concat(lit("room "), col("room")), zone=F.concat(lit("Rom "), col("room")))
-
-    sys3, number = lb.group(col("combined"), lb.COMBINED, 1), lb.group(col("combined"), lb.COMBINED, 2)
-    letters, digits = lb.group(col("combined"), lb.COMBINED, 3), lb.group(col("combined"), lb.COMBINED, 4)
-    name, meaning = lookup(systems, sys3), lookup(components, letters)
-    d = step(d, name.isNotNull() & col("system_code").isNull(), 0.20, F.concat(lit("combined token "), col("combined")), system_code=F.concat(sys3, lit("0")), system_name=name)
-    part = F.concat(lit("system "), sys3, lit("."), number, F.when(name.isNull(), F.format_string(UNKNOWN_CODE, sys3)).otherwise(""))
-    d = step(d, col("combined").isNotNull(), 0.0, "combined token's subsystem", subsystem=F.concat_ws("; ", "subsystem", part))
-    named = F.concat(letters, digits, lit(" ("), letters, lit(" = "), meaning, lit(")"))
-    d = step(d, meaning.isNotNull(), 0.20, F.concat(lit("component "), letters), component=F.coalesce("component", named), measurement_type=F.coalesce("measurement_type", lookup(LETTER_QUANTITY, letters)))
-
-    letters, side, tail = (lb.group(col("point_token"), lb.POINT_CODE, k) for k in (1, 2, 3))
+
+    # What tokens consist of.
+    letters_of = F.array(*[lit(k) for k in components]) if components else F.array().cast("array<string>")
+    combined = {f"c_{k}": lb.group(col("combined"), lb.COMBINED, n) for n, k in enumerate(("system", "number", "letters", "digits"), 1)}
+    point = {f"p_{k}": lb.group(col("point_token"), lb.POINT_CODE, n) for n, k in enumerate(("letters", "side", "tail"), 1)}
     core = F.ltrim(col("point_token"), lit("-"))
-    meaning, quantity = lookup(components, letters), lookup(LETTER_QUANTITY, letters)
-    d = d.withColumn("_fill", F.coalesce(meaning.isNotNull() & quantity.isNotNull() & col("measurement_type").isNull(), lit(False)))
-    d = step(d, meaning.isNotNull(), 0.20, F.concat(lit("point code "), core), component=F.coalesce("component", F.concat(core, lit(" ("), letters, lit(" = "), meaning, lit(")"))), measurement_type=F.coalesce("measurement_type", quantity))
-    d = step(d, col("_fill"), 0.10, F.concat(lit("quantity of "), letters), function=F.coalesce("function", quantity)).drop("_fill")
-    side_text = F.when(F.length(F.concat(side, tail)) == 3, lookup(SIDES, side))
-    d = step(d, meaning.isNotNull() & side_text.isNotNull(), 0.0, "side digit", subsystem=F.concat_ws("; ", side_text, "subsystem"))
-    d = step(d, ~F.coalesce(col("point_token").rlike(lb.POINT_CODE), lit(False)) & core.rlike(lb.IO_POINT), 0.10, F.concat(lit("I/O point "), core), object_type=lb.group(core, lb.IO_POINT, 1))
-
-    known = F.array(*[lit(k) for k in components]) if components else F.array().cast("array<string>")
-    device = F.get(F.filter("segs", lambda s: s.rlike(lb.EQUIPMENT_TOKEN) & F.array_contains(known, F.regexp_extract(s, r"^([A-Z]{1,3})\d{3}", 1))), lit(0))
-    letters, code = F.regexp_extract(device, r"^([A-Z]{1,3})\d{3}", 1), F.regexp_extract(device, r"^[A-Z]{1,3}\d{3}", 0)
-    d = step(d, col("component").isNull() & device.isNotNull(), 0.20, F.concat(lit("equipment "), device, F.when(device.endswith("_TEST"), " (test set-up)").otherwise("")), component=F.concat(code, lit(" ("), letters, lit(" = "), lookup(components, letters), lit(")")))
-    d = step(d, col("object_type").isNull() & col("io_type").isNotNull(), 0.10, F.concat(lit("object type "), col("io_type")), object_type=col("io_type"))
-    for kind, (quantity, role) in OBJECT_DEFAULTS.items():
-        d = step(d, col("object_type") == kind, 0.0, f"{kind} object", measurement_type=F.coalesce("measurement_type", lit(quantity)), function=F.coalesce("function", lit(role)))
-    d = step(d, col("point_suffix").isin("_SP", "_WSP"), 0.10, "set-point suffix", function=lit("settpunkt"))
-
-    d = d.withColumn("_hay", F.lower(F.array_join("segs", " ")))
+    device = F.get(F.filter("segs", lambda s: s.rlike(lb.EQUIPMENT_TOKEN) & F.array_contains(letters_of, F.regexp_extract(s, r"^([A-Z]{1,3})\d{3}", 1))), lit(0))
+    d = d.withColumns(combined | point | {"core": core, "device": device, "hay": F.lower(F.array_join("segs", " "))})
+
+    # What they mean. Of the keywords in a label the longest is first.
     words = sorted(rules, key=len, reverse=True)
-    hit = {w: F.instr(col("_hay"), w) > 0 for w in words}
-    for field in ("function", "measurement_type", "carrier", "unit", "component"):
-        d = d.withColumn(field, F.coalesce(field, *[F.when(hit[w], rules[w][field]) for w in words if field in rules[w]]))
-    any_hit = F.array_compact(F.array(*[F.when(hit[w], w) for w in words]))
-    d = d.withColumn("_words", any_hit)
-    d = step(d, (F.size("_words") > 0) & F.coalesce("function", "measurement_type", "carrier").isNotNull(), 0.10, F.concat(lit("keywords "), F.array_join("_words", ", ")))
-    hint = F.coalesce(null, *[F.when(hit[w], rules[w]["system_hint"]) for w in words if "system_hint" in rules[w]])
-    d = step(d, col("system_code").isNull() & lookup(systems, hint).isNotNull(), 0.10, F.concat(lit("system hint "), hint), system_code=F.concat(hint, lit("0")), system_name=lookup(systems, hint))
-    d = d.withColumn("carrier", F.coalesce("carrier", lookup(SYSTEM_CARRIER, F.substring("system_code", 1, 2))))
-
-    d = d.withColumns({"is_derived": F.when(F.coalesce("component", "measurement_type", "object_type").isNotNull(), False), "tier": tier(), "confidence": F.round(F.least(F.round("score", 6), lit(CONFIDENCE_CAP)), 2), "reasoning": F.when(F.size("notes") > 0, F.array_join("notes", "; ")).otherwise("no deterministic rule matched"), "decode_method": lit("rules")})
-    system = F.when(col("system_code").isNotNull(), F.struct(col("system_code").alias("code"), col("system_name").alias("description")))
-    place = F.when(F.coalesce("building", "zone").isNotNull(), F.struct("building", "zone"))
+    first3 = F.substring("system_digits", 1, 3)
+    d = d.withColumns(
+        {
+            "s_name": lookup(systems, first3), "c_name": lookup(systems, col("c_system")),
+            "c_meaning": lookup(components, col("c_letters")), "c_quantity": lookup(LETTER_QUANTITY, col("c_letters")),
+            "p_meaning": lookup(components, col("p_letters")), "p_quantity": lookup(LETTER_QUANTITY, col("p_letters")),
+            "side": F.when(F.length(F.concat("p_side", "p_tail")) == 3, lookup(SIDES, col("p_side"))),
+            "io_point": F.when(col("p_letters").isNull(), lb.group(col("core"), lb.IO_POINT, 1)),
+            "e_letters": F.regexp_extract("device", r"^([A-Z]{1,3})\d{3}", 1), "e_code": F.regexp_extract("device", r"^[A-Z]{1,3}\d{3}", 0),
+            "own": F.coalesce("bygg", "control_number"),
+            "words": F.array_compact(F.array(*[F.when(col("hay").contains(w), w) for w in words])) if words else F.array().cast("array<string>"),
+        }
+    )
+
+    # What the structure of a label says, and what its keywords say.
+    said = lambda field: F.get(F.filter(F.transform("words", lambda w: lookup({w: rules[w][field] for w in words if field in rules[w]}, w)), lambda v: v.isNotNull()), lit(0))
+    lone, in_own = known("bygg_alone"), known("own")
+    meant = lambda code, letters, meaning: F.concat(code, lit(" ("), letters, lit(" = "), meaning, lit(")"))
+    named = F.coalesce(meant(F.concat("c_letters", "c_digits"), col("c_letters"), col("c_meaning")), meant(col("core"), col("p_letters"), col("p_meaning")))
+    fill = known("p_meaning") & known("p_quantity") & ~(known("c_meaning") & known("c_quantity"))
+    part = F.when(known("combined"), F.concat(lit("system "), col("c_system"), lit("."), col("c_number"), F.when(col("c_name").isNull(), F.format_string(UNKNOWN_CODE, "c_system")).otherwise("")))
+    whole = F.when(known("s_name"), F.concat(lit("system "), first3, lit("."), F.substring("system_digits", 4, 10)))
+    side = F.when(known("p_meaning"), col("side"))
+    etg = F.when(lone & (~in_own | (col("own") == col("bygg_alone"))), col("etg"))
+    d = d.withColumns(
+        {
+            "building": F.when(in_own, col("own")).otherwise(col("bygg_alone")),
+            "zone": F.coalesce(F.concat(lit("Rom "), col("room")), etg),
+            "subsystem": F.when(known(side, whole, part), F.concat_ws("; ", side, whole, part)),
+            "named": named, "fill": fill,
+            "object_type": F.coalesce("io_point", "io_type"),
+            "system_code": F.when(known("s_name"), F.concat(first3, lit("0"))).when(known("c_name"), F.concat("c_system", lit("0"))),
+            "system_name": F.coalesce("s_name", "c_name"),
+            "quantity": F.coalesce(F.when(known("c_meaning"), col("c_quantity")), F.when(known("p_meaning"), col("p_quantity"))),
+            "hint": said("system_hint"), "unit": said("unit"),
+            **{f"w_{f}": said(f) for f in ("function", "measurement_type", "carrier", "component")},
+        }
+    )
+    by_kind = lambda n: lookup({k: v[n] for k, v in OBJECT_DEFAULTS.items()}, col("object_type"))
+    of_device = known("device") & col("named").isNull()
+    set_point = F.coalesce(col("point_suffix").isin("_SP", "_WSP"), lit(False))
+    hinted = col("system_code").isNull() & known("hint_name")
+    d = d.withColumn("hint_name", lookup(systems, col("hint"))).withColumns(
+        {
+            "function": F.coalesce(F.when(set_point, "settpunkt"), F.when(col("fill"), col("p_quantity")), by_kind(1), "w_function"),
+            "measurement_type": F.coalesce("quantity", by_kind(0), "w_measurement_type"),
+            "component": F.coalesce("named", F.when(of_device, meant(col("e_code"), col("e_letters"), lookup(components, col("e_letters")))), "w_component"),
+            "hinted": hinted,
+            "system_code": F.when(hinted, F.concat("hint", lit("0"))).otherwise(col("system_code")),
+            "system_name": F.when(hinted, col("hint_name")).otherwise(col("system_name")),
+        }
+    )
+
+    # Why: of each rule that holds, what it adds to the score and a note.
+    area = F.when(col("bygg").isNull(), lookup(areas or {}, col("control_number")))
+    worded = (F.size("words") > 0) & known("function", "measurement_type", "w_carrier")
+    reasons = [
+        (in_own, 0.05, F.concat(lit("building "), col("own"), F.coalesce(F.concat(lit(", area "), area), lit("")))),
+        (lone & in_own & known("etg") & (col("own") == col("bygg_alone")), 0.0, F.concat(lit("floor "), col("etg"))),
+        (lone & ~in_own, 0.05, F.concat(lit("building "), col("bygg_alone"))),
+        (known("s_name"), 0.20, F.concat(lit("system token "), col("system_digits"))),
+        (known("room"), 0.05, F.concat(lit("room "), col("room"))),
+        (known("c_name") & col("s_name").isNull(), 0.20, F.concat(lit("combined token "), col("combined"))),
+        (known("combined"), 0.0, lit("combined token's subsystem")),
+        (known("c_meaning"), 0.20, F.concat(lit("component "), col("c_letters"))),
+        (known("p_meaning"), 0.20, F.concat(lit("point code "), col("core"))),
+        (col("fill"), 0.10, F.concat(lit("quantity of "), col("p_letters"))),
+        (known("p_meaning") & known("side"), 0.0, lit("side digit")),
+        (known("io_point"), 0.10, F.concat(lit("I/O point "), col("core"))),
+        (of_device, 0.20, F.concat(lit("equipment "), col("device"), F.when(col("device").endswith("_TEST"), " (test set-up)").otherwise(""))),
+        (col("io_point").isNull() & known("io_type"), 0.10, F.concat(lit("object type "), col("io_type"))),
+        *[(F.coalesce(col("object_type") == k, lit(False)), 0.0, lit(f"{k} object")) for k in OBJECT_DEFAULTS],
+        (set_point, 0.10, lit("set-point suffix")),
+        (worded, 0.10, F.concat(lit("keywords "), F.array_join("words", ", "))),
+        (col("hinted"), 0.10, F.concat(lit("system hint "), col("hint"))),
+    ]
+    notes = F.array_compact(F.array(*[F.when(on, note) for on, _, note in reasons]))
+    score = sum((F.when(on, add).otherwise(0.0) for on, add, _ in reasons if add), lit(0.30))
+
+    d = d.withColumns({"carrier": F.coalesce("w_carrier", lookup(SYSTEM_CARRIER, F.substring("system_code", 1, 2))), "is_derived": F.when(known("component", "measurement_type", "object_type"), False), "tier": tier(), "confidence": F.round(F.least(F.round(score, 6), lit(CONFIDENCE_CAP)), 2), "reasoning": F.coalesce(F.nullif(F.array_join(notes, "; "), lit("")), lit("no deterministic rule matched")), "decode_method": lit("rules")})
+    system = F.when(known("system_code"), F.struct(col("system_code").alias("code"), col("system_name").alias("description")))
+    place = F.when(known("building", "zone"), F.struct("building", "zone"))
     return d.select("raw_label", "source_type", "carrier", "function", "measurement_type", "unit", "object_type", system.alias("primary_system"), "subsystem", "component", place.alias("location"), "is_derived", "confidence", "reasoning", "decode_method", "tier")
 
 
@@ -340,8 +372,10 @@ ENUMS = {
 }
 
 
-def mutations(labels: DataFrame) -> DataFrame:
-    """Rewritings that another vendor or site might use, of each label to which they apply: ``(raw_label, source_type, mutation, mutated)``."""
+def mutations(labels: DataFrame, *more: str) -> DataFrame:
+    """Rewritings that another vendor or site might use, of each label to which they apply: ``(raw_label, source_type, mutation, mutated)``.
+
+    ``more``: columns of ``labels`` that come with each."""
     x = F.col("raw_label")
     slash = F.instr(x, "/")
     head = F.when(slash > 0, F.substr(x, F.lit(1), slash - 1)).otherwise(x)
@@ -356,16 +390,19 @@ def mutations(labels: DataFrame) -> DataFrame:
         "displaced": F.when(x.contains(".#"), F.regexp_replace(x, r"^(?s)(.*)\.#", r"$1_X.#")),
     }
     each = F.array(*[F.struct(F.lit(k).alias("mutation"), v.alias("mutated")) for k, v in kinds.items()])
-    return labels.withColumn("m", F.explode(each)).select("raw_label", "source_type", "m.*").where("mutated is not null")
+    return labels.withColumn("m", F.explode(each)).select("raw_label", "source_type", *more, "m.*").where("mutated is not null")
 
 
 def mutation_losses(labels: DataFrame, decode) -> DataFrame:
-    """Of labels that ``decode`` gives a component or object type: by rewriting, how many were tried, broke, and lost each field."""
-    flags = [F.col(c).isNotNull().alias(f) for f, c in PROBED.items()]
-    base = decode(labels).where("component is not null or object_type is not null").select("raw_label", "source_type", F.struct(*flags).alias("old"))
-    tried = mutations(base)
-    again = decode(tried.select(F.col("mutated").alias("raw_label"), "source_type").distinct()).select(F.col("raw_label").alias("mutated"), "source_type", F.struct(*flags).alias("new"))
-    both = tried.join(base, ["raw_label", "source_type"]).join(again, ["mutated", "source_type"])
+    """Of labels that ``decode`` gives a component or object type: by rewriting, how many were tried, broke, and lost each field.
+
+    What was decoded is staged as flags, so that the driver plans one decoding at a time and never one within the other.
+    """
+    flags = lambda name: F.struct(*[F.col(c).isNotNull().alias(f) for f, c in PROBED.items()]).alias(name)
+    base = staged(decode(labels).select("raw_label", "source_type", flags("old"))).where("old.component or old.object_type")
+    tried = mutations(base, "old")
+    again = staged(decode(tried.select(F.col("mutated").alias("raw_label"), "source_type").distinct()).select(F.col("raw_label").alias("mutated"), "source_type", flags("new")))
+    both = tried.join(again, ["mutated", "source_type"])
     lost = {f: F.col(f"old.{f}") & ~F.col(f"new.{f}") for f in PROBED}
     return both.groupBy("mutation").agg(F.count("*").alias("tried"), F.count_if(F.greatest(*lost.values())).alias("broke"), *[F.count_if(v).alias(f"lost_{f}") for f, v in lost.items()])
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VIOLATIONS = "array<struct<location:string,message:string>>"
 #: How types of a schema show in the schema of a variant.
@@ -72,10 +75,69 @@ def violations(records: DataFrame, schema: dict, column: str = "record") -> Data
     return rows.withColumn("violations", found).drop("_value")
 
 
+def members(decoded: DataFrame) -> Column:
+    """A decoded row's fields that the contract knows; not validated unless it says so."""
+    names = [c for c in RECORD["properties"] if c in decoded.columns]
+    return F.struct(*names, *([] if "validated" in names else [F.lit(False).alias("validated")]))
+
+
 def record(decoded: DataFrame) -> Column:
     """A decoded row as the JSON text of its record: the fields that the contract knows, unknown ones with a null, not validated."""
-    names = [c for c in RECORD["properties"] if c in decoded.columns]
-    return F.to_json(F.struct(*names, *([] if "validated" in names else [F.lit(False).alias("validated")])), {"ignoreNullFields": "false"})
+    return F.to_json(members(decoded), {"ignoreNullFields": "false"})
+
+
+#: How values of Spark's types show in JSON, as types of a schema.
+SHOWN_AS = {"void": (), "string": ("string",), "boolean": ("boolean",), "byte": ("integer", "number"), "short": ("integer", "number"), "integer": ("integer", "number"), "long": ("integer", "number"), "double": ("number",), "struct": ("object",)}
+
+
+def settled(schema: dict, kind: T.DataType, value: Column, place: str = "") -> list[Column] | None:
+    """The violations that ``violations`` finds in the JSON of a typed ``value``, each null where it is none, without that JSON.
+
+    What the type rules out makes no column. None if JSON alone can tell: for other types, texts of numbers and items.
+    """
+    types, name, at = schema.get("type", []), kind.typeName(), place or "(root)"
+    types, double = [types] if isinstance(types, str) else types, name == "double"
+    if name not in SHOWN_AS or "items" in schema and name != "void" or double and ("enum" in schema or "integer" in types) or "enum" in schema and name not in ("string", "void"):
+        return None
+    tell = lambda on, what: F.when(on, F.struct(F.lit(at).alias("location"), F.lit(what).alias("message")))
+    there, gone, found = value.isNotNull(), value.isNull(), []
+    # JSON has no such numbers: they are written as texts
+    finite = there & ~value.isin(float("nan"), float("inf"), float("-inf")) if double else there
+    if types:
+        wrong = [] if "null" in types else [gone]
+        if double:
+            wrong += [finite] * ("number" not in types) + [there & ~finite] * ("string" not in types)
+        elif not set(types) & set(SHOWN_AS[name]):
+            wrong.append(there)
+        if wrong:
+            found.append(tell(reduce(or_, wrong), "is no " + " or ".join(types)))
+    if "enum" in schema:
+        known = value.isin(*[v for v in schema["enum"] if v is not None]) if name == "string" else F.lit(None).cast("boolean")
+        found.append(tell(~F.coalesce(known, F.lit(None in schema["enum"])), "is none of the known values"))
+    if "number" in SHOWN_AS[name]:
+        found += [tell(finite & (value < schema["minimum"]), f"is below {schema['minimum']}")] if "minimum" in schema else []
+        found += [tell(finite & (value > schema["maximum"]), f"is above {schema['maximum']}")] if "maximum" in schema else []
+    if name == "struct":
+        members = schema.get("properties", {})
+        found += [tell(there, f"lacks {m}") for m in schema.get("required", []) if m not in kind.names]
+        others = sorted(set(kind.names) - set(members))
+        if others and schema.get("additionalProperties") is False:
+            found.append(tell(there, "has unknown " + ", ".join(others)))
+        for m in kind.names:
+            inner = settled(members.get(m, {}), kind[m].dataType, value[m], f"{place}/{m}".lstrip("/")) if m in members else []
+            if inner is None:
+                return None
+            found += [F.when(there, x) for x in inner]
+    return found
+
+
+def record_violations(decoded: DataFrame) -> DataFrame:
+    """``decoded`` with the ``violations`` of each row's ``record``: from types and values where they settle it, else from its JSON."""
+    whole = members(decoded)
+    found = settled(RECORD, decoded.select(whole.alias("r")).schema["r"].dataType, whole)
+    if found is None:
+        return violations(decoded.withColumn("record", record(decoded)), RECORD).drop("record")
+    return decoded.withColumn("violations", F.array_sort(F.array_compact(F.array(*found))).cast(VIOLATIONS))
 
 
 def _maybe(kind: str, **more) -> dict:

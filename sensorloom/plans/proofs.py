@@ -78,10 +78,10 @@ _STEP = "st{k} AS (SELECT building, zone, grid_idx, (hour(ts) * 60 + minute(ts))
 VOTES = f"WITH {ZONES}, zt1 AS (SELECT * REPLACE (CASE WHEN ts >= TIMESTAMP '2024-01-15' AND substr(zone, 2, 1)::INT % 2 = 1 THEN ts - INTERVAL 1 HOUR ELSE ts END AS ts) FROM zs), " + ", ".join(_STEP.format(k=k, a=a, b=b) for k, (a, b) in enumerate(WINDOWS)) + ", vt AS (SELECT building, zone, w.minute - s.minute AS shift FROM md0 w JOIN md1 s USING (building, zone)), vo AS (SELECT *, CASE WHEN shift BETWEEN 45 AND 75 THEN 'utc' WHEN shift BETWEEN -15 AND 15 THEN 'local' ELSE 'other' END AS vote FROM vt)"
 
 
-def broken(spark, d):
+def broken(rows):
     """Decoded rows of which some break the contract."""
     n = F.length("raw_label")
-    return pl.decoded(spark, d).withColumns({"carrier": F.when(n % 6 == 0, "steam").otherwise(F.col("carrier")), "confidence": F.when(n % 9 == 0, 1.5).otherwise(F.col("confidence")), "decode_method": F.when(n % 4 == 0, "rules+retrieval").otherwise(F.col("decode_method"))})
+    return rows.withColumns({"carrier": F.when(n % 6 == 0, "steam").otherwise(F.col("carrier")), "confidence": F.when(n % 9 == 0, 1.5).otherwise(F.col("confidence")), "decode_method": F.when(n % 4 == 0, "rules+retrieval").otherwise(F.col("decode_method"))})
 
 
 BROKEN = ", bk AS (SELECT raw_label, source_type, tier, CASE WHEN len(raw_label) % 4 = 0 THEN 'rules+retrieval' ELSE decode_method END AS decode_method, CASE WHEN len(raw_label) % 9 = 0 THEN 1.5 ELSE confidence END AS conf, len(raw_label) % 6 = 0 OR len(raw_label) % 9 = 0 AS bad FROM dr), sp AS (SELECT *, CASE WHEN tier = 'NONE' OR conf < 0.4 THEN 'thin' WHEN bad THEN 'invalid' END AS reason FROM bk)"
@@ -89,11 +89,12 @@ BROKEN = ", bk AS (SELECT raw_label, source_type, tier, CASE WHEN len(raw_label)
 
 def dec19(spark, d):
     """What goes on to a second source, and why."""
-    return dc.split_batch(broken(spark, d)).where("reason is not null").select("raw_label", "source_type", "reason")
+    # staged before the filter, which would otherwise copy the rules; no other column is computed
+    return staged(dc.split_batch(broken(pl.rules(pl.labels(spark, d)))).select("raw_label", "source_type", "reason")).where("reason is not null")
 
 
 def dec20(spark, d):
-    return dc.batch_counts(dc.split_batch(broken(spark, d)))
+    return dc.batch_counts(dc.split_batch(broken(pl.decoded(spark, d))))
 
 
 def dec22(spark, d):

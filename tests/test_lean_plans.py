@@ -1,5 +1,8 @@
 """Plans that stay small on the driver, and jobs that keep no row of a building's size."""
 
+from pyspark.sql import functions as F
+
+from sensorloom.operators import contract as ct
 from sensorloom.operators import decode as dc
 from sensorloom.plans import labels as pl
 
@@ -18,3 +21,25 @@ def test_mutations_plan_one_decoding_at_a_time(spark):
     assert "InMemoryRelation" not in plan and "drenspumpe" not in plan
     # a label that stands twice is tried twice
     assert {r.mutation: r.tried for r in out.collect()} == {"swap": 2, "lowercase": 2, "spaces": 2}
+
+
+ROWS = """raw_label string, source_type string, carrier string, primary_system struct<code:string,description:string>, location struct<building:string,room:int>,
+is_derived boolean, confidence double, data_checks struct<temp_correlation:double,distinct_values:int>, decode_method string, unit void, reasoning int, tier string"""
+
+
+def test_contract_of_typed_rows_is_that_of_their_json(spark):
+    values = [
+        ("a", "bacnet", "el", ("3200", None), ("B", 1), True, 0.5, (0.1, 3), "rules", None, None, "FULL"),
+        (None, None, None, None, None, None, None, None, None, None, None, None),
+        ("a", "radio", "steam", (None, "x"), (None, None), None, 1.5, (None, None), "guess", None, 4, "NONE"),
+        ("", "", "", ("", ""), None, False, float("nan"), (float("nan"), None), "", None, None, "NONE"),
+        ("b", "other", "annet", None, None, False, float("inf"), (float("-inf"), 0), "human", None, None, None),
+        ("c", "kiona", "gass", None, None, False, -0.25, None, "llm", None, None, "NONE"),
+        ("d", "kiona", "gass", None, None, False, 1.0, None, "llm", None, None, "FULL"),
+    ]
+    rows = spark.createDataFrame(values, ROWS)
+    for some in (rows, rows.drop("location", "reasoning"), rows.drop("source_type", "confidence"), rows.withColumn("confidence", F.col("confidence").cast("float")), rows.withColumn("validated", F.lit(True))):
+        got = ct.record_violations(some).select("raw_label", "violations").collect()
+        assert got == ct.violations(some.withColumn("record", ct.record(some)), ct.RECORD).select("raw_label", "violations").collect()
+    settled = lambda df: ct.settled(ct.RECORD, df.select(ct.members(df).alias("r")).schema["r"].dataType, ct.members(df)) is not None
+    assert settled(rows) and not settled(rows.withColumn("data_checks", F.struct(F.lit(2.0).alias("distinct_values"))))

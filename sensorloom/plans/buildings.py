@@ -1,17 +1,23 @@
 """Queries over a building index and its property graph, with their SQL.
 
-The index is made from the star-schema tables by plain arithmetic, written as nested JSON, a file for each nation, and read again.
+The index is made from the star-schema tables by plain arithmetic, written as nested JSON, in lines that are pieces of a nation, and read again.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import buildings as bg
+from ..operators import order
+from ..sources.shared import staged
 from .reports import written
 from .views import table
 
 E = F.expr
+#: Entries of a list or map of the index in a piece, as many as keys are dealt to nations.
+PIECE, NATIONS = 32, 25
 SYSTEM = {
     "id": "concat('SY', cast(k as string))",
     "kind": "case k % 4 when 0 then 'ahu' when 1 then 'heating' when 2 then 'device' else 'other' end",
@@ -61,31 +67,30 @@ def index(spark, d):
     c = keyed(spark, d, "customer", "c_custkey", F.col("c_nationkey").cast("long").alias("n"))
     p = keyed(spark, d, "part", "p_partkey").withColumn("n", F.col("k") % 25)
     nation = keyed(spark, d, "nation", "n_nationkey", "n_name").withColumnRenamed("k", "n")
-    gather = lambda df, x, name: df.groupBy("n").agg(F.collect_list(x).alias(name))
-    sub = s.select("n", F.struct(E("concat('SB', cast(k as string))").alias("id"), F.col("s_name").alias("name"), E(HEATING).alias("heating")).alias("e"))
+    piece = (F.col("k") / (PIECE * NATIONS)).cast("long").alias("piece")
+    sub = s.select("n", piece, F.struct(E("concat('SB', cast(k as string))").alias("id"), F.col("s_name").alias("name"), E(HEATING).alias("heating")).alias("e"))
     code = lambda x: F.struct(E(x).alias("code"), E(f"concat('label ', {x})").alias("label"), F.lit("f.csv").alias("file"))
     serves = E("case when k % 2 = 0 then concat('[\"SB', cast(k as string), '\",\"SB', cast(k + 1 as string), '\"]') when k % 7 = 1 then concat('SB', cast(k as string)) end").alias("serves")
     points = F.array(code("concat('RT4', lpad(cast(k % 100 as string), 2, '0'))"), code("concat('LR', cast(10 + k % 80 as string))"), code("concat('X', cast(k as string))")).alias("points")
-    system = s.select("n", F.struct(*[E(v).alias(x) for x, v in SYSTEM.items()], serves, points).alias("e"))
+    system = s.select("n", piece, F.struct(*[E(v).alias(x) for x, v in SYSTEM.items()], serves, points).alias("e"))
     sig = lambda name, on, i: E(f"case when {on} then named_struct('signal', '{name}', 'label', concat('label {i} ', cast(k as string)), 'file', 'r.csv') end")
-    room = c.select("n", F.struct(*[E(v).alias(x) for x, v in ROOM.items()], F.array_compact(F.array(sig("temperature", "true", 0), sig("temperature_setpoint", "k % 2 = 0", 1), sig("heating", "k % 3 = 0", 2), sig("airflow", "k % 5 = 0", 3), sig("airflow", "k % 5 = 0", 4))).alias("points")).alias("e"))
-    meter = nation.select("n", F.explode(F.array(E("named_struct('id', concat('M', cast(n as string)), 'name', n_name, 'utility', 'el', 'parent', cast(null as string))"), E("named_struct('id', concat('M', cast(n as string), 's'), 'name', n_name, 'utility', 'el', 'parent', concat('M', case when n % 7 = 0 then 'X' else cast(n as string) end))"))).alias("e"))
+    room = c.select("n", piece, F.struct(*[E(v).alias(x) for x, v in ROOM.items()], F.array_compact(F.array(sig("temperature", "true", 0), sig("temperature_setpoint", "k % 2 = 0", 1), sig("heating", "k % 3 = 0", 2), sig("airflow", "k % 5 = 0", 3), sig("airflow", "k % 5 = 0", 4))).alias("points")).alias("e"))
+    meter = nation.select("n", F.lit(0).cast("long").alias("piece"), F.explode(F.array(E("named_struct('id', concat('M', cast(n as string)), 'name', n_name, 'utility', 'el', 'parent', cast(null as string))"), E("named_struct('id', concat('M', cast(n as string), 's'), 'name', n_name, 'utility', 'el', 'parent', concat('M', case when n % 7 = 0 then 'X' else cast(n as string) end))"))).alias("e"))
     zone = p.select("n", F.struct(E(ZONE["zone"]).alias("key"), F.struct(*[E(v).alias(x) for x, v in ZONE.items() if x != "zone"]).alias("value")).alias("e"))
     fact = lambda on, name, source, confidence, value="null", conflict="null": E(f"case when {on} then named_struct('key', '{name}', 'value', named_struct('source', {source}, 'confidence', {confidence}, 'value', cast({value} as string), 'conflict', cast({conflict} as boolean))) end")
-    known = lambda df, id_, *facts: df.select("n", F.struct(E(id_).alias("key"), F.map_from_entries(F.array_compact(F.array(*facts))).alias("value")).alias("e"))
+    known = lambda df, id_, *facts: df.select("n", piece, F.struct(E(id_).alias("key"), F.map_from_entries(F.array_compact(F.array(*facts))).alias("value")).alias("e"))
     prov = known(s, "concat('SB', cast(k as string))", fact("k % 2 = 0", "heating", "concat('survey ', cast(k as string))", "'verified'", conflict="k % 4 = 0"))
     prov = prov.unionByName(known(s, SYSTEM["id"], fact("k % 3 = 1", "location", "'plan'", "'high'"), fact("k % 4 = 0", "serves", "'panel'", "cast(null as string)")))
     prov = prov.unionByName(known(c, ROOM["id"], fact("k % 10 = 0", "heating", "'visit'", "'verified'", "'panel'"), fact("k % 8 = 0", "number", "'door'", "cast(null as string)")))
     prov = prov.unionByName(known(p.where("k % 6 <> 0"), ZONE["zone"], fact("k % 3 = 0 or k % 3 = 1", "location", "'drawing'", "'high'")))
     out = nation.select("n", E("concat('N', cast(n as string))").alias("building"), E("concat('B-N', cast(n as string))").alias("building_node"), E("case when n % 2 = 0 then n_name end").alias("building_name"), F.col("n_name").alias("display_name"))
-    for rows, name in ((sub, "sub_buildings"), (system, "systems"), (room, "rooms"), (meter, "meters")):
-        out = out.join(gather(rows, "e", name), "n", "left")
-    by_key = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
-    for rows, name in ((zone, "zones"), (prov, "provenance")):
-        out = out.join(rows.groupBy("n").agg(F.map_from_entries(F.array_sort(F.collect_list("e"), by_key)).alias(name)), "n", "left")
-    out = out.drop("n").withColumn("file", F.col("building"))
-    path = written(spark, out, "json", "file")
-    return bg.building_index(spark, path)
+    # pieces of zones follow each other in the order of their names, as they would in one map
+    zone = order.numbered(zone, [F.col("n"), F.col("e.key")]).select("n", ((F.col("number") - 1) / PIECE).cast("long").alias("piece"), "e")
+    lists = [rows.groupBy("n", "piece").agg(F.collect_list("e").alias(name)) for rows, name in ((sub, "sub_buildings"), (system, "systems"), (room, "rooms"), (meter, "meters"))]
+    maps = [zone.groupBy("n", "piece").agg(F.map_from_entries(F.array_sort(F.collect_list("e"))).alias("zones")), prov.groupBy("n", "piece").agg(F.map_from_entries(F.collect_list("e")).alias("provenance"))]
+    # a row per nation goes to every piece; no row, line or task holds a nation
+    pieces = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lists + maps).join(F.broadcast(out), "n").drop("n")
+    return staged(bg.building_index(spark, written(spark, pieces, "json"), pieces=True))
 
 
 def flat_nodes(df):
